@@ -17,10 +17,13 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
 def register(name: str, sql: str | None):
+    if sql and not sql.lstrip().upper().startswith("WITH"):
+        sql = O.with_ctes(sql)
+
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, O.with_ctes(sql) if sql else None)
+        REGISTRY[name] = (fn, sql or None)
         return fn
     return deco
 
@@ -69,3 +72,7 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1]}
+
+
+# Query groups register themselves on import.
+from . import q_quality  # noqa: E402,F401

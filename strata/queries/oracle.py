@@ -274,9 +274,11 @@ def _deps(sql: str, exclude: str | None = None) -> list[str]:
     return seen
 
 
-def with_ctes(final_sql: str) -> str:
-    """Prefix ``final_sql`` with every CTE it (transitively) references."""
+def with_ctes(final_sql: str, extra: list[str] | None = None) -> str:
+    """Prefix ``final_sql`` with every CTE it (transitively) references.
+    ``extra`` are ready-made ``name AS (...)`` CTEs placed after those."""
     order: list[str] = []
+    extra = extra or []
 
     def visit(name: str, stack=()):
         if name in order:
@@ -286,12 +288,12 @@ def with_ctes(final_sql: str) -> str:
                 visit(d, stack + (name,))
         order.append(name)
 
-    for d in _deps(final_sql):
+    for d in _deps(final_sql + " " + " ".join(extra)):
         visit(d)
-    if not order:
+    parts = [f"{n} AS ({CTES[n].strip()})" for n in order] + extra
+    if not parts:
         return final_sql.strip()
-    body = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
-    return f"WITH {body}\n{final_sql.strip()}"
+    return "WITH " + ",\n".join(parts) + "\n" + final_sql.strip()
 
 
 def strip_meta(cols) -> str:
