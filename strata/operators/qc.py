@@ -399,3 +399,61 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+# ------------------------------------------------------ rule dictionary --
+
+def _conformance_rows(c: _Compiled, df: DataFrame, columns: Sequence[str], type_name: str,
+                      prefix: str):
+    for col in columns:
+        check = f"{prefix}_{col}"
+        if col not in df.columns:
+            _missing_row(c, check, f"Column {col} not found")
+            continue
+        x = F.col(col)
+        k = c.metric(F.count_if(x.isNotNull() & x.try_cast(type_name).isNull()))
+        bad = k > 0
+        status = F.when(bad, "FAIL").otherwise("PASS")
+        message = F.when(bad, F.concat(F.lit("Found "), _txt(k),
+                                       F.lit(f" values in {col} that are not a valid {type_name}"))) \
+                   .otherwise(F.lit(f"All values in {col} are valid {type_name}"))
+        c.rows.append(_row(c.next_seq(), c.table, check, status, message, _N(),
+                           F.when(bad, k), None, F.when(bad, ratio(k, _N()))))
+
+
+def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
+                   references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Compile a declarative rule entry (required / not_null / unique /
+    date / numeric columns, min_values, foreign_keys ``col -> entity.col``)
+    into the fused checks.  Row order: required, not-null, unique, minimum
+    values, date columns, numeric columns, foreign keys."""
+    c = _Compiled(table_name)
+    c.metrics["__n"] = F.count(F.lit(1))
+    req = list(rules.get("required_columns", []))
+    if req:
+        missing = [x for x in req if x not in df.columns]
+        c.rows.append(_row(c.next_seq(), table_name, "required_columns",
+                           "FAIL" if missing else "PASS",
+                           f"Missing required columns: {missing}" if missing
+                           else "All required columns present"))
+    if rules.get("not_null_columns"):
+        _nulls(c, df, rules["not_null_columns"], 0.0)
+    dup = None
+    if rules.get("unique_columns"):
+        dup = duplicate_frame(df, table_name, list(rules["unique_columns"]), 0.0, seq=c.next_seq())
+    for col, lo in (rules.get("min_values") or {}).items():
+        _value_range(c, df, col, lo, None)
+    _conformance_rows(c, df, rules.get("date_columns", []), "date", "date_format")
+    _conformance_rows(c, df, rules.get("numeric_columns", []), "double", "numeric")
+    parts = [_unpivot(df.agg(*[e.alias(n) for n, e in c.metrics.items()]), c.rows)]
+    if dup is not None:
+        parts.append(dup)
+    seq = c.seq
+    for fk_col, target in (rules.get("foreign_keys") or {}).items():
+        seq += 1
+        entity, key = target.split(".", 1)
+        ref = (references or {}).get(entity)
+        if ref is None:
+            continue
+        parts.append(check_referential_integrity(df, table_name, fk_col, ref, key, seq=seq))
+    return union_all(parts)

@@ -72,3 +72,22 @@ def store_region(perf: DataFrame) -> DataFrame:
                      money.mean_price(F.sum(F.col("avg_transaction_value").cast("decimal(20,2)")),
                                       F.count("avg_transaction_value")).alias("avg_transaction_value"))
                 .orderBy(F.col("total_revenue").desc(), "region"))
+
+
+# Tables ---------------------------------------------------------------------
+
+def latest_batch(df: DataFrame) -> DataFrame:
+    """Batch id of the newest load by (_ingestion_date, _updated_at): one
+    partial/final aggregate, no sort of the table."""
+    return df.agg(F.max_by("_batch_id", F.struct("_ingestion_date", "_updated_at"))
+                  .alias("latest_batch_id"))
+
+
+def row_counts(frames: dict) -> DataFrame:
+    """One row per table: a one-row count per table, unioned."""
+    out = None
+    for name, df in frames.items():
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"),
+                                                                  "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out

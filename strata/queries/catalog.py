@@ -77,3 +77,4 @@ def oracle_sql() -> dict[str, str]:
 # Query groups register themselves on import.
 from . import q_quality  # noqa: E402,F401
 from . import q_io  # noqa: E402,F401
+from . import q_ops  # noqa: E402,F401

@@ -142,7 +142,7 @@ def transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(
         txt(F.col("transaction_id")).alias("transaction_id"),
         txt(F.col("transaction_line_id")).alias("transaction_line_id"),
-        txt(F.date_format("transaction_ts", "yyyy-MM-dd HH:mm:ss"), ok % 89 == 0, "yesterday").alias("transaction_ts"),
+        txt(F.date_format("transaction_ts", "yyyy-MM-dd HH:mm:ss"), ok % 89 == 0, "unknown").alias("transaction_ts"),
         txt(F.col("channel")).alias("channel"),
         txt(F.col("store_id")).alias("store_id"),
         txt(F.col("customer_id")).alias("customer_id"),
