@@ -10,14 +10,17 @@ A check spec (``row_count`` / ``nulls`` / ``duplicates`` / ``value_ranges``
   map-side partial aggregation (a hot key costs one row per map task), then
   a global aggregate of the group counts.
 
-The one-row aggregates are unpivoted with ``inline(array(struct ..))`` into
-result rows whose status and message are column expressions, so nothing is
-computed on the driver.  Only ``gate`` collects, and it collects at most one
-row per check.
-
-Result semantics (status rules, messages, thresholds) follow the data
-contract: PASS / FAIL / WARNING; missing columns FAIL; ratios are 0 on an
-empty frame; NULL never violates a range or domain; NaN violates a maximum.
+Each check becomes one *metric row* (kind, row count, violation count,
+limit, literal message fragments) via ``inline(array(struct ..))`` over the
+one-row aggregates, and a single fixed projection (``_finalize``) turns
+metric rows into results: status, message, thresholds.  The expression size
+therefore does not grow with the number of checks, so planning and code
+generation stay cheap however large the suite is.  Nothing is computed on
+the driver; only ``gate`` collects, at most one row per check.
+
+Result semantics follow the data contract: PASS / FAIL / WARNING; missing
+columns FAIL; ratios are 0 on an empty frame; NULL never violates a range or
+domain; NaN violates a maximum.
 """
 
 from __future__ import annotations
@@ -46,41 +49,85 @@ class QCFailure(Exception):
         super().__init__(f"{len(failures)} QC check(s) failed:\n  " + "\n  ".join(lines))
 
 
-# ------------------------------------------------------------ row helpers --
+# ------------------------------------------------------------ metric rows --
+#
+# kind       meaning of the fields
+# static     fail_status = the status, a = the message (no numbers)
+# row_count  lim = minimum rows, aux = expected rows (or NULL); a/b = their text
+# pct        k = offending rows; FAIL when k/n > lim; a / b = fail / pass tail
+# dup        k = rows in duplicated keys, g = duplicated keys; lim = max share
+# count      k = offending rows; fail_status when k > 0; a = fail tail, b = pass text
 
-def _lit(v, t: str) -> Column:
-    if isinstance(v, Column):
-        return v.cast(t)
-    return F.lit(v).cast(t)
+def _v(v, t: str) -> Column:
+    return v.cast(t) if isinstance(v, Column) else F.lit(v).cast(t)
 
 
-def _row(seq: int, table: str, check: str, status, message, row_count=None,
-         failed=None, threshold=None, actual=None) -> Column:
-    def s(v):
-        return v if isinstance(v, Column) else F.lit(v)
+def _mrow(seq: int, table: str, check: str, kind: str, n=None, k=None, g=None, lim=None,
+          aux=None, fail_status="FAIL", a=None, b=None) -> Column:
     return F.struct(
-        F.lit(seq).cast("int").alias("seq"),
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        s(status).cast("string").alias("status"),
-        s(message).cast("string").alias("message"),
-        _lit(row_count, "long").alias("row_count"),
-        _lit(failed, "long").alias("failed_rows"),
-        _lit(threshold, "double").alias("threshold"),
-        _lit(actual, "double").alias("actual_value"),
-    )
-
-
-def _txt(c: Column) -> Column:
-    return c.cast("string")
+        F.lit(seq).cast("int").alias("seq"), F.lit(table).alias("table_name"),
+        F.lit(check).alias("check_name"), F.lit(kind).alias("kind"),
+        _v(n, "long").alias("n"), _v(k, "long").alias("k"), _v(g, "long").alias("g"),
+        _v(lim, "double").alias("lim"), _v(aux, "double").alias("aux"),
+        _v(fail_status, "string").alias("fail_status"), _v(a, "string").alias("a"),
+        _v(b, "string").alias("b"))
+
+
+def _finalize(m: DataFrame) -> DataFrame:
+    kind, n, k, g = F.col("kind"), F.col("n"), F.col("k"), F.col("g")
+    lim, aux, a, b, fs = F.col("lim"), F.col("aux"), F.col("a"), F.col("b"), F.col("fail_status")
+    r = ratio(k, n)
+    below, warn = n < lim, aux.isNotNull() & (n != aux)
+    over, has, bad = r > lim, g > 0, k > 0
+    ntxt, ktxt = n.cast("string"), k.cast("string")
+    status = (F.when(kind == "static", fs)
+               .when(kind == "row_count", F.when(below, "FAIL").when(warn, "WARNING").otherwise("PASS"))
+               .when(kind == "pct", F.when(over, "FAIL").otherwise("PASS"))
+               .when(kind == "dup", F.when(has & over, "FAIL").when(has, "WARNING").otherwise("PASS"))
+               .otherwise(F.when(bad, fs).otherwise("PASS")))
+    message = (F.when(kind == "static", a)
+                .when(kind == "row_count",
+                      F.when(below, F.concat(F.lit("Row count "), ntxt, F.lit(" is below minimum threshold "), a))
+                       .when(warn, F.concat(F.lit("Row count "), ntxt, F.lit(" does not match expected "), b))
+                       .otherwise(F.concat(F.lit("Row count "), ntxt, F.lit(" is valid"))))
+                .when(kind == "pct", F.concat(F.lit("Null percentage "), pct_text(k, n),
+                                              F.when(over, a).otherwise(b)))
+                .when(kind == "dup",
+                      F.when(has & over, F.concat(F.lit("Duplicate percentage "), pct_text(k, n), a))
+                       .when(has, F.concat(F.lit("Found "), g.cast("string"),
+                                           F.lit(" duplicate key combinations")))
+                       .otherwise(F.lit("No duplicates found")))
+                .otherwise(F.when(bad, F.concat(F.lit("Found "), ktxt, a)).otherwise(b)))
+    row_count = F.when(kind != "static", n)
+    failed = (F.when(kind == "pct", k).when(kind == "dup", F.when(has, k))
+               .when(kind == "count", F.when(bad, k)))
+    threshold = (F.when(kind == "row_count", F.when(below, lim).when(warn, aux))
+                  .when(kind == "pct", lim).when(kind == "dup", F.when(has, lim)))
+    actual = (F.when(kind == "pct", r).when(kind == "dup", F.when(has, r))
+               .when(kind == "count", F.when(bad, r)))
+    return m.select(
+        "seq", "table_name", "check_name", status.alias("status"), message.alias("message"),
+        row_count.cast("long").alias("row_count"), failed.cast("long").alias("failed_rows"),
+        threshold.cast("double").alias("threshold"), actual.cast("double").alias("actual_value"))
+
+
+def _metric_frame(one_row: DataFrame, rows: list[Column]) -> DataFrame:
+    return one_row.select(F.inline(F.array(*rows)))
+
+
+def _static_frame(spark, rows: list[Column]) -> DataFrame:
+    return _metric_frame(spark.range(1), rows)
 
 
 def _empty_results(spark) -> DataFrame:
     return spark.createDataFrame([], QC_RESULT)
 
 
-def _unpivot(agg: DataFrame, rows: list[Column]) -> DataFrame:
-    return agg.select(F.inline(F.array(*rows))).select(*QC_RESULT.fieldNames())
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 # --------------------------------------------------------- compiled spec --
@@ -89,10 +136,12 @@ def _unpivot(agg: DataFrame, rows: list[Column]) -> DataFrame:
 class _Compiled:
     table: str
     metrics: dict = field(default_factory=dict)   # name -> aggregate Column
-    rows: list = field(default_factory=list)      # struct Columns over metrics
-    extra: list = field(default_factory=list)     # separate result frames
+    rows: list = field(default_factory=list)      # metric-row structs over metrics
     seq: int = 0
 
+    def __post_init__(self):
+        self.metrics["__n"] = F.count(F.lit(1))
+
     def next_seq(self) -> int:
         self.seq += 1
         return self.seq
@@ -102,45 +151,34 @@ class _Compiled:
         self.metrics[name] = expr
         return F.col(name)
 
+    def static(self, check: str, status: str, message: str):
+        self.rows.append(_mrow(self.next_seq(), self.table, check, "static",
+                               fail_status=status, a=message))
 
-def _N() -> Column:
-    return F.col("__n")
+    def count_row(self, check: str, k: Column, fail_tail: str, pass_text: str, fail_status="FAIL"):
+        self.rows.append(_mrow(self.next_seq(), self.table, check, "count", F.col("__n"), k,
+                               fail_status=fail_status, a=fail_tail, b=pass_text))
 
-
-def _row_count(c: _Compiled, min_rows=DEFAULT_MIN_ROWS, expected_rows=None):
-    below = _N() < F.lit(min_rows)
-    warn = (_N() != F.lit(expected_rows)) if expected_rows else F.lit(False)
-    status = F.when(below, "FAIL").when(warn, "WARNING").otherwise("PASS")
-    message = (F.when(below, F.concat(F.lit("Row count "), _txt(_N()),
-                                      F.lit(f" is below minimum threshold {min_rows}")))
-                .when(warn, F.concat(F.lit("Row count "), _txt(_N()),
-                                     F.lit(f" does not match expected {expected_rows}")))
-                .otherwise(F.concat(F.lit("Row count "), _txt(_N()), F.lit(" is valid"))))
-    threshold = (F.when(below, F.lit(float(min_rows)))
-                  .when(warn, F.lit(float(expected_rows) if expected_rows else None)))
-    c.rows.append(_row(c.next_seq(), c.table, "row_count", status, message, _N(), None, threshold))
+    def frame(self, df: DataFrame) -> DataFrame:
+        agg = df.agg(*[e.alias(n) for n, e in self.metrics.items()])
+        return _metric_frame(agg, self.rows)
 
 
-def _missing_row(c: _Compiled, check: str, message: str):
-    c.rows.append(_row(c.next_seq(), c.table, check, "FAIL", message))
+def _row_count(c: _Compiled, min_rows=DEFAULT_MIN_ROWS, expected_rows=None):
+    c.rows.append(_mrow(c.next_seq(), c.table, "row_count", "row_count", F.col("__n"),
+                        lim=float(min_rows), aux=float(expected_rows) if expected_rows else None,
+                        a=str(min_rows), b=str(expected_rows)))
 
 
 def _nulls(c: _Compiled, df: DataFrame, columns: Sequence[str], max_pct=DEFAULT_MAX_NULL_PCT):
     for col in columns:
-        check = f"null_check_{col}"
         if col not in df.columns:
-            _missing_row(c, check, f"Column {col} not found in DataFrame")
+            c.static(f"null_check_{col}", "FAIL", f"Column {col} not found in DataFrame")
             continue
         k = c.metric(F.count_if(F.col(col).isNull()))
-        pct = ratio(k, _N())
-        bad = pct > F.lit(float(max_pct))
-        status = F.when(bad, "FAIL").otherwise("PASS")
-        message = F.when(bad, F.concat(F.lit("Null percentage "), pct_text(k, _N()),
-                                       F.lit(f" exceeds threshold {py_pct(max_pct)}"))) \
-                   .otherwise(F.concat(F.lit("Null percentage "), pct_text(k, _N()),
-                                       F.lit(" is within threshold")))
-        c.rows.append(_row(c.next_seq(), c.table, check, status, message, _N(), k,
-                           float(max_pct), pct))
+        c.rows.append(_mrow(c.next_seq(), c.table, f"null_check_{col}", "pct", F.col("__n"), k,
+                            lim=float(max_pct), a=f" exceeds threshold {py_pct(max_pct)}",
+                            b=" is within threshold"))
 
 
 def _range_text(lo, hi) -> str:
@@ -150,10 +188,10 @@ def _range_text(lo, hi) -> str:
 def _value_range(c: _Compiled, df: DataFrame, col: str, min_value=None, max_value=None):
     check = f"value_range_{col}"
     if col not in df.columns:
-        _missing_row(c, check, f"Column {col} not found")
+        c.static(check, "FAIL", f"Column {col} not found")
         return
     if min_value is None and max_value is None:
-        c.rows.append(_row(c.next_seq(), c.table, check, "PASS", "No range constraints specified"))
+        c.static(check, "PASS", "No range constraints specified")
         return
     x = F.col(col)
     conds = []
@@ -164,64 +202,45 @@ def _value_range(c: _Compiled, df: DataFrame, col: str, min_value=None, max_valu
     viol = conds[0] if len(conds) == 1 else (conds[0] | conds[1])
     k = c.metric(F.count_if(F.coalesce(viol, F.lit(False))))
     rng = _range_text(min_value, max_value)
-    bad = k > 0
-    status = F.when(bad, "FAIL").otherwise("PASS")
-    message = F.when(bad, F.concat(F.lit("Found "), _txt(k),
-                                   F.lit(f" rows with values outside range {rng}"))) \
-               .otherwise(F.lit(f"All values are within range {rng}"))
-    c.rows.append(_row(c.next_seq(), c.table, check, status, message, _N(),
-                       F.when(bad, k), None, F.when(bad, ratio(k, _N()))))
+    c.count_row(check, k, f" rows with values outside range {rng}", f"All values are within range {rng}")
 
 
 def _valid_values(c: _Compiled, df: DataFrame, col: str, values: Sequence):
     check = f"valid_values_{col}"
     if col not in df.columns:
-        _missing_row(c, check, f"Column {col} not found")
+        c.static(check, "FAIL", f"Column {col} not found")
         return
     vals = list(values)
     k = c.metric(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(vals)))
-    bad = k > 0
-    status = F.when(bad, "FAIL").otherwise("PASS")
-    message = F.when(bad, F.concat(F.lit("Found "), _txt(k),
-                                   F.lit(f" rows with invalid values. Valid values: {vals}"))) \
-               .otherwise(F.lit(f"All values are valid. Valid values: {vals}"))
-    c.rows.append(_row(c.next_seq(), c.table, check, status, message, _N(),
-                       F.when(bad, k), None, F.when(bad, ratio(k, _N()))))
+    c.count_row(check, k, f" rows with invalid values. Valid values: {vals}",
+                f"All values are valid. Valid values: {vals}")
 
 
-def duplicate_frame(df: DataFrame, table: str, key_columns: Sequence[str],
-                    max_pct=DEFAULT_MAX_DUP_PCT, seq: int = 1) -> DataFrame:
-    """Duplicate check: failed_rows counts every row of a duplicated key
-    (not only the surplus copies); NULL keys group together; an empty key
-    list is one global group."""
+def _duplicate_metrics(df: DataFrame, table: str, key_columns: Sequence[str], max_pct, seq) -> DataFrame:
     missing = [k for k in key_columns if k not in df.columns]
     if missing:
-        return _unpivot(df.sparkSession.range(1), [
-            _row(seq, table, "duplicate_check", "FAIL", f"Column(s) {missing} not found")])
+        return _static_frame(df.sparkSession, [_mrow(seq, table, "duplicate_check", "static",
+                                                     fail_status="FAIL",
+                                                     a=f"Column(s) {missing} not found")])
     g = df.groupBy(*[F.col(k) for k in key_columns]).agg(F.count(F.lit(1)).alias("__c"))
     a = g.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("long").alias("__n"),
               F.count_if(F.col("__c") > 1).alias("__g"),
               F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).cast("long").alias("__d"))
-    n, groups, rows = F.col("__n"), F.col("__g"), F.col("__d")
-    pct = ratio(rows, n)
-    has = groups > 0
-    over = pct > F.lit(float(max_pct))
-    status = F.when(has & over, "FAIL").when(has, "WARNING").otherwise("PASS")
-    message = (F.when(has & over, F.concat(F.lit("Duplicate percentage "), pct_text(rows, n),
-                                           F.lit(f" exceeds threshold {py_pct(max_pct)}")))
-                .when(has, F.concat(F.lit("Found "), _txt(groups), F.lit(" duplicate key combinations")))
-                .otherwise(F.lit("No duplicates found")))
-    return _unpivot(a, [_row(seq, table, "duplicate_check", status, message, n,
-                             F.when(has, rows), F.when(has, F.lit(float(max_pct))),
-                             F.when(has, pct))])
+    return _metric_frame(a, [_mrow(seq, table, "duplicate_check", "dup", F.col("__n"), F.col("__d"),
+                                   F.col("__g"), lim=float(max_pct),
+                                   a=f" exceeds threshold {py_pct(max_pct)}")])
 
 
-def evaluate(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0) -> DataFrame:
-    """Run a check spec over ``df``; returns a lazy DataFrame of results in
-    the fixed order row_count, nulls, duplicates, value_ranges, valid_values
-    (column ``seq``)."""
+def duplicate_frame(df: DataFrame, table: str, key_columns: Sequence[str],
+                    max_pct=DEFAULT_MAX_DUP_PCT, seq: int = 1) -> DataFrame:
+    """Duplicate check: failed_rows counts every row of a duplicated key
+    (not only the surplus copies); NULL keys group together; an empty key
+    list is one global group."""
+    return _finalize(_duplicate_metrics(df, table, key_columns, max_pct, seq))
+
+
+def _spec_metrics(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0):
     c = _Compiled(table_name, seq=seq_start)
-    c.metrics["__n"] = F.count(F.lit(1))
     if "row_count" in checks:
         rc = checks["row_count"] or {}
         _row_count(c, rc.get("min_rows", DEFAULT_MIN_ROWS), rc.get("expected_rows"))
@@ -231,25 +250,24 @@ def evaluate(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0
     dup = None
     if "duplicates" in checks:
         dc = checks["duplicates"]
-        dup = duplicate_frame(df, table_name, dc.get("key_columns", []),
-                              dc.get("max_duplicate_percentage", DEFAULT_MAX_DUP_PCT),
-                              seq=c.next_seq())
+        dup = _duplicate_metrics(df, table_name, dc.get("key_columns", []),
+                                 dc.get("max_duplicate_percentage", DEFAULT_MAX_DUP_PCT), c.next_seq())
     for col, rc in (checks.get("value_ranges") or {}).items():
         _value_range(c, df, col, rc.get("min_value"), rc.get("max_value"))
     for col, vals in (checks.get("valid_values") or {}).items():
         _valid_values(c, df, col, vals)
-    parts = []
-    if c.rows:
-        agg = df.agg(*[e.alias(n) for n, e in c.metrics.items()])
-        parts.append(_unpivot(agg, c.rows))
+    parts = [c.frame(df)] if c.rows else []
     if dup is not None:
         parts.append(dup)
-    if not parts:
-        return _empty_results(df.sparkSession)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts) if parts else None
+
+
+def evaluate(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0) -> DataFrame:
+    """Run a check spec over ``df``; returns a lazy DataFrame of results in
+    the fixed order row_count, nulls, duplicates, value_ranges, valid_values
+    (column ``seq``)."""
+    m = _spec_metrics(df, table_name, checks, seq_start)
+    return _finalize(m) if m is not None else _empty_results(df.sparkSession)
 
 
 # ---------------------------------------------------- single-check API ----
@@ -276,6 +294,22 @@ def check_valid_values(df, table_name, column, valid_values):
     return evaluate(df, table_name, {"valid_values": {column: list(valid_values)}})
 
 
+def _fk_metrics(df: DataFrame, table_name: str, foreign_key_column: str, reference: DataFrame,
+                reference_key_column: str, seq: int) -> DataFrame:
+    g = df.groupBy(F.col(foreign_key_column).alias("__fk")).agg(F.count(F.lit(1)).alias("__c"))
+    ref_keys = reference.select(F.col(reference_key_column).alias("__rk"))
+    orphans = (g.filter(F.col("__fk").isNotNull())
+                .join(ref_keys, F.col("__fk") == F.col("__rk"), "left_anti"))
+    z = F.lit(0).cast("long")
+    both = (g.select(F.col("__c").alias("__n"), z.alias("__k"))
+             .unionByName(orphans.select(z.alias("__n"), F.col("__c").alias("__k"))))
+    a = both.agg(F.coalesce(F.sum("__n"), z).cast("long").alias("__n"),
+                 F.coalesce(F.sum("__k"), z).cast("long").alias("__k"))
+    return _metric_frame(a, [_mrow(seq, table_name, f"referential_integrity_{foreign_key_column}",
+                                   "count", F.col("__n"), F.col("__k"),
+                                   a=" rows with invalid foreign keys", b="All foreign keys are valid")])
+
+
 def check_referential_integrity(df: DataFrame, table_name: str, foreign_key_column: str,
                                 reference: DataFrame, reference_key_column: str,
                                 seq: int = 1) -> DataFrame:
@@ -288,23 +322,8 @@ def check_referential_integrity(df: DataFrame, table_name: str, foreign_key_colu
     third of the rows is one row.  The total and the orphan count are two
     branches over the same reused exchange, summed in one global aggregate.
     """
-    check = f"referential_integrity_{foreign_key_column}"
-    g = df.groupBy(F.col(foreign_key_column).alias("__fk")).agg(F.count(F.lit(1)).alias("__c"))
-    ref_keys = reference.select(F.col(reference_key_column).alias("__rk"))
-    orphans = (g.filter(F.col("__fk").isNotNull())
-                .join(ref_keys, F.col("__fk") == F.col("__rk"), "left_anti"))
-    z = F.lit(0).cast("long")
-    both = (g.select(F.col("__c").alias("__n"), z.alias("__k"))
-             .unionByName(orphans.select(z.alias("__n"), F.col("__c").alias("__k"))))
-    a = both.agg(F.coalesce(F.sum("__n"), z).cast("long").alias("__n"),
-                 F.coalesce(F.sum("__k"), z).cast("long").alias("__k"))
-    n, k = F.col("__n"), F.col("__k")
-    bad = k > 0
-    status = F.when(bad, "FAIL").otherwise("PASS")
-    message = F.when(bad, F.concat(F.lit("Found "), _txt(k), F.lit(" rows with invalid foreign keys"))) \
-               .otherwise(F.lit("All foreign keys are valid"))
-    return _unpivot(a, [_row(seq, table_name, check, status, message, n, F.when(bad, k), None,
-                             F.when(bad, ratio(k, n)))])
+    return _finalize(_fk_metrics(df, table_name, foreign_key_column, reference,
+                                 reference_key_column, seq))
 
 
 def check_schema(df: DataFrame, table_name: str, expected: StructType, seq: int = 1) -> DataFrame:
@@ -326,8 +345,20 @@ def check_schema(df: DataFrame, table_name: str, expected: StructType, seq: int
                 for n in exp if exp[n] != act[n]]
         status, msg = ("WARNING", "Type mismatches: " + ", ".join(mism)) if mism else \
             ("PASS", "Schema matches expected schema")
-    one = df.sparkSession.range(1)
-    return _unpivot(one, [_row(seq, table_name, "schema_check", status, msg)])
+    return _finalize(_static_frame(df.sparkSession, [
+        _mrow(seq, table_name, "schema_check", "static", fail_status=status, a=msg)]))
+
+
+def _conformance_rows(c: _Compiled, df: DataFrame, columns: Sequence[str], type_name: str,
+                      check_prefix: str, fail_tail, pass_text, fail_status: str):
+    for col in columns:
+        check = f"{check_prefix}_{col}"
+        if col not in df.columns:
+            c.static(check, "FAIL", f"Column {col} not found")
+            continue
+        x = F.col(col)
+        k = c.metric(F.count_if(x.isNotNull() & x.try_cast(type_name).isNull()))
+        c.count_row(check, k, fail_tail(col), pass_text(col), fail_status)
 
 
 def check_type_conformance(text_df: DataFrame, table_name: str, schema: StructType,
@@ -335,26 +366,14 @@ def check_type_conformance(text_df: DataFrame, table_name: str, schema: StructTy
     """For a frame read as text, count per typed column the non-NULL values
     a typed scan would silently turn into NULL (one aggregate)."""
     c = _Compiled(table_name, seq=seq_start)
-    c.metrics["__n"] = F.count(F.lit(1))
     for f in schema.fields:
         if isinstance(f.dataType, StringType):
             continue
-        check = f"type_conformance_{f.name}"
-        tname = f.dataType.simpleString()
-        if f.name not in text_df.columns:
-            _missing_row(c, check, f"Column {f.name} not found")
-            continue
-        x = F.col(f.name)
-        k = c.metric(F.count_if(x.isNotNull() & x.try_cast(f.dataType).isNull()))
-        bad = k > 0
-        status = F.when(bad, "WARNING").otherwise("PASS")
-        message = F.when(bad, F.concat(F.lit("Found "), _txt(k),
-                                       F.lit(f" values that are not valid {tname}"))) \
-                   .otherwise(F.lit(f"All values convert to {tname}"))
-        c.rows.append(_row(c.next_seq(), table_name, check, status, message, _N(),
-                           F.when(bad, k), None, F.when(bad, ratio(k, _N()))))
-    agg = text_df.agg(*[e.alias(n) for n, e in c.metrics.items()])
-    return _unpivot(agg, c.rows)
+        t = f.dataType.simpleString()
+        _conformance_rows(c, text_df, [f.name], t, "type_conformance",
+                          lambda col, t=t: f" values that are not valid {t}",
+                          lambda col, t=t: f"All values convert to {t}", "WARNING")
+    return _finalize(c.frame(text_df))
 
 
 def business_rule_positive_total(df: DataFrame, table_name: str, column: str = "total_sales",
@@ -365,11 +384,12 @@ def business_rule_positive_total(df: DataFrame, table_name: str, column: str = "
     t = F.col("__t")
     ok = F.coalesce(t > 0, F.lit(False))
     label = column.replace("_", " ").capitalize()
-    tt = F.coalesce(_txt(t), F.lit("NULL"))
+    tt = F.coalesce(t.cast("string"), F.lit("NULL"))
     status = F.when(ok, "PASS").otherwise("FAIL")
-    message = F.when(ok, F.concat(F.lit(f"{label} "), tt, F.lit(" is positive"))) \
-               .otherwise(F.concat(F.lit(f"{label} "), tt, F.lit(" is not positive")))
-    return _unpivot(a, [_row(seq, table_name, check_name, status, message)])
+    message = F.concat(F.lit(f"{label} "), tt, F.when(ok, F.lit(" is positive"))
+                       .otherwise(F.lit(" is not positive")))
+    return _finalize(_metric_frame(a, [_mrow(seq, table_name, check_name, "static",
+                                             fail_status=status, a=message)]))
 
 
 # --------------------------------------------------------- gate, summary --
@@ -386,7 +406,8 @@ def gate(results: DataFrame, raise_on=("FAIL",)) -> list:
 
 
 def summary(results: DataFrame) -> DataFrame:
-    """Checks and tables per status with the share of all checks."""
+    """Checks and tables per status with the share of all checks (the
+    window runs over at most three rows, one per status)."""
     g = results.groupBy("status").agg(F.count(F.lit(1)).alias("check_count"),
                                       F.count_distinct("table_name").alias("table_count"))
     total = F.sum("check_count").over(Window.partitionBy())
@@ -394,33 +415,8 @@ def summary(results: DataFrame) -> DataFrame:
                     pct_text(F.col("check_count"), total).alias("share"))
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 # ------------------------------------------------------ rule dictionary --
 
-def _conformance_rows(c: _Compiled, df: DataFrame, columns: Sequence[str], type_name: str,
-                      prefix: str):
-    for col in columns:
-        check = f"{prefix}_{col}"
-        if col not in df.columns:
-            _missing_row(c, check, f"Column {col} not found")
-            continue
-        x = F.col(col)
-        k = c.metric(F.count_if(x.isNotNull() & x.try_cast(type_name).isNull()))
-        bad = k > 0
-        status = F.when(bad, "FAIL").otherwise("PASS")
-        message = F.when(bad, F.concat(F.lit("Found "), _txt(k),
-                                       F.lit(f" values in {col} that are not a valid {type_name}"))) \
-                   .otherwise(F.lit(f"All values in {col} are valid {type_name}"))
-        c.rows.append(_row(c.next_seq(), c.table, check, status, message, _N(),
-                           F.when(bad, k), None, F.when(bad, ratio(k, _N()))))
-
-
 def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
                    references: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Compile a declarative rule entry (required / not_null / unique /
@@ -428,24 +424,24 @@ def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
     into the fused checks.  Row order: required, not-null, unique, minimum
     values, date columns, numeric columns, foreign keys."""
     c = _Compiled(table_name)
-    c.metrics["__n"] = F.count(F.lit(1))
     req = list(rules.get("required_columns", []))
     if req:
         missing = [x for x in req if x not in df.columns]
-        c.rows.append(_row(c.next_seq(), table_name, "required_columns",
-                           "FAIL" if missing else "PASS",
-                           f"Missing required columns: {missing}" if missing
-                           else "All required columns present"))
+        c.static("required_columns", "FAIL" if missing else "PASS",
+                 f"Missing required columns: {missing}" if missing else "All required columns present")
     if rules.get("not_null_columns"):
         _nulls(c, df, rules["not_null_columns"], 0.0)
     dup = None
     if rules.get("unique_columns"):
-        dup = duplicate_frame(df, table_name, list(rules["unique_columns"]), 0.0, seq=c.next_seq())
+        dup = _duplicate_metrics(df, table_name, list(rules["unique_columns"]), 0.0, c.next_seq())
     for col, lo in (rules.get("min_values") or {}).items():
         _value_range(c, df, col, lo, None)
-    _conformance_rows(c, df, rules.get("date_columns", []), "date", "date_format")
-    _conformance_rows(c, df, rules.get("numeric_columns", []), "double", "numeric")
-    parts = [_unpivot(df.agg(*[e.alias(n) for n, e in c.metrics.items()]), c.rows)]
+    for cols, t, prefix in ((rules.get("date_columns", []), "date", "date_format"),
+                            (rules.get("numeric_columns", []), "double", "numeric")):
+        _conformance_rows(c, df, cols, t, prefix,
+                          lambda col, t=t: f" values in {col} that are not a valid {t}",
+                          lambda col, t=t: f"All values in {col} are valid {t}", "FAIL")
+    parts = [c.frame(df)]
     if dup is not None:
         parts.append(dup)
     seq = c.seq
@@ -455,5 +451,5 @@ def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
         ref = (references or {}).get(entity)
         if ref is None:
             continue
-        parts.append(check_referential_integrity(df, table_name, fk_col, ref, key, seq=seq))
-    return union_all(parts)
+        parts.append(_fk_metrics(df, table_name, fk_col, ref, key, seq))
+    return _finalize(union_all(parts))

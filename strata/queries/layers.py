@@ -48,6 +48,32 @@ def gold_mart(spark: SparkSession, d: str, mart: str) -> DataFrame:
     raise KeyError(mart)
 
 
+ENTITY_NAMES = ("customers", "products", "stores", "transactions")
+MART_NAMES = ("customer_summary", "product_sales", "store_performance", "daily_sales")
+
+
+def build_all(spark: SparkSession, d: str, materialize: bool = True) -> dict:
+    """All three layers; with ``materialize`` each layer is written once to
+    the shared folder and the next layer (and every check) reads it, as the
+    scheduled job does with its tables."""
+    from ..sinks.tables import materialize as mat
+
+    def keep(df, purpose, entity):
+        # Only the fact table has enough consumers to pay for a write; the
+        # dimensions are re-derived (each is a small scan + projection).
+        return mat(df, purpose) if materialize and entity == "transactions" else df
+    b = {e: keep(bronze(spark, d, e), f"bronze-{e}", e) for e in ENTITY_NAMES}
+    s = {e: keep(to_silver(b[e], ENTITIES[e], QCTX), f"silver-{e}", e) for e in ENTITY_NAMES}
+    tx = s["transactions"]
+    g = {
+        "customer_summary": gold.customer_summary(s["customers"], tx),
+        "product_sales": gold.product_sales(s["products"], tx),
+        "store_performance": gold.store_performance(s["stores"], tx),
+        "daily_sales": gold.daily_sales(tx),
+    }
+    return {"bronze": b, "silver": s, "gold": g}
+
+
 def data(df: DataFrame) -> DataFrame:
     """Drop run-specific audit stamps (batch id, stamp times) from output."""
     return strip_audit(df)

@@ -168,7 +168,8 @@ def _gold(spark, d):
 
 
 def all_results(spark, d):
-    return validation.all_layers(_bronze(spark, d), _silver(spark, d), _gold(spark, d))
+    lay = L.build_all(spark, d, materialize=True)
+    return validation.all_layers(lay["bronze"], lay["silver"], lay["gold"])
 
 
 ALL_SQL = _bronze_sql() + _silver_sql() + _gold_sql()

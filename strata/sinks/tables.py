@@ -111,3 +111,15 @@ def truncate(spark: SparkSession, name: str) -> None:
 
 def read(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
+    """Write ``df`` once to a new folder in the shared storage and read it
+    back: cuts the lineage for frames with several consumers (each consumer
+    would otherwise recompute the whole plan) and survives executor loss,
+    unlike caching or a local checkpoint."""
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
