@@ -394,6 +394,14 @@ def business_rule_positive_total(df: DataFrame, table_name: str, column: str = "
 
 # --------------------------------------------------------- gate, summary --
 
+def raise_failures(rows, raise_on=("FAIL",)) -> None:
+    """Raise with every failed check among already collected result rows."""
+    failures = [{k: r[k] for k in ("table_name", "check_name", "message")}
+                for r in rows if r["status"] in raise_on]
+    if failures:
+        raise QCFailure(failures)
+
+
 def gate(results: DataFrame, raise_on=("FAIL",)) -> list:
     """Collect the failed checks (at most one row per check) and raise with
     all of them; returns the (empty) failure list otherwise."""

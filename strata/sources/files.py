@@ -61,7 +61,14 @@ def read_csv(spark: SparkSession, paths: list[str], schema: StructType | None =
     elif infer:
         r = r.option("inferSchema", "true")
     df = r.csv(paths)
-    return df.withColumn("_source_path", F.col("_metadata.file_path"))
+    return df.withColumn("_source_path", source_path())
+
+
+def source_path():
+    """Per-row source file as the listing spells it.  ``_metadata.file_path``
+    is a URI (``x%20copy.csv``); decode the escapes (a literal ``+`` is kept)
+    so the ledger and the listing compare equal."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def stage_csv(df: DataFrame, folder: str, name_col: str) -> None:

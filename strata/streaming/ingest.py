@@ -26,7 +26,7 @@ from ..operators.upsert import merge_update_all
 from ..plans.silver import to_silver
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks import tables
-from ..sources.files import CSV_READ
+from ..sources.files import CSV_READ, source_path
 from ..specs import ENTITIES
 
 
@@ -36,7 +36,7 @@ def file_stream(spark: SparkSession, landing: str, entity: str, keyword: str | N
               .option("pathGlobFilter", f"*{keyword or entity}*.csv"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.csv(landing).withColumn("_source_path", F.col("_metadata.file_path"))
+    return r.csv(landing).withColumn("_source_path", source_path())
 
 
 def upsert_batch(batch: DataFrame, entity: str, target: str, ctx: RunContext) -> None:
