@@ -11,12 +11,12 @@ A check spec (``row_count`` / ``nulls`` / ``duplicates`` / ``value_ranges``
   a global aggregate of the group counts.
 
 Each check becomes one *metric row* (kind, row count, violation count,
-limit, literal message fragments) via ``inline(array(struct ..))`` over the
-one-row aggregates, and a single fixed projection (``_finalize``) turns
-metric rows into results: status, message, thresholds.  The expression size
-therefore does not grow with the number of checks, so planning and code
-generation stay cheap however large the suite is.  Nothing is computed on
-the driver; only ``gate`` collects, at most one row per check.
+limit, literal message fragments) via ``inline(array(named_struct ..))``
+over the one-row aggregates, and one fixed projection (``_FINAL``) turns
+metric rows into results: status, message, thresholds.  The expressions are
+SQL text handed to ``selectExpr``: a suite of any size costs a handful of
+driver-to-JVM calls and a plan whose size does not grow per check.  Nothing
+is computed on the driver; only ``gate`` collects, one row per check.
 
 Result semantics follow the data contract: PASS / FAIL / WARNING; missing
 columns FAIL; ratios are 0 on an empty frame; NULL never violates a range or
@@ -28,11 +28,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..functions.text import pct_text, py_pct, ratio
+from ..functions.text import pct_text, py_pct
 from ..schemas import QC_RESULT
 
 DEFAULT_MIN_ROWS = 1
@@ -49,6 +49,29 @@ class QCFailure(Exception):
         super().__init__(f"{len(failures)} QC check(s) failed:\n  " + "\n  ".join(lines))
 
 
+# ------------------------------------------------------------ SQL text ----
+
+def _q(s) -> str:
+    """SQL string literal (or NULL)."""
+    if s is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _id(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _num(v) -> str:
+    if v is None:
+        return "CAST(NULL AS DOUBLE)"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 # ------------------------------------------------------------ metric rows --
 #
 # kind       meaning of the fields
@@ -58,64 +81,67 @@ class QCFailure(Exception):
 # dup        k = rows in duplicated keys, g = duplicated keys; lim = max share
 # count      k = offending rows; fail_status when k > 0; a = fail tail, b = pass text
 
-def _v(v, t: str) -> Column:
-    return v.cast(t) if isinstance(v, Column) else F.lit(v).cast(t)
+def _mrow(seq: int, table: str, check: str, kind: str, n="NULL", k="NULL", g="NULL", lim=None,
+          aux=None, fail_status=None, a=None, b=None, exprs: bool = False) -> str:
+    """One metric row as a ``named_struct`` SQL expression.  n/k/g are SQL
+    expressions over the aggregate's columns; ``exprs`` marks fail_status
+    and a as SQL expressions instead of literals."""
+    fs = fail_status if exprs else _q(fail_status or "FAIL")
+    at = a if exprs else _q(a)
+    return (f"named_struct('seq', CAST({seq} AS INT), 'table_name', {_q(table)}, "
+            f"'check_name', {_q(check)}, 'kind', {_q(kind)}, "
+            f"'n', CAST({n} AS BIGINT), 'k', CAST({k} AS BIGINT), 'g', CAST({g} AS BIGINT), "
+            f"'lim', CAST({_num(lim)} AS DOUBLE), 'aux', CAST({_num(aux)} AS DOUBLE), "
+            f"'fail_status', CAST({fs} AS STRING), 'a', CAST({at} AS STRING), "
+            f"'b', CAST({_q(b)} AS STRING))")
+
+
+_R = "(CASE WHEN n > 0 THEN CAST(k AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.0D END)"
+_H = "(CASE WHEN n > 0 THEN (k * 20000 + n) div (2 * n) ELSE 0L END)"
+_PCT = f"concat(CAST({_H} div 100 AS STRING), '.', lpad(CAST({_H} % 100 AS STRING), 2, '0'), '%')"
+_BELOW, _WARN = "(n < lim)", "(aux IS NOT NULL AND n <> aux)"
+_OVER, _HAS, _BAD = f"({_R} > lim)", "(g > 0)", "(k > 0)"
+
+# The one projection from metric rows to results (fixed size).
+_FINAL = [
+    "seq", "table_name", "check_name",
+    f"""CASE kind
+          WHEN 'static' THEN fail_status
+          WHEN 'row_count' THEN CASE WHEN {_BELOW} THEN 'FAIL' WHEN {_WARN} THEN 'WARNING' ELSE 'PASS' END
+          WHEN 'pct' THEN CASE WHEN {_OVER} THEN 'FAIL' ELSE 'PASS' END
+          WHEN 'dup' THEN CASE WHEN {_HAS} AND {_OVER} THEN 'FAIL' WHEN {_HAS} THEN 'WARNING' ELSE 'PASS' END
+          ELSE CASE WHEN {_BAD} THEN fail_status ELSE 'PASS' END END AS status""",
+    f"""CASE kind
+          WHEN 'static' THEN a
+          WHEN 'row_count' THEN CASE
+              WHEN {_BELOW} THEN concat('Row count ', CAST(n AS STRING), ' is below minimum threshold ', a)
+              WHEN {_WARN} THEN concat('Row count ', CAST(n AS STRING), ' does not match expected ', b)
+              ELSE concat('Row count ', CAST(n AS STRING), ' is valid') END
+          WHEN 'pct' THEN concat('Null percentage ', {_PCT}, CASE WHEN {_OVER} THEN a ELSE b END)
+          WHEN 'dup' THEN CASE
+              WHEN {_HAS} AND {_OVER} THEN concat('Duplicate percentage ', {_PCT}, a)
+              WHEN {_HAS} THEN concat('Found ', CAST(g AS STRING), ' duplicate key combinations')
+              ELSE 'No duplicates found' END
+          ELSE CASE WHEN {_BAD} THEN concat('Found ', CAST(k AS STRING), a) ELSE b END END AS message""",
+    "CAST(CASE WHEN kind <> 'static' THEN n END AS BIGINT) AS row_count",
+    f"""CAST(CASE kind WHEN 'pct' THEN k WHEN 'dup' THEN CASE WHEN {_HAS} THEN k END
+          WHEN 'count' THEN CASE WHEN {_BAD} THEN k END END AS BIGINT) AS failed_rows""",
+    f"""CAST(CASE kind WHEN 'row_count' THEN CASE WHEN {_BELOW} THEN lim WHEN {_WARN} THEN aux END
+          WHEN 'pct' THEN lim WHEN 'dup' THEN CASE WHEN {_HAS} THEN lim END END AS DOUBLE) AS threshold""",
+    f"""CAST(CASE kind WHEN 'pct' THEN {_R} WHEN 'dup' THEN CASE WHEN {_HAS} THEN {_R} END
+          WHEN 'count' THEN CASE WHEN {_BAD} THEN {_R} END END AS DOUBLE) AS actual_value""",
+]
 
 
-def _mrow(seq: int, table: str, check: str, kind: str, n=None, k=None, g=None, lim=None,
-          aux=None, fail_status="FAIL", a=None, b=None) -> Column:
-    return F.struct(
-        F.lit(seq).cast("int").alias("seq"), F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"), F.lit(kind).alias("kind"),
-        _v(n, "long").alias("n"), _v(k, "long").alias("k"), _v(g, "long").alias("g"),
-        _v(lim, "double").alias("lim"), _v(aux, "double").alias("aux"),
-        _v(fail_status, "string").alias("fail_status"), _v(a, "string").alias("a"),
-        _v(b, "string").alias("b"))
+def _finalize(m: DataFrame) -> DataFrame:
+    return m.selectExpr(*_FINAL)
 
 
-def _finalize(m: DataFrame) -> DataFrame:
-    kind, n, k, g = F.col("kind"), F.col("n"), F.col("k"), F.col("g")
-    lim, aux, a, b, fs = F.col("lim"), F.col("aux"), F.col("a"), F.col("b"), F.col("fail_status")
-    r = ratio(k, n)
-    below, warn = n < lim, aux.isNotNull() & (n != aux)
-    over, has, bad = r > lim, g > 0, k > 0
-    ntxt, ktxt = n.cast("string"), k.cast("string")
-    status = (F.when(kind == "static", fs)
-               .when(kind == "row_count", F.when(below, "FAIL").when(warn, "WARNING").otherwise("PASS"))
-               .when(kind == "pct", F.when(over, "FAIL").otherwise("PASS"))
-               .when(kind == "dup", F.when(has & over, "FAIL").when(has, "WARNING").otherwise("PASS"))
-               .otherwise(F.when(bad, fs).otherwise("PASS")))
-    message = (F.when(kind == "static", a)
-                .when(kind == "row_count",
-                      F.when(below, F.concat(F.lit("Row count "), ntxt, F.lit(" is below minimum threshold "), a))
-                       .when(warn, F.concat(F.lit("Row count "), ntxt, F.lit(" does not match expected "), b))
-                       .otherwise(F.concat(F.lit("Row count "), ntxt, F.lit(" is valid"))))
-                .when(kind == "pct", F.concat(F.lit("Null percentage "), pct_text(k, n),
-                                              F.when(over, a).otherwise(b)))
-                .when(kind == "dup",
-                      F.when(has & over, F.concat(F.lit("Duplicate percentage "), pct_text(k, n), a))
-                       .when(has, F.concat(F.lit("Found "), g.cast("string"),
-                                           F.lit(" duplicate key combinations")))
-                       .otherwise(F.lit("No duplicates found")))
-                .otherwise(F.when(bad, F.concat(F.lit("Found "), ktxt, a)).otherwise(b)))
-    row_count = F.when(kind != "static", n)
-    failed = (F.when(kind == "pct", k).when(kind == "dup", F.when(has, k))
-               .when(kind == "count", F.when(bad, k)))
-    threshold = (F.when(kind == "row_count", F.when(below, lim).when(warn, aux))
-                  .when(kind == "pct", lim).when(kind == "dup", F.when(has, lim)))
-    actual = (F.when(kind == "pct", r).when(kind == "dup", F.when(has, r))
-               .when(kind == "count", F.when(bad, r)))
-    return m.select(
-        "seq", "table_name", "check_name", status.alias("status"), message.alias("message"),
-        row_count.cast("long").alias("row_count"), failed.cast("long").alias("failed_rows"),
-        threshold.cast("double").alias("threshold"), actual.cast("double").alias("actual_value"))
-
-
-def _metric_frame(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
-
-
-def _static_frame(spark, rows: list[Column]) -> DataFrame:
+def _metric_frame(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _static_frame(spark, rows: list[str]) -> DataFrame:
     return _metric_frame(spark.range(1), rows)
 
 
@@ -135,37 +161,33 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 @dataclass
 class _Compiled:
     table: str
-    metrics: dict = field(default_factory=dict)   # name -> aggregate Column
-    rows: list = field(default_factory=list)      # metric-row structs over metrics
+    metrics: list = field(default_factory=lambda: ["count(1) AS __n"])   # aggregate SQL
+    rows: list = field(default_factory=list)                               # metric-row SQL
     seq: int = 0
 
-    def __post_init__(self):
-        self.metrics["__n"] = F.count(F.lit(1))
-
     def next_seq(self) -> int:
         self.seq += 1
         return self.seq
 
-    def metric(self, expr: Column) -> Column:
+    def metric(self, predicate_sql: str) -> str:
         name = f"__m{len(self.metrics)}"
-        self.metrics[name] = expr
-        return F.col(name)
+        self.metrics.append(f"count_if({predicate_sql}) AS {name}")
+        return name
 
     def static(self, check: str, status: str, message: str):
         self.rows.append(_mrow(self.next_seq(), self.table, check, "static",
                                fail_status=status, a=message))
 
-    def count_row(self, check: str, k: Column, fail_tail: str, pass_text: str, fail_status="FAIL"):
-        self.rows.append(_mrow(self.next_seq(), self.table, check, "count", F.col("__n"), k,
+    def count_row(self, check: str, k: str, fail_tail: str, pass_text: str, fail_status="FAIL"):
+        self.rows.append(_mrow(self.next_seq(), self.table, check, "count", "__n", k,
                                fail_status=fail_status, a=fail_tail, b=pass_text))
 
     def frame(self, df: DataFrame) -> DataFrame:
-        agg = df.agg(*[e.alias(n) for n, e in self.metrics.items()])
-        return _metric_frame(agg, self.rows)
+        return _metric_frame(df.selectExpr(*self.metrics), self.rows)
 
 
 def _row_count(c: _Compiled, min_rows=DEFAULT_MIN_ROWS, expected_rows=None):
-    c.rows.append(_mrow(c.next_seq(), c.table, "row_count", "row_count", F.col("__n"),
+    c.rows.append(_mrow(c.next_seq(), c.table, "row_count", "row_count", "__n",
                         lim=float(min_rows), aux=float(expected_rows) if expected_rows else None,
                         a=str(min_rows), b=str(expected_rows)))
 
@@ -175,8 +197,8 @@ def _nulls(c: _Compiled, df: DataFrame, columns: Sequence[str], max_pct=DEFAULT_
         if col not in df.columns:
             c.static(f"null_check_{col}", "FAIL", f"Column {col} not found in DataFrame")
             continue
-        k = c.metric(F.count_if(F.col(col).isNull()))
-        c.rows.append(_mrow(c.next_seq(), c.table, f"null_check_{col}", "pct", F.col("__n"), k,
+        k = c.metric(f"{_id(col)} IS NULL")
+        c.rows.append(_mrow(c.next_seq(), c.table, f"null_check_{col}", "pct", "__n", k,
                             lim=float(max_pct), a=f" exceeds threshold {py_pct(max_pct)}",
                             b=" is within threshold"))
 
@@ -193,14 +215,12 @@ def _value_range(c: _Compiled, df: DataFrame, col: str, min_value=None, max_valu
     if min_value is None and max_value is None:
         c.static(check, "PASS", "No range constraints specified")
         return
-    x = F.col(col)
     conds = []
     if min_value is not None:
-        conds.append(x < F.lit(min_value))
+        conds.append(f"{_id(col)} < {_num(min_value)}")
     if max_value is not None:
-        conds.append(x > F.lit(max_value))
-    viol = conds[0] if len(conds) == 1 else (conds[0] | conds[1])
-    k = c.metric(F.count_if(F.coalesce(viol, F.lit(False))))
+        conds.append(f"{_id(col)} > {_num(max_value)}")
+    k = c.metric(f"coalesce({' OR '.join(conds)}, false)")
     rng = _range_text(min_value, max_value)
     c.count_row(check, k, f" rows with values outside range {rng}", f"All values are within range {rng}")
 
@@ -211,7 +231,8 @@ def _valid_values(c: _Compiled, df: DataFrame, col: str, values: Sequence):
         c.static(check, "FAIL", f"Column {col} not found")
         return
     vals = list(values)
-    k = c.metric(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(vals)))
+    inlist = ", ".join(_q(v) if isinstance(v, str) else _num(v) for v in vals)
+    k = c.metric(f"{_id(col)} IS NOT NULL AND NOT {_id(col)} IN ({inlist})")
     c.count_row(check, k, f" rows with invalid values. Valid values: {vals}",
                 f"All values are valid. Valid values: {vals}")
 
@@ -222,13 +243,11 @@ def _duplicate_metrics(df: DataFrame, table: str, key_columns: Sequence[str], ma
         return _static_frame(df.sparkSession, [_mrow(seq, table, "duplicate_check", "static",
                                                      fail_status="FAIL",
                                                      a=f"Column(s) {missing} not found")])
-    g = df.groupBy(*[F.col(k) for k in key_columns]).agg(F.count(F.lit(1)).alias("__c"))
-    a = g.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("long").alias("__n"),
-              F.count_if(F.col("__c") > 1).alias("__g"),
-              F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).cast("long").alias("__d"))
-    return _metric_frame(a, [_mrow(seq, table, "duplicate_check", "dup", F.col("__n"), F.col("__d"),
-                                   F.col("__g"), lim=float(max_pct),
-                                   a=f" exceeds threshold {py_pct(max_pct)}")])
+    g = df.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("__c"))
+    a = g.selectExpr("CAST(coalesce(sum(__c), 0) AS BIGINT) AS __n", "count_if(__c > 1) AS __g",
+                     "CAST(coalesce(sum(CASE WHEN __c > 1 THEN __c END), 0) AS BIGINT) AS __d")
+    return _metric_frame(a, [_mrow(seq, table, "duplicate_check", "dup", "__n", "__d", "__g",
+                                   lim=float(max_pct), a=f" exceeds threshold {py_pct(max_pct)}")])
 
 
 def duplicate_frame(df: DataFrame, table: str, key_columns: Sequence[str],
@@ -300,13 +319,12 @@ def _fk_metrics(df: DataFrame, table_name: str, foreign_key_column: str, referen
     ref_keys = reference.select(F.col(reference_key_column).alias("__rk"))
     orphans = (g.filter(F.col("__fk").isNotNull())
                 .join(ref_keys, F.col("__fk") == F.col("__rk"), "left_anti"))
-    z = F.lit(0).cast("long")
-    both = (g.select(F.col("__c").alias("__n"), z.alias("__k"))
-             .unionByName(orphans.select(z.alias("__n"), F.col("__c").alias("__k"))))
-    a = both.agg(F.coalesce(F.sum("__n"), z).cast("long").alias("__n"),
-                 F.coalesce(F.sum("__k"), z).cast("long").alias("__k"))
+    both = (g.selectExpr("__c AS __n", "0L AS __k")
+             .unionByName(orphans.selectExpr("0L AS __n", "__c AS __k")))
+    a = both.selectExpr("CAST(coalesce(sum(__n), 0) AS BIGINT) AS __n",
+                        "CAST(coalesce(sum(__k), 0) AS BIGINT) AS __k")
     return _metric_frame(a, [_mrow(seq, table_name, f"referential_integrity_{foreign_key_column}",
-                                   "count", F.col("__n"), F.col("__k"),
+                                   "count", "__n", "__k", fail_status="FAIL",
                                    a=" rows with invalid foreign keys", b="All foreign keys are valid")])
 
 
@@ -356,8 +374,7 @@ def _conformance_rows(c: _Compiled, df: DataFrame, columns: Sequence[str], type_
         if col not in df.columns:
             c.static(check, "FAIL", f"Column {col} not found")
             continue
-        x = F.col(col)
-        k = c.metric(F.count_if(x.isNotNull() & x.try_cast(type_name).isNull()))
+        k = c.metric(f"{_id(col)} IS NOT NULL AND try_cast({_id(col)} AS {type_name}) IS NULL")
         c.count_row(check, k, fail_tail(col), pass_text(col), fail_status)
 
 
@@ -380,16 +397,14 @@ def business_rule_positive_total(df: DataFrame, table_name: str, column: str = "
                                  check_name: str = "business_rule_total_sales",
                                  seq: int = 1) -> DataFrame:
     """Sum of a money column must be positive; an empty table FAILs."""
-    a = df.agg(F.sum(F.col(column).cast("decimal(20,2)")).alias("__t"))
-    t = F.col("__t")
-    ok = F.coalesce(t > 0, F.lit(False))
+    a = df.selectExpr(f"sum(CAST({_id(column)} AS DECIMAL(20,2))) AS __t")
     label = column.replace("_", " ").capitalize()
-    tt = F.coalesce(t.cast("string"), F.lit("NULL"))
-    status = F.when(ok, "PASS").otherwise("FAIL")
-    message = F.concat(F.lit(f"{label} "), tt, F.when(ok, F.lit(" is positive"))
-                       .otherwise(F.lit(" is not positive")))
+    ok = "coalesce(__t > 0, false)"
+    status = f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
+    message = (f"concat({_q(label + ' ')}, coalesce(CAST(__t AS STRING), 'NULL'), "
+               f"CASE WHEN {ok} THEN ' is positive' ELSE ' is not positive' END)")
     return _finalize(_metric_frame(a, [_mrow(seq, table_name, check_name, "static",
-                                             fail_status=status, a=message)]))
+                                             fail_status=status, a=message, exprs=True)]))
 
 
 # --------------------------------------------------------- gate, summary --

@@ -69,3 +69,20 @@ def test_update_where_null_predicate_keeps_row(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "k int, s string")
     out = update_where(df, F.col("s") == "x", {"s": "y"})
     assert _rows(out.fillna("-"), "k", "s") == [(1, "-"), (2, "y")]
+
+
+def test_table_create_truncate_append_align(spark):
+    from strata.schemas import LOAD_AUDIT
+    from strata.sinks import tables
+    name = "strata_t.audit_probe"
+    tables.create_empty(spark, name, LOAD_AUDIT)
+    assert tables.read(spark, name).count() == 0
+    assert tables.read(spark, name).schema == LOAD_AUDIT
+    row = spark.createDataFrame([("b1", "t", None, None, None)], LOAD_AUDIT)
+    tables.append(row, name)
+    tables.append(row.withColumn("extra", F.lit(1)), name)
+    got = tables.read(spark, name)
+    assert got.count() == 2 and "extra" in got.columns
+    assert sorted(r.extra for r in got.collect() if r.extra is not None) == [1]
+    tables.truncate(spark, name)
+    assert tables.read(spark, name).count() == 0
