@@ -315,14 +315,19 @@ def check_valid_values(df, table_name, column, valid_values):
 
 def _fk_metrics(df: DataFrame, table_name: str, foreign_key_column: str, reference: DataFrame,
                 reference_key_column: str, seq: int) -> DataFrame:
+    # Fact side: (key, rows) with map-side partial aggregation; reference
+    # side: its distinct keys.  A left join of the two sees each key once on
+    # each side (no hot key can reach one task, and it is broadcast when AQE
+    # measures either side small), and one pass yields both the row count
+    # and the orphan count.  An outer join is not pushed below the
+    # aggregate, so the fact table is read once.
     g = df.groupBy(F.col(foreign_key_column).alias("__fk")).agg(F.count(F.lit(1)).alias("__c"))
-    ref_keys = reference.select(F.col(reference_key_column).alias("__rk"))
-    orphans = (g.filter(F.col("__fk").isNotNull())
-                .join(ref_keys, F.col("__fk") == F.col("__rk"), "left_anti"))
-    both = (g.selectExpr("__c AS __n", "0L AS __k")
-             .unionByName(orphans.selectExpr("0L AS __n", "__c AS __k")))
-    a = both.selectExpr("CAST(coalesce(sum(__n), 0) AS BIGINT) AS __n",
-                        "CAST(coalesce(sum(__k), 0) AS BIGINT) AS __k")
+    ref_keys = (reference.select(F.col(reference_key_column).alias("__rk"))
+                         .filter(F.col("__rk").isNotNull()).distinct())
+    j = g.join(ref_keys, F.col("__fk") == F.col("__rk"), "left")
+    a = j.selectExpr(
+        "CAST(coalesce(sum(__c), 0) AS BIGINT) AS __n",
+        "CAST(coalesce(sum(CASE WHEN __fk IS NOT NULL AND __rk IS NULL THEN __c END), 0) AS BIGINT) AS __k")
     return _metric_frame(a, [_mrow(seq, table_name, f"referential_integrity_{foreign_key_column}",
                                    "count", "__n", "__k", fail_status="FAIL",
                                    a=" rows with invalid foreign keys", b="All foreign keys are valid")])
@@ -335,10 +340,9 @@ def check_referential_integrity(df: DataFrame, table_name: str, foreign_key_colu
     frame passed in.
 
     The fact side is first reduced to (key, count) with map-side partial
-    aggregation, so the anti join sees each distinct key once: its size is
-    bounded by the key domain, not by the fact table, and a key holding a
-    third of the rows is one row.  The total and the orphan count are two
-    branches over the same reused exchange, summed in one global aggregate.
+    aggregation and left-joined to the distinct reference keys, so the join
+    sees each key once: its size is bounded by the key domain, not by the
+    fact table, and a key holding a third of the rows is one row.
     """
     return _finalize(_fk_metrics(df, table_name, foreign_key_column, reference,
                                  reference_key_column, seq))
