@@ -58,8 +58,10 @@ UNION ALL SELECT * FROM silver_incr"""
 
 
 def _initial_table(spark, d):
-    """Initial silver load published as a table; returns (name, audit)."""
-    bronze = L.bronze(spark, d, "transactions")
+    """Initial silver load published as a table; returns (name, audit,
+    bronze).  Bronze is staged once: the initial load, the watermark read
+    and the merge all read it."""
+    bronze = tables.materialize(L.bronze(spark, d, "transactions"), "bronze-tx")
     s0 = to_silver(bronze.filter(F.col("_record_ingestion_ts") < _cut()), ENTITIES["transactions"], CTX_A)
     name = _name("silver_tx")
     tables.publish(s0, name, tag="initial")
@@ -70,7 +72,8 @@ def _initial_table(spark, d):
 def _incremental_batch(spark, d):
     name, audit, bronze = _initial_table(spark, d)
     batch = inc.incremental_read(bronze, audit, ST)
-    return name, audit, to_silver(batch, ENTITIES["transactions"], CTX_B)
+    # The batch is staged once: the merge-key assertion and the merge read it.
+    return name, audit, tables.materialize(to_silver(batch, ENTITIES["transactions"], CTX_B), "silver-batch")
 
 
 @register("upsert_initial", "SELECT * FROM silver_initial")
