@@ -72,9 +72,14 @@ def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool =
         return 0
     if gate:
         qc.raise_failures(res)
-    merged = staged if first else merge_update_all(tables.read(spark, target), staged,
-                                                   list(spec.merge_keys))
-    tables.publish(merged, target, tag=ctx.batch_id)
+    if spec.partition:
+        col, expr = spec.partition
+        tables.merge_partitioned(staged.withColumn(col, F.expr(expr)), target,
+                                 list(spec.merge_keys), col, check_unique=True)
+    else:
+        merged = staged if first else merge_update_all(tables.read(spark, target), staged,
+                                                       list(spec.merge_keys))
+        tables.publish(merged, target, tag=ctx.batch_id)
     tables.append(inc.audit_row(staged, ctx, target), TABLES["load_audit"], tag=ctx.batch_id)
     return n
 

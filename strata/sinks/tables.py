@@ -64,6 +64,43 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     return path
 
 
+def merge_partitioned(source: DataFrame, name: str, keys: list[str], partition_col: str,
+                      check_unique: bool = True) -> list:
+    """MERGE (update all / insert all) into a table partitioned by
+    ``partition_col``, rewriting only the partitions the batch touches.
+
+    Touched = partitions of the batch's rows plus partitions where the table
+    already holds one of the batch's keys (a left-semi join that reads only
+    the key and partition columns of the table).  Their current rows are read
+    with partition pruning, merged, staged once in the shared folder, and
+    written back with dynamic partition overwrite; a touched partition left
+    without rows (all its rows moved) is dropped.  Cost grows with the batch
+    and the partitions it touches, not with the table.  The partition column
+    must be non-NULL.  Returns the touched partition values (one row per
+    partition reaches the driver)."""
+    from ..operators.upsert import _all_keys_present, assert_unique_keys, merge_update_all
+    spark = source.sparkSession
+    if not exists(spark, name):
+        publish(source, name, tag="initial", partition_by=[partition_col])
+        return [r[0] for r in spark.table(name).select(partition_col).distinct().collect()]
+    if check_unique:
+        assert_unique_keys(source, keys)
+    target = spark.table(name)
+    src_keys = source.filter(_all_keys_present(keys)).select(*keys).distinct()
+    hit = target.join(src_keys, list(keys), "left_semi").select(partition_col)
+    touched = [r[0] for r in hit.union(source.select(partition_col)).distinct().collect()]
+    affected = target.filter(F.col(partition_col).isin(touched))
+    merged = merge_update_all(affected, source, keys, check_unique=False).select(*target.columns)
+    staged = materialize(merged, "merge-stage")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .insertInto(name))
+    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    for p in set(touched) - present:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_col} = '{p}')")
+    spark.sql(f"REFRESH TABLE {name}")
+    return touched
+
+
 def overwrite_merge_schema(df: DataFrame, name: str, tag: str = "") -> str:
     """Overwrite keeping the union of the old and new columns (old-only
     columns become NULL), i.e. overwrite with schema merging."""

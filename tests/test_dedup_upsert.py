@@ -86,3 +86,20 @@ def test_table_create_truncate_append_align(spark):
     assert sorted(r.extra for r in got.collect() if r.extra is not None) == [1]
     tables.truncate(spark, name)
     assert tables.read(spark, name).count() == 0
+
+
+def test_merge_partitioned_rewrites_only_touched(spark):
+    from strata.sinks import tables
+    name = "strata_t.part_probe"
+    t0 = spark.createDataFrame([(1, "x", "A"), (2, "y", "A"), (3, "z", "B"), (4, "w", "C")],
+                               "k int, v string, p string")
+    tables.merge_partitioned(t0, name, ["k"], "p")
+    files_c = {r[0] for r in spark.table(name).filter("p = 'C'").select(F.input_file_name()).collect()}
+    src = spark.createDataFrame([(3, "moved", "A"), (5, "new", "D")], "k int, v string, p string")
+    touched = tables.merge_partitioned(src, name, ["k"], "p")
+    assert sorted(touched) == ["A", "B", "D"]
+    got = _rows(spark.table(name), "k", "v", "p")
+    assert got == [(1, "x", "A"), (2, "y", "A"), (3, "moved", "A"), (4, "w", "C"), (5, "new", "D")]
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["p=A", "p=C", "p=D"]
+    files_c2 = {r[0] for r in spark.table(name).filter("p = 'C'").select(F.input_file_name()).collect()}
+    assert files_c == files_c2
