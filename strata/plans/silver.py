@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..operators import cleaning
-from ..operators.audit import add_audit
+from ..operators.audit import AUDIT_ONLY, add_audit
 from ..operators.dedup import dedup
 from ..specs import EntitySpec
 
@@ -26,5 +26,7 @@ def clean(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 def to_silver(bronze: DataFrame, spec: EntitySpec, ctx: RunContext) -> DataFrame:
     df = clean(bronze.drop("_source_file"), spec)
-    df = dedup(df, list(spec.dedup_keys), keep=spec.keep, order_by=list(DEDUP_ORDER))
+    # Audit stamps are re-stamped below, so they do not decide between rows.
+    df = dedup(df, list(spec.dedup_keys), keep=spec.keep, order_by=list(DEDUP_ORDER),
+               ignore=AUDIT_ONLY)
     return add_audit(df, ctx)

@@ -147,6 +147,10 @@ def truncate(spark: SparkSession, name: str) -> None:
 
 
 def read(spark: SparkSession, name: str) -> DataFrame:
+    """Current snapshot of ``name``.  The cached relation is refreshed
+    first: another session (e.g. a stream's ``foreachBatch``) may have
+    repointed the table to a new snapshot folder."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

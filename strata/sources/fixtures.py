@@ -28,10 +28,12 @@ def fan_out(df: DataFrame) -> DataFrame:
     row group): without it every pre-shuffle operator runs in one task.  A
     scan with at least as many splits as cores (any real multi-file input)
     is returned unchanged, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
