@@ -294,7 +294,3 @@ def with_ctes(final_sql: str, extra: list[str] | None = None) -> str:
     if not parts:
         return final_sql.strip()
     return "WITH " + ",\n".join(parts) + "\n" + final_sql.strip()
-
-
-def strip_meta(cols) -> str:
-    return ", ".join(cols)

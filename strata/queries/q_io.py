@@ -17,6 +17,7 @@ from ..operators import upsert
 from ..operators.audit import strip_audit
 from ..plans.bronze import ingest_csv_to_bronze
 from ..plans.silver import to_silver
+from ..schemas import ENTITY_SCHEMAS
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import files
@@ -311,15 +312,10 @@ def q_csv_scan(spark, d):
     _stage_landing(spark, d, folder, False)
     found = files.match_entity(files.list_files(spark, folder), "transactions")
     paths = [r["path"] for r in found.select("path").collect()]
-    df = files.read_csv(spark, paths, ENTITIES_SCHEMA("transactions"))
+    df = files.read_csv(spark, paths, ENTITY_SCHEMAS["transactions"])
     return df.select(*TXD, files.logical_name().alias("source_name"))
 
 
-def ENTITIES_SCHEMA(e):
-    from ..schemas import ENTITY_SCHEMAS
-    return ENTITY_SCHEMAS[e]
-
-
 @register("csv_scan_inferred", "SELECT sku, product_key, category, list_price FROM raw_products")
 def q_csv_scan_inferred(spark, d):
     folder = scratch_path(spark, "landing")
@@ -346,7 +342,7 @@ def q_ingest_new_files(spark, d):
     found = files.match_entity(files.list_files(spark, folder), "transactions")
     new = files.new_files(found, tables.read(spark, ledger_name))
     paths = [r["path"] for r in new.select("path").collect()]
-    df = files.read_csv(spark, paths, ENTITIES_SCHEMA("transactions"))
+    df = files.read_csv(spark, paths, ENTITY_SCHEMAS["transactions"])
     return (df.groupBy(files.logical_name().alias("source_name"))
               .agg(F.count(F.lit(1)).alias("row_count")))
 

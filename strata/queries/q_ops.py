@@ -11,7 +11,6 @@ from ..operators.dedup import dedup
 from ..plans.silver import DEDUP_ORDER, clean
 from ..schemas import TRANSACTIONS
 from ..session import scratch_path
-from ..sinks import tables  # noqa: F401  (used by callers of this module)
 from ..sources import files
 from ..sources import fixtures as fx
 from ..specs import ENTITIES, TABLES, VALIDATION_RULES
