@@ -41,6 +41,10 @@ def location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def new_snapshot_path(spark: SparkSession, name: str, tag: str = "") -> str:
     return f"{_root(spark)}/{name.replace('.', '/')}/snap-{tag or 'x'}-{uuid.uuid4().hex[:10]}"
 
@@ -57,6 +61,13 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     if exists(spark, name):
+        old = spark.table(name)
+        if not partition_by and old.schema == df.schema and not _partition_columns(spark, name):
+            # Same shape: one metadata update repoints readers to the new
+            # snapshot (no moment without a table).
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"REFRESH TABLE {name}")
+            return path
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{path}'")
     if partition_by:

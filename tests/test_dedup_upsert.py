@@ -103,3 +103,15 @@ def test_merge_partitioned_rewrites_only_touched(spark):
     assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["p=A", "p=C", "p=D"]
     files_c2 = {r[0] for r in spark.table(name).filter("p = 'C'").select(F.input_file_name()).collect()}
     assert files_c == files_c2
+
+
+def test_publish_same_schema_repoints(spark):
+    from strata.sinks import tables
+    name = "strata_t.pub_probe"
+    p1 = tables.publish(spark.range(3), name)
+    p2 = tables.publish(spark.range(5), name)
+    assert p1 != p2
+    assert tables.location(spark, name).endswith(p2.rsplit("/", 1)[-1])
+    assert tables.read(spark, name).count() == 5
+    tables.publish(spark.range(2).selectExpr("id", "'x' AS s"), name)   # new shape: recreated
+    assert tables.read(spark, name).columns == ["id", "s"]
