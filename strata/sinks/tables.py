@@ -148,7 +148,11 @@ def append(df: DataFrame, name: str, tag: str = "") -> None:
         tschema = spark.table(name).schema
     aligned = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                           else F.lit(None).cast(f.dataType).alias(f.name) for f in tschema.fields])
-    aligned.write.mode("append").format("parquet").save(location(spark, name))
+    if _partition_columns(spark, name):
+        # Partition folders and catalog partitions are maintained by insertInto.
+        aligned.write.mode("append").insertInto(name)
+    else:
+        aligned.write.mode("append").format("parquet").save(location(spark, name))
     spark.sql(f"REFRESH TABLE {name}")
 
 

@@ -115,3 +115,12 @@ def test_publish_same_schema_repoints(spark):
     assert tables.read(spark, name).count() == 5
     tables.publish(spark.range(2).selectExpr("id", "'x' AS s"), name)   # new shape: recreated
     assert tables.read(spark, name).columns == ["id", "s"]
+
+
+def test_append_to_partitioned_table(spark):
+    from strata.sinks import tables
+    name = "strata_t.part_append_probe"
+    tables.publish(spark.createDataFrame([(1, "A")], "k int, p string"), name, partition_by=["p"])
+    tables.append(spark.createDataFrame([(2, "B"), (3, "A")], "k int, p string"), name)
+    assert _rows(tables.read(spark, name), "k", "p") == [(1, "A"), (2, "B"), (3, "A")]
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["p=A", "p=B"]
