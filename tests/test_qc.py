@@ -108,3 +108,33 @@ def test_results_schema(spark):
     assert [f.name for f in res.schema.fields] == ["seq", "table_name", "check_name", "status",
                                                   "message", "row_count", "failed_rows",
                                                   "threshold", "actual_value"]
+
+
+def _exchanges_fed_by_partial_agg(df):
+    """For every hash exchange, the next operator below it (skipping
+    codegen/adapter wrappers) must be a partial aggregate."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    ops = [ln.strip().lstrip(":+- ").lstrip("*0123456789() ") for ln in lines]
+    ops = [o for o in ops if o and not o.startswith(("WholeStageCodegen", "ColumnarToRow", "InputAdapter",
+                                                     "AdaptiveSparkPlan"))]
+    checked = 0
+    for i, o in enumerate(ops):
+        if o.startswith("Exchange hashpartitioning"):
+            checked += 1
+            below = ops[i + 1]
+            # partial_* functions, or a key-only partial aggregate (distinct)
+            assert below.startswith("HashAggregate") and (
+                "partial_" in below or "functions=[]" in below), below
+    return checked
+
+
+def test_hot_keys_are_reduced_before_shuffles(spark):
+    # One key holds a third of the rows.
+    rows = [("hot",)] * 300 + [(f"k{i}",) for i in range(600)] + [(None,)] * 50
+    fact = spark.createDataFrame(rows, "fk string").repartition(4)
+    dim = spark.createDataFrame([("hot",)] + [(f"k{i}",) for i in range(0, 600, 2)], "k string")
+    assert _exchanges_fed_by_partial_agg(qc.check_duplicates(fact, "t", ["fk"])) >= 1
+    assert _exchanges_fed_by_partial_agg(
+        qc.check_referential_integrity(fact, "t", "fk", dim, "k")) >= 1
+    r = _by_check(qc.check_referential_integrity(fact, "t", "fk", dim, "k"))["referential_integrity_fk"]
+    assert r["failed_rows"] == 300 and r["row_count"] == 950
