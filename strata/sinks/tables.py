@@ -54,6 +54,11 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     spark = df.sparkSession
     _ensure_db(spark, name)
     path = new_snapshot_path(spark, name, tag)
+    if partition_by:
+        # Rebalance by the partition columns: AQE keeps a partition's rows
+        # together (few files per partition) and splits a hot partition
+        # over several tasks instead of giving it to one.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -103,7 +108,8 @@ def merge_partitioned(source: DataFrame, name: str, keys: list[str], partition_c
     affected = target.filter(F.col(partition_col).isin(touched))
     merged = merge_update_all(affected, source, keys, check_unique=False).select(*target.columns)
     staged = materialize(merged, "merge-stage")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (staged.hint("rebalance", partition_col)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .insertInto(name))
     present = {r[0] for r in staged.select(partition_col).distinct().collect()}
     for p in set(touched) - present:
