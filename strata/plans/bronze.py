@@ -47,8 +47,12 @@ def scan_new(spark: SparkSession, ctx: RunContext, entity: str, paths: list[str]
 
 def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, landing: str,
                          target: str | None = None, ledger: str | None = None,
-                         audit: str | None = None, keyword: str | None = None) -> IngestResult | None:
+                         audit: str | None = None, keyword: str | None = None,
+                         label: str | None = None) -> IngestResult | None:
+    """``label``: logical table name used in check results and audit rows
+    (defaults to ``target``)."""
     target = target or TABLES["bronze"][entity]
+    label = label or target
     ledger = ledger or TABLES["processed_files"]
     audit = audit or TABLES["load_audit"]
     found = files.match_entity(files.list_files(spark, landing), keyword or entity)
@@ -57,7 +61,7 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
     if not paths:
         return None
     df = scan_new(spark, ctx, entity, paths)
-    sc = qc.check_schema(df, target, bronze_schema(entity))
+    sc = qc.check_schema(df, label, bronze_schema(entity))
     sc_rows = [r.asDict() for r in sc.collect()]
     if sc_rows[0]["status"] == "FAIL":
         raise qc.QCFailure(sc_rows)
@@ -68,6 +72,6 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
                        .select("file_path", ctx.batch_lit().alias("batch_id"), "row_count",
                                ctx.ts_lit().alias("processed_at")))
     tables.append(led_rows.select(*PROCESSED_FILES.fieldNames()), ledger, tag=ctx.batch_id)
-    tables.append(audit_row(written, ctx, target), audit, tag=ctx.batch_id)
+    tables.append(audit_row(written, ctx, label), audit, tag=ctx.batch_id)
     n = written.count()
     return IngestResult(entity, paths, n, sc_rows)

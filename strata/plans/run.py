@@ -37,6 +37,17 @@ from .silver import to_silver
 ORDER = ("customers", "products", "stores", "transactions")
 
 
+@dataclass(frozen=True)
+class Namespace:
+    """Logical table name -> physical table.  The default is the identity;
+    a database name isolates a whole run (e.g. a replay or a test) while
+    results and audit rows keep the logical names."""
+    db: str | None = None
+
+    def __call__(self, logical: str) -> str:
+        return logical if not self.db else f"{self.db}.{logical.replace('.', '__')}"
+
+
 @dataclass
 class RunReport:
     ctx: RunContext
@@ -45,25 +56,26 @@ class RunReport:
     results: list = field(default_factory=list)
 
 
-def _audit(spark: SparkSession) -> DataFrame:
-    name = TABLES["load_audit"]
+def _audit(spark: SparkSession, ns: Namespace) -> DataFrame:
+    name = ns(TABLES["load_audit"])
     return tables.read(spark, name) if tables.exists(spark, name) else spark.createDataFrame([], LOAD_AUDIT)
 
 
 def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool = True,
-                fail_on_empty: bool = False) -> int:
+                fail_on_empty: bool = False, ns: Namespace = Namespace()) -> int:
     """Returns the number of rows merged (0 for an empty batch)."""
     spec = ENTITIES[entity]
-    target, source = spec.silver_table, spec.bronze_table
+    label = spec.silver_table
+    target, source = ns(spec.silver_table), ns(spec.bronze_table)
     bronze = tables.read(spark, source)
     first = not tables.exists(spark, target)
-    batch = bronze if first else inc.incremental_read(bronze, _audit(spark), target)
+    batch = bronze if first else inc.incremental_read(bronze, _audit(spark, ns), label)
     staged = tables.materialize(to_silver(batch, spec, ctx), f"silver-batch-{entity}")
-    results = qc.evaluate(staged, target, spec.qc)
+    results = qc.evaluate(staged, label, spec.qc)
     if spec.foreign_keys:
         fk = [qc.check_referential_integrity(
-                  staged.filter(F.col(c).isNotNull()) if pre else staged, target, c,
-                  tables.read(spark, ENTITIES[ref].silver_table), key, seq=100 + i)
+                  staged.filter(F.col(c).isNotNull()) if pre else staged, label, c,
+                  tables.read(spark, ns(ENTITIES[ref].silver_table)), key, seq=100 + i)
               for i, (c, ref, key, pre) in enumerate(spec.foreign_keys)]
         results = qc.union_all([results] + fk)
     res = results.collect()
@@ -80,12 +92,13 @@ def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool =
         merged = staged if first else merge_update_all(tables.read(spark, target), staged,
                                                        list(spec.merge_keys))
         tables.publish(merged, target, tag=ctx.batch_id)
-    tables.append(inc.audit_row(staged, ctx, target), TABLES["load_audit"], tag=ctx.batch_id)
+    tables.append(inc.audit_row(staged, ctx, label), ns(TABLES["load_audit"]), tag=ctx.batch_id)
     return n
 
 
-def gold_step(spark: SparkSession, ctx: RunContext, gate: bool = True) -> None:
-    s = {e: tables.read(spark, ENTITIES[e].silver_table) for e in ORDER}
+def gold_step(spark: SparkSession, ctx: RunContext, gate: bool = True,
+              ns: Namespace = Namespace()) -> None:
+    s = {e: tables.read(spark, ns(ENTITIES[e].silver_table)) for e in ORDER}
     tx = s["transactions"]
     marts = {
         "customer_summary": gold.customer_summary(s["customers"], tx),
@@ -97,34 +110,38 @@ def gold_step(spark: SparkSession, ctx: RunContext, gate: bool = True) -> None:
         staged = tables.materialize(df, f"gold-{m}")
         if gate:
             qc.gate(qc.evaluate(staged, TABLES["gold"][m], GOLD_SUITE[m]))
-        tables.overwrite_merge_schema(add_audit(staged, ctx), TABLES["gold"][m], tag=ctx.batch_id)
+        tables.overwrite_merge_schema(add_audit(staged, ctx), ns(TABLES["gold"][m]), tag=ctx.batch_id)
 
 
-def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool = False) -> DataFrame:
-    b = {e: tables.read(spark, ENTITIES[e].bronze_table) for e in ORDER}
-    s = {e: tables.read(spark, ENTITIES[e].silver_table) for e in ORDER}
-    g = {m: tables.read(spark, t) for m, t in TABLES["gold"].items()}
+def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool = False,
+                    ns: Namespace = Namespace()) -> DataFrame:
+    b = {e: tables.read(spark, ns(ENTITIES[e].bronze_table)) for e in ORDER}
+    s = {e: tables.read(spark, ns(ENTITIES[e].silver_table)) for e in ORDER}
+    g = {m: tables.read(spark, ns(t)) for m, t in TABLES["gold"].items()}
     res = validation.all_layers(b, s, g).select(
         *[c for c in QC_RESULT_STORED.fieldNames() if c not in ("checked_at", "batch_id")],
         ctx.ts_lit().alias("checked_at"), ctx.batch_lit().alias("batch_id"))
-    tables.append(res, TABLES["validation_results"], tag=ctx.batch_id)
-    stored = tables.read(spark, TABLES["validation_results"]).filter(F.col("batch_id") == ctx.batch_id)
+    results_table = ns(TABLES["validation_results"])
+    tables.append(res, results_table, tag=ctx.batch_id)
+    stored = tables.read(spark, results_table).filter(F.col("batch_id") == ctx.batch_id)
     if raise_on_fail:
         qc.gate(stored)
     return stored
 
 
 def run_layers(spark: SparkSession, ctx: RunContext, landing: str, gate: bool = True,
-               validate: bool = True) -> RunReport:
+               validate: bool = True, ns: Namespace = Namespace()) -> RunReport:
     rep = RunReport(ctx)
     for e in ORDER:
-        r = ingest_csv_to_bronze(spark, ctx, e, landing)
+        r = ingest_csv_to_bronze(spark, ctx, e, landing, target=ns(ENTITIES[e].bronze_table),
+                                 ledger=ns(TABLES["processed_files"]), audit=ns(TABLES["load_audit"]),
+                                 label=ENTITIES[e].bronze_table)
         rep.bronze[e] = r.rows if r else 0
     for e in ORDER:
-        if tables.exists(spark, ENTITIES[e].bronze_table):
-            rep.silver_rows[e] = silver_step(spark, ctx, e, gate=gate)
-    if all(tables.exists(spark, ENTITIES[e].silver_table) for e in ORDER):
-        gold_step(spark, ctx, gate=gate)
+        if tables.exists(spark, ns(ENTITIES[e].bronze_table)):
+            rep.silver_rows[e] = silver_step(spark, ctx, e, gate=gate, ns=ns)
+    if all(tables.exists(spark, ns(ENTITIES[e].silver_table)) for e in ORDER):
+        gold_step(spark, ctx, gate=gate, ns=ns)
         if validate:
-            rep.results = [r.asDict() for r in validation_step(spark, ctx).collect()]
+            rep.results = [r.asDict() for r in validation_step(spark, ctx, ns=ns).collect()]
     return rep
