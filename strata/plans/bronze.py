@@ -35,6 +35,7 @@ class IngestResult:
     files: list
     rows: int
     schema_check: list
+    row_count_check: list
 
 
 def scan_new(spark: SparkSession, ctx: RunContext, entity: str, paths: list[str]) -> DataFrame:
@@ -73,5 +74,6 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
                                ctx.ts_lit().alias("processed_at")))
     tables.append(led_rows.select(*PROCESSED_FILES.fieldNames()), ledger, tag=ctx.batch_id)
     tables.append(audit_row(written, ctx, label), audit, tag=ctx.batch_id)
-    n = written.count()
-    return IngestResult(entity, paths, n, sc_rows)
+    # Reported, not gated (the write has already committed).
+    rc_rows = [r.asDict() for r in qc.check_row_count(written, label).collect()]
+    return IngestResult(entity, paths, rc_rows[0]["row_count"], sc_rows, rc_rows)

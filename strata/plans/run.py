@@ -130,7 +130,13 @@ def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool =
 
 
 def run_layers(spark: SparkSession, ctx: RunContext, landing: str, gate: bool = True,
-               validate: bool = True, ns: Namespace = Namespace()) -> RunReport:
+               validate: bool = True, ns: Namespace = Namespace(),
+               raise_on_validation_fail: bool | None = None) -> RunReport:
+    """bronze -> silver -> gold -> validation.  ``gate`` stops a layer's
+    write on a failed check; the validation results are stored first and the
+    run then raises if any FAILed (default: same as ``gate``)."""
+    if raise_on_validation_fail is None:
+        raise_on_validation_fail = gate
     rep = RunReport(ctx)
     for e in ORDER:
         r = ingest_csv_to_bronze(spark, ctx, e, landing, target=ns(ENTITIES[e].bronze_table),
@@ -144,4 +150,6 @@ def run_layers(spark: SparkSession, ctx: RunContext, landing: str, gate: bool =
         gold_step(spark, ctx, gate=gate, ns=ns)
         if validate:
             rep.results = [r.asDict() for r in validation_step(spark, ctx, ns=ns).collect()]
+            if raise_on_validation_fail:
+                qc.raise_failures(rep.results)
     return rep
