@@ -83,3 +83,25 @@ def test_incremental_golden_and_replay(spark, tmp_path):
     assert g.agg(F.sum("total_transactions")).first()[0] == 1150
     names = {r.customer_id for r in g.select("customer_id").collect()}
     assert names == {f"C{i}" for i in range(10)}
+
+
+def test_validation_failure_is_stored_then_raised(spark, tmp_path):
+    import pytest
+    from strata.operators.qc import QCFailure
+    from strata.plans.run import Namespace
+    land = tmp_path / "landing"
+    land.mkdir()
+    _write(land / "customers.csv", "customer_id,name,signup_date", [("C1", "One", "05/03/2024")])
+    _write(land / "products.csv", "sku,product_key,category,list_price", [("sku-1", "pk-1", "cat", 10.0)])
+    _write(land / "stores.csv", "store_id,name,region", [("s1", "Store", "EAST")])
+    rows = _tx_rows(0, 3)
+    rows[0] = rows[0][:5] + ("C404",) + rows[0][6:]      # orphan customer
+    rows = [r[:4] + ("s1", r[5] if r[5] == "C404" else "C1", "sku-1") + r[7:] for r in rows]
+    _write(land / "transactions_1.csv", TX_HEADER, rows)
+    ns = Namespace("strata_t_fail")
+    ctx = RunContext(as_of=datetime(2024, 3, 1, 2), batch_id="bf")
+    with pytest.raises(QCFailure) as e:
+        run_layers(spark, ctx, str(land), gate=False, raise_on_validation_fail=True, ns=ns)
+    assert any(f["check_name"] == "referential_integrity_customer_id" for f in e.value.failures)
+    stored = tables.read(spark, ns(TABLES["validation_results"])).filter("batch_id = 'bf'")
+    assert stored.count() == 50
