@@ -31,11 +31,17 @@ from ..specs import ENTITIES
 
 
 def file_stream(spark: SparkSession, landing: str, entity: str, keyword: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None,
+                archive_dir: str | None = None) -> DataFrame:
+    """``max_files_per_trigger`` bounds a micro-batch; ``archive_dir`` moves
+    committed files out of the landing folder (``cleanSource=archive``) so
+    the listing each trigger does stays proportional to the new files."""
     r = (spark.readStream.schema(ENTITY_SCHEMAS[entity]).options(**CSV_READ)
               .option("pathGlobFilter", f"*{keyword or entity}*.csv"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.csv(landing).withColumn("_source_path", source_path())
 
 
@@ -53,7 +59,8 @@ def upsert_batch(batch: DataFrame, entity: str, target: str, ctx: RunContext) ->
 
 
 def run_available(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,
-                  as_of: datetime | None = None, max_files_per_trigger: int | None = None) -> int:
+                  as_of: datetime | None = None, max_files_per_trigger: int | None = None,
+                  archive_dir: str | None = None) -> int:
     """Process every file that landed since the last run, then stop.
     Returns the number of micro-batches run."""
     epochs = []
@@ -64,7 +71,8 @@ def run_available(spark: SparkSession, landing: str, entity: str, target: str, c
         upsert_batch(batch, entity, target, ctx)
         epochs.append(epoch_id)
 
-    q = (file_stream(spark, landing, entity, max_files_per_trigger=max_files_per_trigger)
+    q = (file_stream(spark, landing, entity, max_files_per_trigger=max_files_per_trigger,
+                     archive_dir=archive_dir)
          .writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

