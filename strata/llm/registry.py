@@ -36,3 +36,9 @@ def oracle_sql() -> dict[str, str]:
 def op10(spark, sf_dir):
     from . import token_files
     return token_files.round_trip(common.table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"))
+
+
+@_register("op6_packing")
+def op6(spark, sf_dir):
+    from . import packing
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"))
