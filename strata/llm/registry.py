@@ -42,3 +42,9 @@ def op10(spark, sf_dir):
 def op6(spark, sf_dir):
     from . import packing
     return packing.pack_documents(common.table(spark, sf_dir, "documents"))
+
+
+@_register("op3_decontaminate")
+def op3(spark, sf_dir):
+    from . import decontaminate
+    return decontaminate.report(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
