@@ -48,3 +48,9 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     from . import decontaminate
     return decontaminate.report(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@_register("op9_fingerprints")
+def op9(spark, sf_dir):
+    from . import fingerprints
+    return fingerprints.compare(common.table(spark, sf_dir, "documents"))
