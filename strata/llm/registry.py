@@ -54,3 +54,9 @@ def op3(spark, sf_dir):
 def op9(spark, sf_dir):
     from . import fingerprints
     return fingerprints.compare(common.table(spark, sf_dir, "documents"))
+
+
+@_register("op2_quality")
+def op2(spark, sf_dir):
+    from . import quality
+    return quality.predict(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
