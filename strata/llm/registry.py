@@ -60,3 +60,9 @@ def op9(spark, sf_dir):
 def op2(spark, sf_dir):
     from . import quality
     return quality.predict(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@_register("op5_minhash")
+def op5(spark, sf_dir):
+    from . import minhash
+    return minhash.groups(common.table(spark, sf_dir, "documents"))
