@@ -66,3 +66,9 @@ def op2(spark, sf_dir):
 def op5(spark, sf_dir):
     from . import minhash
     return minhash.groups(common.table(spark, sf_dir, "documents"))
+
+
+@_register("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    from . import suffix_dedup
+    return suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"))
