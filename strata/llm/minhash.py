@@ -13,18 +13,7 @@ slots has an offer, because no later one is less.
 *Groups.*  Documents with equal sets are one class from the start.  BANDS
 bands of ROWS slots put the classes into buckets: a pair at the threshold of
 0.75 shares none with probability (1 - 0.75**ROWS)**BANDS, 5e-6.  Candidates
-are confirmed on their full sets:
-
-1. each class against the least class of its buckets, then components;
-2. in every bucket, the classes outside the component of the bucket's least
-   class against all classes of the bucket that are in another component.
-
-A link that both steps leave out joins two classes of one component, so the
-components are those of all links, and a bucket of n like texts costs n
-confirmations, not n**2.
-
-Confirmation streams each least class's text beside its candidates', with
-GUESTS candidates to a copy of it, so no class is too popular for a task.
+are confirmed on their full sets, along :mod:`linking`.
 
 Cases: texts without words are linked with nothing; repeated rows and null
 ids follow ``common.keyed``; an empty table gives no rows; texts of any
@@ -39,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays, common
-from .components import components
+from .linking import link
 
 SHINGLE = 5
 SLOTS = 131  # a prime: rank * step + offset visits every slot
@@ -47,8 +36,6 @@ ROWS = 4
 BANDS = 32
 #: Link when SIMILAR[0] * |intersection| >= SIMILAR[1] * |union|.
 SIMILAR = (100, 75)
-#: Candidates that share a copy of the text they are confirmed against.
-GUESTS = 64
 
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -147,19 +134,6 @@ def _confirm(batches):
                                          names=["a", "b"])
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (hub, _key) whose sets are similar, as (a, b)."""
-    n = common.partitions(pairs.sparkSession)
-    hubs = pairs.groupBy("hub").agg(F.ceil(F.count("*") / GUESTS).cast("int").alias("copies"))
-    guests = pairs.join(hubs, "hub").select(
-        "_key", "hub", F.pmod(F.xxhash64("_key"), F.col("copies")).cast("int").alias("copy"), F.lit(1).alias("guest"))
-    hosts = hubs.select(F.col("hub").alias("_key"), "hub", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
-                        F.lit(0).alias("guest"))
-    rows = guests.unionByName(hosts).join(texts, "_key").select("hub", "copy", "guest", "_key", "text")
-    return rows.repartition(n, "hub", "copy").sortWithinPartitions("hub", "copy", "guest", "_key") \
-        .mapInArrow(_confirm, "a long, b long")
-
-
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_key, id, n_shingles, component) of every row; component is a key."""
     d = common.keyed(docs, id_col=id_col, text_col=text_col).select("_key", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -174,21 +148,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shared = common.stage(bucketed.join(hubs, "bucket"), "buckets")  # classes that share a bucket
     wanted = shared.select("_key").distinct()
     texts = common.stage(d.select("_key", "text").join(wanted, "_key", "left_semi").dropDuplicates(["_key"]), "texts")
-    first = shared.groupBy("_key").agg(F.min("hub").alias("hub")).filter("_key != hub")
-    links = common.stage(confirmed(first, texts), "links")
-    found = components(links)
-    # the second step: classes that aren't in the component of their bucket's hub
-    named = found.select(F.col("node").alias("_key"), F.col("component").alias("c"))
-    placed = shared.join(named, "_key", "left").withColumn("c", F.coalesce("c", "_key"))
-    mains = named.select(F.col("_key").alias("hub"), F.col("c").alias("main"))
-    placed = common.stage(placed.join(mains, "hub", "left").withColumn("main", F.coalesce("main", "hub")), "buckets")
-    strays = placed.filter("c != main").select("bucket", F.col("_key").alias("s"), F.col("c").alias("cs"))
-    pairs = strays.join(placed.select("bucket", "_key", "c", "main"), "bucket") \
-        .filter("cs != c and (c = main or s < _key)") \
-        .select(F.least("s", "_key").alias("hub"), F.greatest("s", "_key").alias("_key")).distinct()
-    more = common.stage(confirmed(common.stage(pairs, "pairs"), texts), "links")
-    if not more.isEmpty():
-        found = components(links.union(more))
+    found = link(shared, lambda _: texts, _confirm)
     classes = member.join(found, F.col("class") == F.col("node"), "left") \
         .select("_key", F.coalesce("component", "class").alias("component"))
     return signed.select("_key", "id", "n_shingles").join(classes, "_key", "left") \

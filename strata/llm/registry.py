@@ -72,3 +72,9 @@ def op5(spark, sf_dir):
 def op1(spark, sf_dir):
     from . import suffix_dedup
     return suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
+@_register("op8_line_dedup")
+def op8(spark, sf_dir):
+    from . import lines
+    return lines.report(common.table(spark, sf_dir, "documents"))
