@@ -164,7 +164,7 @@ class _Task:
 def _pack(path: str, with_ids: bool, batches):
     enc, task = tokens.encoder(path), _Task(with_ids)
     for batch in batches:
-        for i, j in arrays.slices(batch.column(1)):
+        for i, j in arrays.slices(batch.column(1), tokens.SLICE_BYTES):
             part = batch.slice(i, j - i)
             ids, off = enc.encode(part.column(1))
             for r, doc_id in enumerate(part.column(0).to_pylist()):

@@ -76,7 +76,7 @@ def _tokenize(path: str, bounds: list[int], batches):
     """Arrow batches (_key, id, text) to (bucket, _key, id, n_tokens, ids)."""
     enc, bounds = tokens.encoder(path), np.asarray(bounds, np.int64)
     for batch in batches:
-        for i, j in arrays.slices(batch.column(2)):
+        for i, j in arrays.slices(batch.column(2), tokens.SLICE_BYTES):
             part = batch.slice(i, j - i)
             ids, off = enc.encode(part.column(2))
             n = len(part)

@@ -3,12 +3,13 @@
 White space always ends a pre-token of the word-level vocabulary used here,
 so a text's ids are those of its blank-separated chunks, end to end.  Texts
 are cut into chunks in Arrow, each distinct chunk of a batch is looked up
-once, and only pre-tokens that a bounded table doesn't hold reach the
+once, and only those that a bounded table doesn't hold reach the
 tokenizer."""
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,10 @@ from .arrays import _large
 
 #: Id that ends each document.
 END_ID = 1
-#: Pre-tokens that a worker remembers; the table starts anew beyond that.
-REMEMBERED = 500_000
+#: Chunks that a worker remembers; the table starts anew beyond that.
+REMEMBERED = 600_000
+#: Text that one call of the encoder gets.
+SLICE_BYTES = 6 << 20
 
 # A chunk that normalisation only lower-cases and that splits into one run of
 # letters and one run of marks.  Apostrophes are left out (they start
@@ -53,20 +56,40 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, tuple[int, ...]] = {"": ()}
-
-    def _piece(self, text: str) -> tuple[int, ...]:
-        got = self.index.get(text)
-        if got is None:
-            raw = text if text.isascii() else "".join(self._symbols[b] for b in text.encode())
-            got = self.index[text] = tuple(t.id for t in self.model.tokenize(raw))
-        return got
-
-    def _chunk(self, text: str) -> tuple[int, ...]:
+        self.index: dict[str, int] = {}  # chunk -> its place in ``begin``
+        self.flat, self.begin = array("H"), array("i", [0])
+        self._add("", ())
+
+    def _add(self, text: str, ids) -> int:
+        self.flat.extend(ids)
+        self.begin.append(len(self.flat))
+        code = self.index[text] = len(self.begin) - 2
+        return code
+
+    def _ids(self, code: int) -> array:
+        return self.flat[self.begin[code]:self.begin[code + 1]]
+
+    def _piece(self, text: str) -> int:
+        code = self.index.get(text)
+        if code is None:
+            raw = text if text.isascii() else "".join([self._symbols[b] for b in text.encode()])
+            code = self._add(text, [t.id for t in self.model.tokenize(raw)])
+        return code
+
+    def _chunk(self, text: str) -> int:
         m = _PLAIN.fullmatch(text)
         if m is None or "<|" in text:
-            return tuple(self.tok.encode(text, add_special_tokens=False).ids)
-        return self._piece(m[1].lower()) + self._piece(m[2])
+            return self._add(text, self.tok.encode(text, add_special_tokens=False).ids)
+        word, marks = m.groups()
+        word = word.lower()
+        if not marks:
+            code = self._piece(word)
+            if word != text:
+                self.index[text] = code
+            return code
+        if not word:
+            return self._piece(marks)
+        return self._add(text, self._ids(self._piece(word)) + self._ids(self._piece(marks)))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows end to end (uint16) and n + 1 offsets.  A null or
@@ -78,15 +101,16 @@ class Encoder:
         before = np.asarray(lists.offsets, dtype=np.int64)
         words = lists.values.slice(before[0], before[-1] - before[0]).dictionary_encode()
         before = before - before[0]
-        found = [self._chunk(w) for w in words.dictionary.to_pylist()]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        begin = np.cumsum(size) - size
-        flat = np.fromiter((i for x in found for i in x), np.uint16, int(size.sum()))
-        codes = words.indices.to_numpy(zero_copy_only=False)
-        n = size[codes]
-        total = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(begin[codes] - total[:-1], n) + np.arange(total[-1])]
-        return ids, total[before]
+        get, chunk = self.index.get, self._chunk
+        place = [chunk(w) if c is None else c for w, c in ((w, get(w)) for w in words.dictionary.to_pylist())]
+        code = np.array(place, np.int32)[words.indices.to_numpy(zero_copy_only=False)]
+        begin, flat = np.array(self.begin, np.int32), np.array(self.flat, np.uint16)
+        n = (begin[1:] - begin[:-1])[code]
+        total = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=total[1:])
+        at = np.repeat((begin[code] - total[:-1]).astype(np.int32), n)
+        at += np.arange(total[-1], dtype=np.int32)
+        return flat[at], total[before]
 
 
 _ENCODERS: dict[str, Encoder] = {}
