@@ -78,3 +78,36 @@ def op1(spark, sf_dir):
 def op8(spark, sf_dir):
     from . import lines
     return lines.report(common.table(spark, sf_dir, "documents"))
+
+
+@_register("op4_tool_calls", """
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+asked AS (SELECT DISTINCT conv_id, turn FROM c WHERE role = 'user'),
+e AS (
+  SELECT c.*, CASE WHEN role = 'user' THEN 'call' WHEN a.turn IS NOT NULL THEN 'result' ELSE 'message' END AS kind,
+         CASE WHEN role = 'user' THEN c.conv_id || ':' || c.turn WHEN a.turn IS NOT NULL THEN c.conv_id || ':' || a.turn END AS call_id
+  FROM c LEFT JOIN asked a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1 AND c.role = 'assistant'),
+firsts AS (
+  SELECT conv_id, call_id, kind, min(struct_pack(t := turn, m := md5(text))) AS first
+  FROM e WHERE call_id IS NOT NULL GROUP BY ALL),
+r AS (
+  SELECT e.*, k.first AS k, s.first AS s FROM e
+  LEFT JOIN firsts k ON k.kind = 'call' AND k.conv_id = e.conv_id AND k.call_id = e.call_id
+  LEFT JOIN firsts s ON s.kind = 'result' AND s.conv_id = e.conv_id AND s.call_id = e.call_id),
+x AS (
+  SELECT *, CASE WHEN kind = 'call' AND (k.t <> turn OR k.m <> md5(text)) THEN 'identifier repeated'
+                 WHEN kind = 'result' AND k IS NULL THEN 'no such call'
+                 WHEN kind = 'result' AND (s.t <> turn OR s.m <> md5(text)) THEN 'result repeated' END AS error
+  FROM r)
+SELECT conv_id, turn, 0 AS pos, kind, call_id,
+       CASE kind WHEN 'call' THEN s.t WHEN 'result' THEN k.t END AS linked_turn,
+       CASE WHEN kind = 'call' THEN 0 END AS level,
+       CASE WHEN kind <> 'message' THEN error IS NULL END AS valid, error,
+       CASE kind WHEN 'call' THEN to_json({'arguments': {'prompt': text}, 'id': call_id, 'name': 'reply', 'type': 'function'})
+                 WHEN 'result' THEN to_json({'content': text, 'role': 'tool', 'tool_call_id': call_id})
+                 ELSE to_json({'content': text, 'role': role}) END::VARCHAR AS json
+FROM x
+""")
+def op4(spark, sf_dir):
+    from . import toolcalls
+    return toolcalls.format_chats(common.table(spark, sf_dir, "conversations"))
