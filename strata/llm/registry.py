@@ -111,3 +111,9 @@ FROM x
 def op4(spark, sf_dir):
     from . import toolcalls
     return toolcalls.format_chats(common.table(spark, sf_dir, "conversations"))
+
+
+@_register("op7_html_extract")
+def op7(spark, sf_dir):
+    from . import html_extract
+    return html_extract.extract(common.table(spark, sf_dir, "pages"))
