@@ -44,6 +44,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def wrap(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, _rest): all other columns, whatever their names, as one."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    return docs.select(id_col, text_col, F.struct(*rest or [F.lit(0).alias("_")]).alias("_rest"))
+
+
+def unwrap(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns that :func:`wrap` was given, in their order."""
+    return df.select(*[F.col(c) if c in (id_col, text_col) else F.col("_rest").getField(c).alias(c) for c in columns])
+
+
 def keyed(docs: DataFrame, *columns: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_key, id, text, *columns): see the module's docstring.  Only the id
     column is read to find out whether the ids are unique."""

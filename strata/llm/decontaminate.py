@@ -224,8 +224,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The documents (all their columns) in which no benchmark span occurs."""
-    spark = docs.sparkSession
-    columns = docs.columns
-    d = common.keyed(docs, *[c for c in columns if c not in ("doc_id", "text")])
+    d = common.keyed(common.wrap(docs), "_rest")
     hit = find_hits(d.select(F.col("_key").alias("doc_id"), "text"), benchmark, **kw).filter(F.size("hits") > 0)
-    return d.join(hit.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*columns)
+    left = d.join(hit.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti")
+    return common.unwrap(left, docs.columns)

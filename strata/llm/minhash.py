@@ -166,6 +166,6 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents (all their columns) that come first in their group; of
     rows that repeat id and text, one stays."""
-    d = common.keyed(docs, *[c for c in docs.columns if c not in (id_col, text_col)], id_col=id_col, text_col=text_col)
+    d = common.keyed(common.wrap(docs, id_col, text_col), "_rest", id_col=id_col, text_col=text_col)
     kept = _grouped(docs, id_col, text_col).filter("_key = component").select("_key").distinct()
-    return d.dropDuplicates(["_key"]).join(kept, "_key", "left_semi").select(*docs.columns)
+    return common.unwrap(d.dropDuplicates(["_key"]).join(kept, "_key", "left_semi"), docs.columns, id_col, text_col)

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import arrays, common
 
@@ -290,20 +291,21 @@ def _picked(given, batches):
 
 
 def _scored(model, batches):
+    """(.., text) to (.., text, score)."""
     for batch in batches:
-        for i, j in arrays.slices(batch.column(0)):
+        text = batch.num_columns - 1
+        for i, j in arrays.slices(batch.column(text)):
             part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.value.score(part.column(0)), pa.float64())],
-                                             names=[*part.schema.names[1:], "_score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.value.score(part.column(text)), pa.float64())],
+                                             names=[*part.schema.names, "_score"])
 
 
 def score(docs: DataFrame, model: Model, *columns: str, text_col: str = "text") -> DataFrame:
-    """The chosen columns of every row, and ``_score`` (0 to 1)."""
+    """The chosen columns of every row, its text and ``_score`` (0 to 1)."""
     spark = docs.sparkSession
     common.bound_batches(spark)
-    kept = docs.select(*columns)
-    schema = kept.schema.add("_score", "double")
-    d = docs.select(F.col(text_col).cast("string").alias("_text"), *columns)
+    d = docs.select(*columns, F.col(text_col).cast("string").alias(text_col))
+    schema = T.StructType([*d.schema.fields, T.StructField("_score", T.DoubleType())])
     return d.mapInArrow(partial(_scored, spark.sparkContext.broadcast(model)), schema)
 
 
@@ -325,4 +327,5 @@ def predict(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents (all their columns) that the classifier doesn't reject."""
     model = fit(docs, labels.filter(~held_out()), sample)
-    return score(docs, model, *docs.columns).filter(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    kept = score(common.wrap(docs), model, "doc_id", "_rest").filter(F.col("_score") >= THRESHOLD)
+    return common.unwrap(kept, docs.columns)
