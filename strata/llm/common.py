@@ -10,6 +10,8 @@ SHA-256 of their text: rows that repeat both id and text are one document
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bound_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of Python stages by bytes, so that a run of
-    very long rows can't fill a worker."""
+    very long rows can't fill a worker; and let workers on this machine find
+    the package where the driver did (a cluster gets it by ``--py-files``)."""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

@@ -1,21 +1,25 @@
 """Links between rows that share buckets, without all pairs of a bucket.
 
-Given (bucket, _key, hub) - the rows of buckets that have more than one, and
-each bucket's least key - :func:`link` finds components:
+Given (bucket, _key, hub, score) - the rows of buckets that have more than
+one, a member of each bucket as its hub, and how good a hub it is -
+:func:`link` finds components:
 
-1. each row is confirmed against the least hub it may be like;
+1. each row is confirmed against the best hub it may be like;
 2. in every bucket, the rows outside the component of the bucket's hub are
-   confirmed against all rows of the bucket that are in another component.
+   confirmed against all rows of the bucket that are in another component
+   and that they may be like.
 
 A link that both steps leave out joins two rows of one component, so the
-components are those of all links, and a bucket of n like rows costs n
-confirmations, not n**2."""
+components are those of all links, and a bucket of n rows like their hub
+costs n confirmations, not n**2.  "May be like" is a bound that holds for
+every link (:class:`Bound`), so it loses none."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -42,24 +46,61 @@ def confirmed(pairs: DataFrame, texts: DataFrame, confirm) -> DataFrame:
         .mapInArrow(confirm, "a long, b long")
 
 
-def link(shared: DataFrame, texts: Callable[[DataFrame], DataFrame], confirm,
-         near: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
-    """(node, component) of the rows that have links.  ``texts`` gives the
-    (_key, text) of the keys in a frame of (_key); ``near`` may drop pairs
-    (hub, _key) that can't be links."""
-    first = near(shared.filter("_key != hub").select("hub", "_key").distinct()).groupBy("_key").agg(F.min("hub").alias("hub"))
+@dataclass(frozen=True)
+class Bound:
+    """What a link implies for columns of its two rows.
+
+    ``pair`` takes the names of two rows' columns and tells whether the rows
+    may be linked.  ``alone``, if given, takes the names of one row's columns
+    and of the least values of the columns in its bucket, and tells whether
+    the row may be linked with any row of the bucket."""
+    columns: tuple[str, ...]
+    pair: Callable[[tuple[str, ...], tuple[str, ...]], Column]
+    alone: Callable[[tuple[str, ...], tuple[str, ...]], Column] | None = None
+
+
+def _named(prefix: str, columns: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(f"{prefix}{c}" for c in columns)
+
+
+def _near(pairs: DataFrame, values: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs (hub, _key) that may be links."""
+    def of(key, prefix):
+        return values.select(F.col("_key").alias(key), *[F.col(c).alias(f"{prefix}{c}") for c in bound.columns])
+    both = pairs.join(of("hub", "_a_"), "hub").join(of("_key", "_b_"), "_key")
+    return both.filter(bound.pair(_named("_a_", bound.columns), _named("_b_", bound.columns))).select("hub", "_key")
+
+
+def link(shared: DataFrame, values: DataFrame, bound: Bound, texts: Callable[[DataFrame], DataFrame], confirm) -> DataFrame:
+    """(node, component) of the rows that have links.  ``values`` has the
+    bound's columns by _key; ``texts`` gives the (_key, text) of the keys in
+    a frame of (_key)."""
+    scores = shared.select("hub", "score").distinct()
+    first = _near(shared.filter("_key != hub").select("hub", "_key").distinct(), values, bound).join(scores, "hub") \
+        .groupBy("_key").agg(F.max(F.struct("score", -F.col("hub"))).alias("best")).select("_key", (-F.col("best.col2")).alias("hub"))
     first = common.stage(first, "pairs")
     links = common.stage(confirmed(first, texts(_ends(first)), confirm), "links")
     found = components(links)
     named = found.select(F.col("node").alias("_key"), F.col("component").alias("c"))
-    placed = shared.join(named, "_key", "left").withColumn("c", F.coalesce("c", "_key"))
+    placed = shared.drop("score").join(named, "_key", "left").withColumn("c", F.coalesce("c", "_key"))
     mains = named.select(F.col("_key").alias("hub"), F.col("c").alias("main"))
-    placed = common.stage(placed.join(mains, "hub", "left").withColumn("main", F.coalesce("main", "hub")), "buckets")
-    strays = placed.filter("c != main").select("bucket", F.col("_key").alias("s"), F.col("c").alias("cs"))
-    pairs = strays.join(placed.select("bucket", "_key", "c", "main"), "bucket") \
-        .filter("cs != c and (c = main or s < _key)") \
+    placed = placed.join(mains, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
+    placed = common.stage(placed.join(values, "_key"), "buckets")
+    own = _named("_s_", bound.columns)
+    strays = placed.filter("c != main").select("bucket", F.col("_key").alias("s"), F.col("c").alias("cs"),
+                                               *[F.col(c).alias(n) for c, n in zip(bound.columns, own)])
+    if bound.alone:
+        low = _named("_l_", bound.columns)
+        least = placed.groupBy("bucket").agg(*[F.min(c).alias(n) for c, n in zip(bound.columns, low)])
+        strays = strays.join(least, "bucket").filter(bound.alone(own, low)).drop(*low)
+    strays = common.stage(strays, "strays")
+    if strays.isEmpty():
+        return found
+    members = placed.join(strays.select("bucket").distinct(), "bucket", "left_semi")
+    pairs = strays.join(members, "bucket") \
+        .filter((F.col("cs") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("s") < F.col("_key"))) & bound.pair(own, bound.columns)) \
         .select(F.least("s", "_key").alias("hub"), F.greatest("s", "_key").alias("_key")).distinct()
-    pairs = common.stage(near(pairs), "pairs")
+    pairs = common.stage(pairs, "pairs")
     if pairs.isEmpty():
         return found
     more = common.stage(confirmed(pairs, texts(_ends(pairs)), confirm), "links")

@@ -15,6 +15,13 @@ bands of ROWS slots put the classes into buckets: a pair at the threshold of
 0.75 shares none with probability (1 - 0.75**ROWS)**BANDS, 5e-6.  Candidates
 are confirmed on their full sets, along :mod:`linking`.
 
+*Bounds.*  Elements that only one class of all candidates has can't be in an
+intersection, so what a class shares with any other is at most its other
+elements, its core.  That rules out the many variants of one text that differ
+too much from each other, before they are paired.  The hub of a bucket is the
+class that meets the most classes in all its buckets: the text that its
+variants are most like.
+
 Cases: texts without words are linked with nothing; repeated rows and null
 ids follow ``common.keyed``; an empty table gives no rows; texts of any
 length are read whole; other columns are ignored by :func:`groups` and kept
@@ -28,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays, common
-from .linking import link
+from .linking import Bound, link
 
 SHINGLE = 5
 SLOTS = 131  # a prime: rank * step + offset visits every slot
@@ -134,6 +141,30 @@ def _confirm(batches):
                                          names=["a", "b"])
 
 
+def _elements(batches):
+    """(_key, text) to (element, _key)."""
+    for batch in batches:
+        for i, j in arrays.slices(batch.column(1)):
+            part = batch.slice(i, j - i)
+            h, ahead = shingle_sets(part.column(1))
+            key = part.column(0).to_numpy(zero_copy_only=False)[arrays.rows_of(ahead)]
+            for a in range(0, len(h), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(h[a:a + (1 << 17)].view(np.int64)), pa.array(key[a:a + (1 << 17)])],
+                                                 names=["h", "_key"])
+
+
+def _likely(n: str, core, least_n):
+    """Whether sets of n and least_n elements at least may be similar when
+    they share ``core`` at most."""
+    return SIMILAR[0] * core >= SIMILAR[1] * (F.col(n) + least_n - core)
+
+
+#: Columns n (elements) and core (those that other classes have, too).
+_BOUND = Bound(("n", "core"),
+               pair=lambda a, b: _likely(a[0], F.least(a[1], b[1]), F.col(b[0])),
+               alone=lambda a, low: _likely(a[0], F.col(a[1]), F.greatest(F.col(low[0]), F.lit(1))))
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_key, id, n_shingles, component) of every row; component is a key."""
     d = common.keyed(docs, id_col=id_col, text_col=text_col).select("_key", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -144,11 +175,19 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     member = common.stage(some.select("_key", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("_key", "class").distinct(), "classes")
     heads = member.filter("_key = class").select("_key")
     bucketed = some.dropDuplicates(["_key"]).join(heads, "_key", "left_semi").select("_key", F.explode("bands").alias("bucket"))
-    hubs = bucketed.groupBy("bucket").agg(F.min("_key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("bucket", "hub")
-    shared = common.stage(bucketed.join(hubs, "bucket"), "buckets")  # classes that share a bucket
+    several = bucketed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("n").alias("size"))
+    shared = common.stage(bucketed.join(several, "bucket"), "buckets")  # classes that share a bucket
     wanted = shared.select("_key").distinct()
     texts = common.stage(d.select("_key", "text").join(wanted, "_key", "left_semi").dropDuplicates(["_key"]), "texts")
-    found = link(shared, lambda _: texts, _confirm)
+    lone = texts.mapInArrow(_elements, "h long, _key long").groupBy("h").agg(F.count("*").alias("n"), F.min("_key").alias("_key")) \
+        .filter("n = 1").groupBy("_key").agg(F.count("*").alias("lone"))
+    values = some.select("_key", F.col("n_shingles").alias("n")).join(wanted, "_key", "left_semi").distinct().join(lone, "_key", "left")
+    values = common.stage(values.select("_key", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("core")), "cores")
+    met = shared.groupBy("_key").agg(F.sum("size").alias("met"))
+    hubs = shared.join(met, "_key").groupBy("bucket").agg(F.max(F.struct("met", -F.col("_key"))).alias("best")) \
+        .select("bucket", (-F.col("best.col2")).alias("hub"), F.col("best.met").alias("score"))
+    shared = shared.drop("size")
+    found = link(shared.join(hubs, "bucket"), values, _BOUND, lambda _: texts, _confirm)
     classes = member.join(found, F.col("class") == F.col("node"), "left") \
         .select("_key", F.coalesce("component", "class").alias("component"))
     return signed.select("_key", "id", "n_shingles").join(classes, "_key", "left") \
