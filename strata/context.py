@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def _now() -> datetime:
-    return datetime.now().replace(microsecond=0)
+    """UTC, so that no hour occurs twice, to the microsecond."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class RunContext:
     # Literal columns -------------------------------------------------------
     def ts_lit(self, value: datetime | None = None) -> Column:
         v = value or self.as_of
-        return F.lit(v.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
     def date_lit(self) -> Column:
         return F.lit(self.as_of.strftime("%Y-%m-%d")).cast("date")

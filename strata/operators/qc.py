@@ -449,7 +449,8 @@ def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
     """Compile a declarative rule entry (required / not_null / unique /
     date / numeric columns, min_values, foreign_keys ``col -> entity.col``)
     into the fused checks.  Row order: required, not-null, unique, minimum
-    values, date columns, numeric columns, foreign keys."""
+    values, date columns, numeric columns, foreign keys.  A foreign key
+    without a reference frame is a FAIL; no rules give no rows."""
     c = _Compiled(table_name)
     req = list(rules.get("required_columns", []))
     if req:
@@ -468,7 +469,7 @@ def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
         _conformance_rows(c, df, cols, t, prefix,
                           lambda col, t=t: f" values in {col} that are not a valid {t}",
                           lambda col, t=t: f"All values in {col} are valid {t}", "FAIL")
-    parts = [c.frame(df)]
+    parts = [c.frame(df)] if c.rows else []
     if dup is not None:
         parts.append(dup)
     seq = c.seq
@@ -477,6 +478,10 @@ def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,
         entity, key = target.split(".", 1)
         ref = (references or {}).get(entity)
         if ref is None:
+            missing = _Compiled(table_name)
+            missing.seq = seq - 1
+            missing.static(f"referential_integrity_{fk_col}", "FAIL", f"No reference data for {fk_col} -> {target}")
+            parts.append(missing.frame(df))
             continue
         parts.append(_fk_metrics(df, table_name, fk_col, ref, key, seq))
-    return _finalize(union_all(parts))
+    return _finalize(union_all(parts)) if parts else _empty_results(df.sparkSession)

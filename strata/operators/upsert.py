@@ -54,6 +54,21 @@ def _align(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> D
                        for c in columns])
 
 
+def new_null_key_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                      ignore: Sequence[str] = ()) -> DataFrame:
+    """The source without the NULL-key rows that the target already holds with
+    equal values (but for ``ignore``).  A NULL key matches nothing in a MERGE,
+    so a replayed batch would insert such rows once more."""
+    keyed = _all_keys_present(keys)
+    cols = [c for c in source.columns if c in target.columns and c not in ignore]
+    old = target.filter(~keyed).select(*[F.col(c).alias(f"__old_{c}") for c in cols]).distinct()
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__old_{c}"))
+    fresh = source.filter(~keyed).join(old, same, "left_anti")
+    return source.filter(keyed).unionByName(fresh)
+
+
 def merge_update_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
                      check_unique: bool = True) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *.

@@ -5,7 +5,8 @@ Order of commits (a crash between two steps never loses or repeats a file):
 2. one typed scan of all new files -> drop blank rows -> audit stamp with
    the per-row source path -> schema check (FAIL stops the run);
 3. append to bronze (new snapshot files, then REFRESH);
-4. ledger rows counted from the rows just written (grouped by file);
+4. ledger rows for every listed file, with the rows just written (0 for
+   an empty file);
 5. load-audit row (watermark) for the bronze table.
 A crash after 3 and before 4 re-ingests the files on the next run; the
 batch id of the rerun differs, and the silver dedup/merge collapses the
@@ -68,10 +69,13 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
         raise qc.QCFailure(sc_rows)
     tables.append(df, target, tag=ctx.batch_id)
     written = tables.read(spark, target).filter(F.col("_batch_id") == ctx.batch_id)
-    led_rows = (written.groupBy(F.col("_source_file").alias("file_path"))
-                       .agg(F.count(F.lit(1)).cast("int").alias("row_count"))
-                       .select("file_path", ctx.batch_lit().alias("batch_id"), "row_count",
-                               ctx.ts_lit().alias("processed_at")))
+    # From the listing, so that a file without rows is recorded as well.
+    counts = written.groupBy(F.col("_source_file").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    led_rows = (listed.join(counts, "file_path", "left")
+                      .select("file_path", ctx.batch_lit().alias("batch_id"),
+                              F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+                              ctx.ts_lit().alias("processed_at")))
     tables.append(led_rows.select(*PROCESSED_FILES.fieldNames()), ledger, tag=ctx.batch_id)
     tables.append(audit_row(written, ctx, label), audit, tag=ctx.batch_id)
     # Reported, not gated (the write has already committed).

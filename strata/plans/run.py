@@ -26,13 +26,12 @@ from ..context import RunContext
 from ..operators import gold, qc
 from ..operators import incremental as inc
 from ..operators.audit import add_audit
-from ..operators.upsert import merge_update_all
 from ..schemas import LOAD_AUDIT, QC_RESULT_STORED
 from ..sinks import tables
 from ..specs import ENTITIES, GOLD_SUITE, TABLES
 from . import validation
 from .bronze import ingest_csv_to_bronze
-from .silver import to_silver
+from .silver import to_silver, write_silver
 
 ORDER = ("customers", "products", "stores", "transactions")
 
@@ -56,6 +55,10 @@ class RunReport:
     results: list = field(default_factory=list)
 
 
+class MissingLayer(RuntimeError):
+    """A layer that later steps read has not been written yet."""
+
+
 def _audit(spark: SparkSession, ns: Namespace) -> DataFrame:
     name = ns(TABLES["load_audit"])
     return tables.read(spark, name) if tables.exists(spark, name) else spark.createDataFrame([], LOAD_AUDIT)
@@ -84,14 +87,7 @@ def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool =
         return 0
     if gate:
         qc.raise_failures(res)
-    if spec.partition:
-        col, expr = spec.partition
-        tables.merge_partitioned(staged.withColumn(col, F.expr(expr)), target,
-                                 list(spec.merge_keys), col, check_unique=True)
-    else:
-        merged = staged if first else merge_update_all(tables.read(spark, target), staged,
-                                                       list(spec.merge_keys))
-        tables.publish(merged, target, tag=ctx.batch_id)
+    write_silver(staged, spec, target, ctx)
     tables.append(inc.audit_row(staged, ctx, label), ns(TABLES["load_audit"]), tag=ctx.batch_id)
     return n
 
@@ -110,7 +106,10 @@ def gold_step(spark: SparkSession, ctx: RunContext, gate: bool = True,
         staged = tables.materialize(df, f"gold-{m}")
         if gate:
             qc.gate(qc.evaluate(staged, TABLES["gold"][m], GOLD_SUITE[m]))
-        tables.overwrite_merge_schema(add_audit(staged, ctx), ns(TABLES["gold"][m]), tag=ctx.batch_id)
+        # The customer summary's schema is replaced, the other marts' columns
+        # are merged with those of earlier runs.
+        write = tables.publish if m == "customer_summary" else tables.overwrite_merge_schema
+        write(add_audit(staged, ctx), ns(TABLES["gold"][m]), tag=ctx.batch_id)
 
 
 def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool = False,
@@ -146,10 +145,12 @@ def run_layers(spark: SparkSession, ctx: RunContext, landing: str, gate: bool =
     for e in ORDER:
         if tables.exists(spark, ns(ENTITIES[e].bronze_table)):
             rep.silver_rows[e] = silver_step(spark, ctx, e, gate=gate, ns=ns)
-    if all(tables.exists(spark, ns(ENTITIES[e].silver_table)) for e in ORDER):
-        gold_step(spark, ctx, gate=gate, ns=ns)
-        if validate:
-            rep.results = [r.asDict() for r in validation_step(spark, ctx, ns=ns).collect()]
-            if raise_on_validation_fail:
-                qc.raise_failures(rep.results)
+    missing = [e for e in ORDER if not tables.exists(spark, ns(ENTITIES[e].silver_table))]
+    if missing:
+        raise MissingLayer(f"no silver table for {', '.join(missing)}: gold and validation were not run")
+    gold_step(spark, ctx, gate=gate, ns=ns)
+    if validate:
+        rep.results = [r.asDict() for r in validation_step(spark, ctx, ns=ns).collect()]
+        if raise_on_validation_fail:
+            qc.raise_failures(rep.results)
     return rep

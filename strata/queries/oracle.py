@@ -13,27 +13,26 @@ import re
 # ---------------------------------------------------------------- helpers --
 
 
-def net_x100(p="unit_price", q="quantity", d="discount") -> str:
-    return (f"CAST(CAST({p} AS DECIMAL(12,2)) * CAST({q} AS DECIMAL(6,0)) "
-            f"* (100 - CAST({d} AS DECIMAL(5,2))) AS DECIMAL(28,4))")
+def net(p="unit_price", q="quantity", d="discount") -> str:
+    """price * quantity * (1 - discount / 100)"""
+    return f"(CAST({p} AS DECIMAL(16,6)) * CAST({q} AS DECIMAL(10,0)) * (1 - CAST({d} AS DECIMAL(7,4)) * 0.01))"
 
 
-def disc_x100(p="unit_price", q="quantity", d="discount") -> str:
-    return (f"CAST(CAST({d} AS DECIMAL(5,2)) * CAST({p} AS DECIMAL(12,2)) "
-            f"* CAST({q} AS DECIMAL(6,0)) AS DECIMAL(28,4))")
+def disc(p="unit_price", q="quantity", d="discount") -> str:
+    """price * quantity * discount / 100"""
+    return f"(CAST({p} AS DECIMAL(16,6)) * CAST({q} AS DECIMAL(10,0)) * (CAST({d} AS DECIMAL(7,4)) * 0.01))"
 
 
 def cents(s: str) -> str:
-    return f"CAST(round(CAST({s} AS DECIMAL(36,4)) * 0.01, 2) AS DOUBLE)"
+    return f"CAST(round({s}, 2) AS DOUBLE)"
 
 
-def mean_cents_x100(s: str, n: str) -> str:
-    return f"(floor(CAST({s} AS DOUBLE) / {n} + CAST(0.5 AS DOUBLE)) / CAST(100 AS DOUBLE))"
+def mean_cents(s: str, n: str) -> str:
+    return f"(round(CAST(CAST({s} AS DECIMAL(34,6)) * 100 AS DOUBLE) / {n}) / CAST(100 AS DOUBLE))"
 
 
 def mean_price(s: str, n: str) -> str:
-    return (f"(floor(CAST({s} AS DOUBLE) / {n} * CAST(100 AS DOUBLE) + CAST(0.5 AS DOUBLE))"
-            f" / CAST(100 AS DOUBLE))")
+    return f"(round(CAST(CAST({s} AS DECIMAL(34,4)) * 100 AS DOUBLE) / {n}) / CAST(100 AS DOUBLE))"
 
 
 def pct_text(part: str, whole: str) -> str:
@@ -175,9 +174,9 @@ SELECT customer_id,
        count(transaction_id) AS total_transactions,
        count(DISTINCT transaction_id) AS unique_transactions,
        CAST(sum(quantity) AS BIGINT) AS total_quantity,
-       {cents('sum(' + net_x100() + ')')} AS total_sales,
-       {cents('sum(' + disc_x100() + ')')} AS total_discount,
-       {mean_price('sum(CAST(unit_price AS DECIMAL(12,2)))', 'count(unit_price)')} AS avg_unit_price,
+       {cents('sum(' + net() + ')')} AS total_sales,
+       {cents('sum(' + disc() + ')')} AS total_discount,
+       {mean_price('sum(CAST(unit_price AS DECIMAL(16,6)))', 'count(unit_price)')} AS avg_unit_price,
        max(transaction_ts) AS last_transaction_date
 FROM silver_transactions WHERE customer_id IS NOT NULL GROUP BY customer_id"""
 
@@ -197,9 +196,9 @@ SELECT sku,
        count(transaction_id) AS total_transactions,
        count(DISTINCT transaction_id) AS unique_transactions,
        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
-       {cents('sum(' + net_x100() + ')')} AS total_revenue,
-       {cents('sum(' + disc_x100() + ')')} AS total_discount,
-       {mean_price('sum(CAST(unit_price AS DECIMAL(12,2)))', 'count(unit_price)')} AS avg_selling_price,
+       {cents('sum(' + net() + ')')} AS total_revenue,
+       {cents('sum(' + disc() + ')')} AS total_discount,
+       {mean_price('sum(CAST(unit_price AS DECIMAL(16,6)))', 'count(unit_price)')} AS avg_selling_price,
        round(min(unit_price), 2) AS min_selling_price,
        round(max(unit_price), 2) AS max_selling_price,
        count(DISTINCT customer_id) AS unique_customers,
@@ -228,9 +227,9 @@ SELECT store_id,
        count(DISTINCT customer_id) AS unique_customers,
        count(DISTINCT sku) AS unique_products,
        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
-       {cents('sum(' + net_x100() + ')')} AS total_revenue,
-       {cents('sum(' + disc_x100() + ')')} AS total_discount,
-       {mean_cents_x100('sum(' + net_x100() + ')', 'count(' + net_x100() + ')')} AS avg_transaction_value,
+       {cents('sum(' + net() + ')')} AS total_revenue,
+       {cents('sum(' + disc() + ')')} AS total_discount,
+       {mean_cents('sum(' + net() + ')', 'count(' + net() + ')')} AS avg_transaction_value,
        max(transaction_ts) AS last_transaction_date
 FROM silver_transactions WHERE store_id IS NOT NULL GROUP BY store_id"""
 
@@ -255,9 +254,9 @@ SELECT CAST(transaction_ts AS DATE) AS sale_date, _record_ingestion_ts,
        count(DISTINCT store_id) AS unique_stores,
        count(DISTINCT sku) AS unique_products,
        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
-       {cents('sum(' + net_x100() + ')')} AS total_revenue,
-       {cents('sum(' + disc_x100() + ')')} AS total_discount,
-       {mean_cents_x100('sum(' + net_x100() + ')', 'count(' + net_x100() + ')')} AS avg_transaction_value,
+       {cents('sum(' + net() + ')')} AS total_revenue,
+       {cents('sum(' + disc() + ')')} AS total_discount,
+       {mean_cents('sum(' + net() + ')', 'count(' + net() + ')')} AS avg_transaction_value,
        max(transaction_ts) AS last_transaction_time
 FROM silver_transactions GROUP BY CAST(transaction_ts AS DATE), _record_ingestion_ts"""
 

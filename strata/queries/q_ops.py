@@ -16,6 +16,7 @@ from ..sources import fixtures as fx
 from ..specs import ENTITIES, TABLES, VALIDATION_RULES
 from . import layers as L
 from . import qc_sql as Q
+from . import oracle as O
 from .catalog import register
 from .oracle import CTES, DEDUP, dedup_sql
 
@@ -126,12 +127,8 @@ def q_dedup_last(spark, d):
 
 # Measures, unions, keys, counts ----------------------------------------------
 
-@register("line_measures", "SELECT transaction_id, transaction_line_id, "
-          "CAST(round(CAST(CAST(unit_price AS DECIMAL(12,2)) * CAST(quantity AS DECIMAL(6,0)) * "
-          "(100 - CAST(discount AS DECIMAL(5,2))) AS DECIMAL(28,4)) * 0.01, 2) AS DOUBLE) AS net_amount, "
-          "CAST(round(CAST(CAST(discount AS DECIMAL(5,2)) * CAST(unit_price AS DECIMAL(12,2)) * "
-          "CAST(quantity AS DECIMAL(6,0)) AS DECIMAL(28,4)) * 0.01, 2) AS DOUBLE) AS discount_amount "
-          "FROM silver_transactions")
+@register("line_measures", f"SELECT transaction_id, transaction_line_id, {O.cents(O.net())} AS net_amount, "
+          f"{O.cents(O.disc())} AS discount_amount FROM silver_transactions")
 def q_line_measures(spark, d):
     return gold.line_measures(L.silver(spark, d, "transactions"))
 
@@ -201,8 +198,8 @@ def q_report_daily_trend(spark, d):
 @register("report_region", "SELECT region, count(*) AS store_count, "
           "CAST(round(CAST(sum(CAST(total_revenue AS DECIMAL(20,2)) * 100) AS DECIMAL(36,4)) * 0.01, 2) "
           "AS DOUBLE) AS total_revenue, CAST(sum(total_transactions) AS BIGINT) AS total_transactions, "
-          "(floor(CAST(sum(CAST(avg_transaction_value AS DECIMAL(20,2))) AS DOUBLE) / "
-          "count(avg_transaction_value) * CAST(100 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(100 AS DOUBLE)) "
+          "(round(CAST(sum(CAST(avg_transaction_value AS DECIMAL(20,2))) * 100 AS DOUBLE) / "
+          "count(avg_transaction_value)) / CAST(100 AS DOUBLE)) "
           "AS avg_transaction_value FROM gold_store_performance GROUP BY region")
 def q_report_region(spark, d):
     return reports.store_region(L.gold_mart(spark, d, "store_performance"))

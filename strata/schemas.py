@@ -52,7 +52,7 @@ QC_RESULT_STORED = StructType(QC_RESULT.fields + [
     StructField("checked_at", TS, True), StructField("batch_id", S, True)])
 
 # File ledger and load audit (watermark) tables.
-PROCESSED_FILES = _s(("file_path", S), ("batch_id", S), ("row_count", I),
+PROCESSED_FILES = _s(("file_path", S), ("batch_id", S), ("row_count", L),
                      ("processed_at", TS))
 LOAD_AUDIT = _s(("batch_id", S), ("table_name", S), ("log_ts", TS),
                 ("start_time", TS), ("end_time", TS))

@@ -51,8 +51,8 @@ def build_session(master: str | None = None, app: str = "strata",
 
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for staged data: ``spark.checkpoint.dir`` if the
-    cluster sets it, else (tests only) a fresh local folder that is also
-    registered as the checkpoint dir."""
+    cluster sets it, else (local masters only) a fresh local folder that is
+    also registered as the checkpoint dir."""
     global _fallback_root
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -60,6 +60,8 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="strata-")
         spark.sparkContext.setCheckpointDir(os.path.join(_fallback_root, "checkpoints"))

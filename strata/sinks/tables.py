@@ -8,12 +8,17 @@ was.  Appends add files to the current snapshot; new columns are added to
 the table first, missing ones read as NULL.
 
 Snapshot folders are written by Spark tasks in parallel; nothing passes
-through the driver.
+through the driver.  They lie under ``spark.strata.tables.dir`` where the
+session sets it, else under the shared folder.
+
+A table keeps its partition columns through every overwrite, truncation and
+merge.
 """
 
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +28,8 @@ from ..session import shared_root
 
 
 def _root(spark: SparkSession) -> str:
-    return f"{shared_root(spark)}/strata/tables"
+    own = spark.conf.get("spark.strata.tables.dir", "")
+    return own.rstrip("/") or f"{shared_root(spark)}/strata/tables"
 
 
 def _ensure_db(spark: SparkSession, name: str) -> None:
@@ -49,10 +55,21 @@ def new_snapshot_path(spark: SparkSession, name: str, tag: str = "") -> str:
     return f"{_root(spark)}/{name.replace('.', '/')}/snap-{tag or 'x'}-{uuid.uuid4().hex[:10]}"
 
 
+def _shape(schema: StructType) -> list:
+    """Names and types; nullability is no difference between snapshots."""
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
 def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | None = None) -> str:
-    """Overwrite ``name`` with ``df`` as a new snapshot (create if absent)."""
+    """Overwrite ``name`` with ``df`` as a new snapshot (create if absent).
+    An existing table's partition columns stay unless others are given."""
     spark = df.sparkSession
     _ensure_db(spark, name)
+    if partition_by is None and exists(spark, name):
+        partition_by = _partition_columns(spark, name)
+        missing = [c for c in partition_by if c not in df.columns]
+        if missing:
+            raise ValueError(f"{name} is partitioned by {missing}, which the new rows lack")
     path = new_snapshot_path(spark, name, tag)
     if partition_by:
         # Rebalance by the partition columns: AQE keeps a partition's rows
@@ -67,7 +84,7 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     if exists(spark, name):
         old = spark.table(name)
-        if not partition_by and old.schema == df.schema and not _partition_columns(spark, name):
+        if not partition_by and _shape(old.schema) == _shape(df.schema) and not _partition_columns(spark, name):
             # Same shape: one metadata update repoints readers to the new
             # snapshot (no moment without a table).
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
@@ -80,6 +97,10 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     return path
 
 
+def _quoted(value) -> str:
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")
+
+
 def merge_partitioned(source: DataFrame, name: str, keys: list[str], partition_col: str,
                       check_unique: bool = True) -> list:
     """MERGE (update all / insert all) into a table partitioned by
@@ -88,32 +109,40 @@ def merge_partitioned(source: DataFrame, name: str, keys: list[str], partition_c
     Touched = partitions of the batch's rows plus partitions where the table
     already holds one of the batch's keys (a left-semi join that reads only
     the key and partition columns of the table).  Their current rows are read
-    with partition pruning, merged, staged once in the shared folder, and
-    written back with dynamic partition overwrite; a touched partition left
-    without rows (all its rows moved) is dropped.  Cost grows with the batch
-    and the partitions it touches, not with the table.  The partition column
-    must be non-NULL.  Returns the touched partition values (one row per
-    partition reaches the driver)."""
+    with partition pruning, merged, and written once to a new folder, at which
+    the catalog's partitions are then pointed; a touched partition left
+    without rows (all its rows moved) is dropped.  Readers see a partition's
+    old rows or its new ones.  What is written grows with the batch and the
+    partitions it touches, not with the table.  The partition column must be
+    the table's own (ValueError otherwise) and non-NULL.  Returns the touched
+    partition values (one row per partition reaches the driver)."""
     from ..operators.upsert import _all_keys_present, assert_unique_keys, merge_update_all
     spark = source.sparkSession
     if not exists(spark, name):
         publish(source, name, tag="initial", partition_by=[partition_col])
         return [r[0] for r in spark.table(name).select(partition_col).distinct().collect()]
+    if _partition_columns(spark, name) != [partition_col]:
+        raise ValueError(f"{name} is partitioned by {_partition_columns(spark, name)}, not by {partition_col}")
     if check_unique:
         assert_unique_keys(source, keys)
-    target = spark.table(name)
+    target = read(spark, name)
     src_keys = source.filter(_all_keys_present(keys)).select(*keys).distinct()
     hit = target.join(src_keys, list(keys), "left_semi").select(partition_col)
     touched = [r[0] for r in hit.union(source.select(partition_col)).distinct().collect()]
     affected = target.filter(F.col(partition_col).isin(touched))
     merged = merge_update_all(affected, source, keys, check_unique=False).select(*target.columns)
-    staged = materialize(merged, "merge-stage")
-    (staged.hint("rebalance", partition_col)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .insertInto(name))
-    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    for p in set(touched) - present:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_col} = '{p}')")
+    path = new_snapshot_path(spark, name, "merge")
+    merged.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(path)
+    written = spark.read.schema(target.schema).parquet(path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    present = {r[0]: unquote(r[1]) for r in written.select(partition_col, folder).distinct().collect()}
+    for p in touched:
+        spec = f"PARTITION ({partition_col} = '{_quoted(p)}')"
+        if p in present:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{_quoted(present[p])}'")
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{_quoted(present[p])}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
     spark.sql(f"REFRESH TABLE {name}")
     return touched
 
@@ -163,7 +192,8 @@ def append(df: DataFrame, name: str, tag: str = "") -> None:
 
 
 def truncate(spark: SparkSession, name: str) -> None:
-    """Empty the table by publishing an empty snapshot of its schema."""
+    """Empty the table by publishing an empty snapshot of its schema and
+    partitioning."""
     publish(spark.createDataFrame([], spark.table(name).schema), name, "truncate")
 
 

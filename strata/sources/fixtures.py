@@ -17,28 +17,9 @@ from pyspark.sql import functions as F
 DIMENSION_LOAD_TS = "1995-01-01 00:00:00"
 
 
-# The fact table: a scan of it that yields fewer splits than the cluster has
-# cores is spread round-robin before the per-row work (see fan_out).  orders
-# is the build side of the join and is not spread.
-FACT_TABLES = ("lineitem",)
-
-
-def fan_out(df: DataFrame) -> DataFrame:
-    """Raise the parallelism of an under-split scan (e.g. one big Parquet
-    row group): without it every pre-shuffle operator runs in one task.  A
-    scan with at least as many splits as cores (any real multi-file input)
-    is returned unchanged, so no shuffle is added at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return fan_out(df) if name in FACT_TABLES else df
+    return df
 
 
 def _s(c) -> Column:

@@ -3,9 +3,10 @@
 The file source's checkpoint records which files were taken, so it replaces
 the hand-kept ledger: each run (``trigger(availableNow=True)``) processes
 exactly the files that landed since the last run and then stops.  Each
-micro-batch is cleaned, de-duplicated and merged into the silver table in
-``foreachBatch``; the merge is idempotent (same batch -> same snapshot), so
-a micro-batch replayed after a failure does not duplicate rows.
+micro-batch is cleaned, de-duplicated, staged once, checked and merged into
+the silver table in ``foreachBatch``, by the scheduled job's own merge; it is
+idempotent, so a micro-batch replayed after a failure does not duplicate
+rows.  File names match an entity in any case, as in batch discovery.
 
 Late data needs no event-time watermark here: a late file simply arrives
 with a later ingestion time, is merged into silver, and the marts are
@@ -20,16 +21,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..context import RunContext
-from ..operators import cleaning
+from ..operators import cleaning, qc
 from ..operators.audit import add_bronze_audit
-from ..operators.upsert import merge_update_all
-from ..plans.silver import to_silver
+from ..operators.incremental import audit_row
+from ..plans.silver import to_silver, write_silver
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks import tables
 from ..sources.files import CSV_READ, source_path
 from ..specs import ENTITIES
 
 
+def any_case(glob: str) -> str:
+    """The glob with each letter in either case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.lower() != c.upper() else c for c in glob)
+
+
 def file_stream(spark: SparkSession, landing: str, entity: str, keyword: str | None = None,
                 max_files_per_trigger: int | None = None,
                 archive_dir: str | None = None) -> DataFrame:
@@ -37,7 +43,7 @@ def file_stream(spark: SparkSession, landing: str, entity: str, keyword: str | N
     committed files out of the landing folder (``cleanSource=archive``) so
     the listing each trigger does stays proportional to the new files."""
     r = (spark.readStream.schema(ENTITY_SCHEMAS[entity]).options(**CSV_READ)
-              .option("pathGlobFilter", f"*{keyword or entity}*.csv"))
+              .option("pathGlobFilter", any_case(f"*{keyword or entity}*.csv")))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
@@ -45,30 +51,34 @@ def file_stream(spark: SparkSession, landing: str, entity: str, keyword: str | N
     return r.csv(landing).withColumn("_source_path", source_path())
 
 
-def upsert_batch(batch: DataFrame, entity: str, target: str, ctx: RunContext) -> None:
-    spark = batch.sparkSession
+def upsert_batch(batch: DataFrame, entity: str, target: str, ctx: RunContext, gate: bool = False,
+                 audit: str | None = None) -> None:
+    """Clean, stage once, check, merge, log: the scheduled job's silver step
+    on one micro-batch.  ``gate`` stops the merge (and the stream) on a failed
+    check; ``audit`` is the load-audit table."""
     spec = ENTITIES[entity]
     b = cleaning.drop_all_null(batch, subset=ENTITY_SCHEMAS[entity].fieldNames())
     b = add_bronze_audit(b, ctx, record_ingestion_ts=ctx.as_of, source_file=F.col("_source_path"))
     s = to_silver(cleaning.normalize_dates(b.drop("_source_path"), "signup_date"), spec, ctx)
-    if tables.exists(spark, target):
-        merged = merge_update_all(tables.read(spark, target), s, list(spec.merge_keys))
-    else:
-        merged = s
-    tables.publish(merged, target, tag=ctx.batch_id)
+    staged = tables.materialize(s, f"stream-{entity}")
+    if gate:
+        qc.gate(qc.evaluate(staged, spec.silver_table, spec.qc))
+    write_silver(staged, spec, target, ctx)
+    if audit:
+        tables.append(audit_row(staged, ctx, spec.silver_table), audit, tag=ctx.batch_id)
 
 
 def run_available(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,
                   as_of: datetime | None = None, max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None) -> int:
+                  archive_dir: str | None = None, gate: bool = False, audit: str | None = None) -> int:
     """Process every file that landed since the last run, then stop.
     Returns the number of micro-batches run."""
     epochs = []
 
     def each(batch: DataFrame, epoch_id: int):
-        ctx = RunContext(as_of=as_of or datetime.now().replace(microsecond=0),
-                         batch_id=f"stream_{entity}_{epoch_id}")
-        upsert_batch(batch, entity, target, ctx)
+        clock = {"as_of": as_of} if as_of else {}
+        ctx = RunContext(batch_id=f"stream_{entity}_{epoch_id}", **clock)
+        upsert_batch(batch, entity, target, ctx, gate=gate, audit=audit)
         epochs.append(epoch_id)
 
     q = (file_stream(spark, landing, entity, max_files_per_trigger=max_files_per_trigger,

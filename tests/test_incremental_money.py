@@ -81,3 +81,18 @@ def test_stream_archives_committed_files(spark, tmp_path):
     # the source when the next batch is planned or the query stops).
     moved = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
     assert moved == ["stores_x.csv"] or os.path.exists(land / "stores_x.csv")
+
+
+def test_money_keeps_small_negative_and_large_values(spark):
+    rows = [("a", 0.333, 1000, 0.0), ("b", -1.25, 1, 50.0), ("c", 9.99, 1_000_000, 0.0), ("d", 1e30, 2, 0.0), ("e", 0.004, 1, 0.0),
+            ("e", 0.004, 1, 0.0)]
+    df = spark.createDataFrame(rows, "k string, unit_price double, quantity int, discount double")
+    got = {r.k: (r.net, r.disc, r.mean) for r in df.groupBy("k").agg(
+        money.cents(F.sum(money.line_net_x100("unit_price", "quantity", "discount"))).alias("net"),
+        money.cents(F.sum(money.line_discount_x100("unit_price", "quantity", "discount"))).alias("disc"),
+        money.mean_price(money.price_sum("unit_price"), F.count("unit_price")).alias("mean")).collect()}
+    assert got["a"] == (333.0, 0.0, 0.33)
+    assert got["b"] == (-0.63, -0.63, -1.25)  # half-up, away from zero
+    assert got["c"][0] == 9_990_000.0
+    assert got["d"] == (None, None, None)  # no DECIMAL holds it: no error, the range check reports it
+    assert got["e"][0] == 0.01  # rounded once, after the sum
