@@ -6,10 +6,11 @@ one, a member of each bucket as its hub, and how good a hub it is -
 
 1. each row is confirmed against the best hub it may be like;
 2. in every bucket, the rows outside the component of the bucket's hub are
-   confirmed against all rows of the bucket that are in another component
-   and that they may be like.
+   confirmed against one of them, in a few rounds;
+3. those still outside are confirmed against all rows of the bucket that are
+   in another component and that they may be like.
 
-A link that both steps leave out joins two rows of one component, so the
+A link that these steps leave out joins two rows of one component, so the
 components are those of all links, and a bucket of n rows like their hub
 costs n confirmations, not n**2.  "May be like" is a bound that holds for
 every link (:class:`Bound`), so it loses none."""
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
+#: Rounds in which a stray of each bucket is tried as a hub of the others.
+ROUNDS = 2
 #: Rows that share a copy of the text they are confirmed against.
 GUESTS = 64
 
@@ -81,21 +84,25 @@ def link(shared: DataFrame, values: DataFrame, bound: Bound, texts: Callable[[Da
     first = common.stage(first, "pairs")
     links = common.stage(confirmed(first, texts(_ends(first)), confirm), "links")
     found = components(links)
-    named = found.select(F.col("node").alias("_key"), F.col("component").alias("c"))
-    placed = shared.drop("score").join(named, "_key", "left").withColumn("c", F.coalesce("c", "_key"))
-    mains = named.select(F.col("_key").alias("hub"), F.col("c").alias("main"))
-    placed = placed.join(mains, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
-    placed = common.stage(placed.join(values, "_key"), "buckets")
-    own = _named("_s_", bound.columns)
-    strays = placed.filter("c != main").select("bucket", F.col("_key").alias("s"), F.col("c").alias("cs"),
-                                               *[F.col(c).alias(n) for c, n in zip(bound.columns, own)])
-    if bound.alone:
-        low = _named("_l_", bound.columns)
-        least = placed.groupBy("bucket").agg(*[F.min(c).alias(n) for c, n in zip(bound.columns, low)])
-        strays = strays.join(least, "bucket").filter(bound.alone(own, low)).drop(*low)
-    strays = common.stage(strays, "strays")
+    for _ in range(ROUNDS):
+        placed, strays = _strays(shared, found, values, bound)
+        if strays.isEmpty():
+            return found
+        # one of a bucket's strays as a hub of the others
+        lead = strays.groupBy("bucket").agg(F.min("s").alias("hub"))
+        pairs = strays.join(lead, "bucket").filter("s != hub").select("hub", F.col("s").alias("_key")).distinct()
+        pairs = common.stage(_near(pairs, values, bound).groupBy("_key").agg(F.min("hub").alias("hub")), "pairs")
+        more = common.stage(confirmed(pairs, texts(_ends(pairs)), confirm), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(links)
+        placed = None
+    if placed is None:
+        placed, strays = _strays(shared, found, values, bound)
     if strays.isEmpty():
         return found
+    own = _named("_s_", bound.columns)
     members = placed.join(strays.select("bucket").distinct(), "bucket", "left_semi")
     pairs = strays.join(members, "bucket") \
         .filter((F.col("cs") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("s") < F.col("_key"))) & bound.pair(own, bound.columns)) \
@@ -107,5 +114,22 @@ def link(shared: DataFrame, values: DataFrame, bound: Bound, texts: Callable[[Da
     return found if more.isEmpty() else components(links.union(more))
 
 
+def _strays(shared: DataFrame, found: DataFrame, values: DataFrame, bound: Bound) -> tuple[DataFrame, DataFrame]:
+    """(the buckets' rows with their components; those outside the component
+    of their bucket's hub that may still be linked)."""
+    named = found.select(F.col("node").alias("_key"), F.col("component").alias("c"))
+    placed = shared.drop("score").join(named, "_key", "left").withColumn("c", F.coalesce("c", "_key"))
+    mains = named.select(F.col("_key").alias("hub"), F.col("c").alias("main"))
+    placed = placed.join(mains, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
+    placed = common.stage(placed.join(values, "_key"), "buckets")
+    own, low = _named("_s_", bound.columns), _named("_l_", bound.columns)
+    strays = placed.filter("c != main").select("bucket", F.col("_key").alias("s"), F.col("c").alias("cs"),
+                                               *[F.col(c).alias(n) for c, n in zip(bound.columns, own)])
+    if bound.alone:
+        least = placed.groupBy("bucket").agg(*[F.min(c).alias(n) for c, n in zip(bound.columns, low)])
+        strays = strays.join(least, "bucket").filter(bound.alone(own, low)).drop(*low)
+    return placed, common.stage(strays, "strays")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("_key").union(pairs.select("hub")).distinct()
