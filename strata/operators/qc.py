@@ -442,6 +442,13 @@ def summary(results: DataFrame) -> DataFrame:
                     pct_text(F.col("check_count"), total).alias("share"))
 
 
+def orphan_rows(df: DataFrame, foreign_key_column: str, reference: DataFrame, reference_key_column: str) -> DataFrame:
+    """The rows whose foreign key (not NULL) has no reference row: what a
+    failed referential-integrity check counts."""
+    keys = reference.select(F.col(reference_key_column).alias(foreign_key_column)).dropna().distinct()
+    return df.filter(F.col(foreign_key_column).isNotNull()).join(keys, foreign_key_column, "left_anti").select(*df.columns)
+
+
 # ------------------------------------------------------ rule dictionary --
 
 def evaluate_rules(df: DataFrame, table_name: str, rules: Mapping,

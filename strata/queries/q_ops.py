@@ -287,3 +287,20 @@ def q_qc_rules_dict(spark, d):
     silver = {e: L.silver(spark, d, e) for e in ENTITIES}
     return qc.union_all([qc.evaluate_rules(silver[e], TABLES["silver"][e], rules, silver)
                          for e, rules in VALIDATION_RULES.items()])
+
+
+# Rows behind a failed foreign-key check -----------------------------------------
+
+def _orphans_sql(fk: str, ref: str, key: str) -> str:
+    return (f"SELECT t.* FROM silver_transactions t WHERE t.{fk} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM silver_{ref} r WHERE r.{key} = t.{fk})")
+
+
+def _orphans(fk: str, ref: str, key: str):
+    def fn(spark, d):
+        return qc.orphan_rows(L.data(L.silver(spark, d, "transactions")), fk, L.silver(spark, d, ref), key)
+    return fn
+
+
+for _fk, _ref, _key, _ in ENTITIES["transactions"].foreign_keys:
+    register(f"fk_orphans_{_ref}", _orphans_sql(_fk, _ref, _key))(_orphans(_fk, _ref, _key))
