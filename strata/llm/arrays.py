@@ -41,6 +41,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         j = min(max(j, i + 1), n)
         yield i, j
         i = j
+    pa.default_memory_pool().release_unused()  # workers outlive tasks and share an executor's memory
 
 
 def _large(column: pa.Array) -> pa.Array:

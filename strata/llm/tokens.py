@@ -20,7 +20,7 @@ from .arrays import _large
 #: Id that ends each document.
 END_ID = 1
 #: Chunks that a worker remembers; the table starts anew beyond that.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Text that one call of the encoder gets.
 SLICE_BYTES = 6 << 20
 
