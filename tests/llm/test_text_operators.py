@@ -185,6 +185,12 @@ def test_lines_odd_rows(spark):
         (1, 1, 1), (1, 1, 1), (None, 1, 0)]
 
 
+def test_lines_of_other_numbers_stay(spark):
+    data = [(1, "2021 45 77\n3 + 4 = 7\nChapter 12"), (2, "1999 10 03\n9 - 8 = 1\nChapter 34"), (3, "chapter 12!\n2021 45 77")]
+    assert [r[:3] for r in rows(lines.report(spark.createDataFrame(data, SCHEMA)))] == [(1, 3, 0), (2, 3, 0), (3, 2, 2)]
+    assert {r.doc_id for r in lines.drop_repeated(spark.createDataFrame(data, SCHEMA)).collect()} == {1, 2}
+
+
 def test_every_block_choice_finds_like_hashes(spark):
     r = random.Random(2)
     pairs = []
