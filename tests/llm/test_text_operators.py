@@ -191,6 +191,21 @@ def test_lines_of_other_numbers_stay(spark):
     assert {r.doc_id for r in lines.drop_repeated(spark.createDataFrame(data, SCHEMA)).collect()} == {1, 2}
 
 
+def test_lines_meet_by_edit_similarity_alone(spark):
+    # all 64 bits may differ: the edit similarity decides
+    r = random.Random(4)
+    data = []
+    for i, n in enumerate([3, 4, 5, 7, 8, 11, 12, 20, 40] * 6):
+        base = [f"{r.choice('abcdefgh')}{'xyz'[r.randint(0, 2)] * r.randint(1, 4)}q" for _ in range(n)]
+        own = list(base)
+        for p in r.sample(range(n), n // 4):  # as many edits as may be
+            own[p] = r.choice(["", "new", "other more", f"w{chr(97 + p % 26)}"]) if i % 2 else f"v{chr(97 + p % 26)}"
+        data.append((10_000 + i, " ".join(base) + "\n" + " ".join(own)))
+    expected = brute.line_groups(data, _simhash, bits=64)
+    assert expected != brute.line_groups(data, _simhash)
+    assert rows(lines.report(spark.createDataFrame(data, SCHEMA))) == sorted(expected, key=str)
+
+
 def test_every_block_choice_finds_like_hashes(spark):
     r = random.Random(2)
     pairs = []
