@@ -13,10 +13,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements whose text is never shown as running text.
-UNSEEN = RAW | frozenset("head noscript template svg math object canvas audio video select option optgroup button datalist label".split())
+UNSEEN = RAW | frozenset("head noscript template svg canvas audio video select option optgroup button datalist label "
+                           "annotation annotation-xml".split())
 #: Elements that run along within a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike "
-                   "strong sub sup time tt u var wbr img br label input button select".split())
+                   "strong sub sup time tt u var wbr img br label input button select object math mi mn mo ms mtext mspace mrow mfrac msqrt mroot "
+                   "msup msub msubsup munder mover munderover mmultiscripts mtable mtr mtd mstyle mpadded merror menclose semantics "
+                   "annotation annotation-xml".split())
+#: Elements that hold the page; text that lies straight in them, with the
+#: inline elements in it, becomes an element LOOSE, up to the next block.
+FRAME = frozenset("#page html body".split())
+LOOSE = "#text"
 #: A start tag closes an open element of these kinds ..
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
@@ -52,9 +59,17 @@ class Page:
                 counts[self.tag[i]] -= 1
             del stack[k:]
 
+        def loose():
+            if self.tag[stack[-1]] in FRAME:
+                self._open(stack, LOOSE, "")
+                counts[LOOSE] = counts.get(LOOSE, 0) + 1
+
         def text(s):
             if s:
-                self.runs.append((stack[-1], unescape(s) if "&" in s else s, block))
+                s = unescape(s) if "&" in s else s
+                if s.strip():
+                    loose()
+                self.runs.append((stack[-1], s, block))
 
         for m in _TAG.finditer(html):
             if m.start() < at:
@@ -76,6 +91,15 @@ class Page:
                 self.runs.append((stack[-1], " ", block))
                 continue
             inline = tag in INLINE
+            if inline and tag not in UNSEEN and tag not in VOID:
+                loose()
+            if not inline and tag not in UNSEEN:
+                if counts.get(LOOSE) and not counts.get("a"):  # a block ends loose text, but a link may hold it
+                    k = len(stack) - 1
+                    while k and self.tag[stack[k]] != LOOSE and (self.tag[stack[k]] in INLINE):
+                        k -= 1
+                    if self.tag[stack[k]] == LOOSE:
+                        close(k)
             if not inline:
                 block += 1
                 if counts.get("p"):  # a block ends an open paragraph

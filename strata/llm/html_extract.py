@@ -20,6 +20,10 @@ such choices the one with the greatest sum of log-odds is taken, by dynamic
 programming from the leaves up, so no block is kept inside a dropped
 container or the other way round.  Where no text is kept, the page's own
 markup decides: its article, or without one what isn't in page furniture.
+Text straight in body, with the inline elements in it, is an element of its
+own up to the next block (``dom.LOOSE``).  The trees have no pages to learn it
+from: it is content, with the plain paragraphs beside it, unless the page has
+an article or main, keeps more text in other elements, or it is mostly links.
 
 *Text.*  Text runs of kept elements, by block; references decoded, white
 space made one blank, blocks joined by newlines.
@@ -51,7 +55,7 @@ PAGES = 256
 
 _KINDS = {
     "nav": "nav menu", "header": "header", "footer": "footer", "aside": "aside dialog", "form": "form fieldset",
-    "article": "article main", "heading": "h1 h2 h3 h4 h5 h6 hgroup", "para": "p pre blockquote figcaption",
+    "article": "article main", "heading": "h1 h2 h3 h4 h5 h6 hgroup", "para": "p pre blockquote figcaption " + dom.LOOSE,
     "list": "ul ol li dl dt dd", "table": "table tbody thead tr td th", "inline": " ".join(sorted(dom.INLINE - {"a"})), "link": "a",
     "section": "div section center"}
 _KIND = {t: i for i, (_, ts) in enumerate(_KINDS.items()) for t in ts.split()}
@@ -115,6 +119,7 @@ class Pages:
         self.end = cat("end") + base
         self.root = parent < 0
         self.frame = self.root | np.array([t in ("html", "body") for t in self.tags])
+        self.loose = np.array([t == dom.LOOSE for t in self.tags])
         self.own = np.zeros(len(self.tags))
         self.commas = np.zeros(len(self.tags))
         for p, f in zip(self.pages, self.first):
@@ -188,14 +193,9 @@ class Pages:
             own = at[running[at]]
             logit[own] = logit[self.parent[own]]
         logit = np.where(self.unseen, -1e6, logit)
-        drop = -self.subtree(logit)
-        keep = logit.copy()
-        for at in self.levels[::-1]:
-            np.add.at(keep, self.parent[at], np.maximum(keep[at], drop[at]))
-        kept = self.frame | (keep > drop)
-        for at in self.levels:
-            kept[at] &= kept[self.parent[at]]
-        kept &= ~self.unseen
+        kept = self._best(logit)
+        if self.loose.any():
+            kept = self._best(self._straight(logit, kept))
         shown = np.bincount(self.page, np.where(kept & ~self.frame, self.own, 0), len(self.pages))
         if (shown == 0).any():
             rule, rest = self.rule(), ~self.furniture() & ~self.unseen
@@ -204,15 +204,46 @@ class Pages:
             kept = np.where((shown == 0)[self.page], marked, kept)
         return kept
 
+    def _best(self, logit: np.ndarray) -> np.ndarray:
+        drop = -self.subtree(logit)
+        keep = logit.copy()
+        for at in self.levels[::-1]:
+            np.add.at(keep, self.parent[at], np.maximum(keep[at], drop[at]))
+        kept = self.frame | (keep > drop)
+        for at in self.levels:
+            kept[at] &= kept[self.parent[at]]
+        return kept & ~self.unseen
+
+    def _straight(self, logit: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        """The log-odds, with those of loose text, and of the plain elements
+        beside it, by how much of the page's text lies straight in body."""
+        text = self.subtree(self.own)
+        links = self.subtree(np.where(self.down(self.kind == _KIND["a"]), self.own, 0))
+        pages = len(self.pages)
+        has = np.bincount(self.page, self.loose, pages) > 0
+        plain = (self.flags == 0) & np.isin(self.kind, _PLAIN) & self.frame[self.parent] & ~self.unseen & has[self.page]
+        mostly = plain & (2 * links < text)
+        beside = self.down(plain)
+        straight = np.bincount(self.page, np.where(mostly, text, 0), pages)
+        boxed = np.bincount(self.page, np.where(kept & ~self.frame & ~beside, self.own, 0), pages)
+        named = np.bincount(self.page, self.rule() & ~self.frame, pages) > 0
+        content = ((straight >= boxed) & ~named)[self.page]
+        own = np.where(self.loose, np.where(mostly & content, 1.0, -1.0), np.where(mostly & content, np.maximum(logit, 1.0), logit))
+        out = np.where(plain, own, logit)
+        running = (self.flags == 0) & np.isin(self.kind, _RUNNING)
+        for at in self.levels:
+            inner = at[running[at] & beside[at]]
+            out[inner] = out[self.parent[inner]]
+        return np.where(self.unseen, -1e6, out)
+
     def texts(self, kept: np.ndarray) -> list[str]:
         out = []
         kept = kept.tolist()
         for i, p in enumerate(self.pages):
             f = int(self.first[i])
-            bare = all(t in ("#page", "html", "body", "head", "br") for t in p.tag)
             blocks: dict[int, list[str]] = {}
             for e, text, block in p.runs:
-                if kept[f + e] and (bare or p.tag[e] not in ("#page", "html", "body")):
+                if kept[f + e] and p.tag[e] not in dom.FRAME:
                     blocks.setdefault(block, []).append(text)
             lines = (" ".join("".join(b).split()) for b in blocks.values())
             out.append("\n".join(x for x in lines if x))

@@ -110,6 +110,22 @@ def test_html_odd_rows(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+def test_html_text_straight_in_body(spark):
+    long = "The river rose for three days, and the people of the town carried what they could to the hill. "
+    nav = "<div class=menu><a href=/>Home</a><a href=/b>News</a></div>"
+    data = ["<html><head><title>T</title></head><body>First part of the article.<br>Second part.</body></html>",
+            "<body>Text with <b>bold</b> and more.</body>", "<body><script>x</script><b>Lead</b> and text<p>One</p>Two<p>Three</body>",
+            f"<html><head><title>T</title></head><body>{nav}{long * 3}<br><br>{long * 2}<p>{long * 2}</p>{long * 4}<footer>(c) me</footer></body></html>",
+            "<body><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></body>"]
+    own = " ".join((long * 5).split())
+    expected = ["First part of the article. Second part.", "Text with bold and more.", "Lead and text\nOne\nTwo\nThree",
+                f"{own}\n{(long * 2).strip()}\n{(long * 4).strip()}", "Let x=1 be."]
+    trees = html_extract.fit(spark.read.parquet(f"{SF01}/pages.parquet"))
+    for page, text in zip(data, expected):
+        p = html_extract.Pages([page])
+        assert p.texts(p.decode(trees.logit(p.features()))) == [text]
+
+
 def test_decoding_never_contradicts_ancestors():
     r = np.random.default_rng(4)
     p = html_extract.Pages(["<div><section><p>a</p><p>b<i>c</i></p></section><ul><li>d<li>e</ul></div>" * 3])
