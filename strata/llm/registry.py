@@ -117,3 +117,30 @@ def op4(spark, sf_dir):
 def op7(spark, sf_dir):
     from . import html_extract
     return html_extract.extract(common.table(spark, sf_dir, "pages"))
+
+
+@_register("op11_ranked_search", r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY ALL)
+SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+""")
+def op11(spark, sf_dir):
+    from . import ranking
+    return ranking.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
