@@ -144,3 +144,56 @@ QUALIFY rank <= 10
 def op11(spark, sf_dir):
     from . import ranking
     return ranking.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@_register("op12_spelling", """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\\x{C0}-\\x{FF}]+')) AS run
+        FROM documents)
+  GROUP BY ALL),
+bits AS (
+  SELECT *, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: flatten(list_transform(
+              CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END,
+              lambda b: list_transform([0, 1, 2, 3, 4, 5, 6, 7], lambda i: ((b >> i) & 1)::BIGINT))))) AS bits
+  FROM runs),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], bits),
+                     lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) AS h
+  FROM bits),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word)))::INTEGER AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+  UNION
+  SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near
+  FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS place FROM words
+  UNION ALL
+  SELECT walk.word, form FROM walk JOIN formed ON formed.word = place WHERE form IS NOT NULL)
+SELECT f.word, f.form, place AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk ON walk.word = f.word JOIN formed last ON last.word = place WHERE last.form IS NULL
+""")
+def op12(spark, sf_dir):
+    from . import spelling
+    return spelling.group_variants(spelling.word_counts(common.table(spark, sf_dir, "documents"), damage=97))
+
+
+@_register("op13_url_filter")
+def op13(spark, sf_dir):
+    from . import url_filter
+    return url_filter.judge(common.table(spark, sf_dir, "pages"))

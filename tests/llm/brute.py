@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
 import numpy as np
 
@@ -137,3 +139,133 @@ def line_groups(docs, simhash, bits=3, similar=0.75):
         left = "\n".join(s for n, s in enumerate(lines) if n not in gone[d])
         out.append((d, len(lines), len(gone[d]), hashlib.sha256(left.encode()).hexdigest()))
     return sorted(out)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, k=10):
+    """op11: (item, rank, doc, score)"""
+    tf = {d: collections.Counter(TERM.findall(low(t))) for d, t in docs}
+    sizes = {d: sum(c.values()) for d, c in tf.items() if c}
+    total = sum(sizes.values())
+    df = collections.Counter(w for c in tf.values() for w in c)
+    out = []
+    for i, text in items:
+        scores = collections.Counter()
+        for term in TERM.findall(low(text)):
+            for d, n in sizes.items():
+                if term in tf[d]:
+                    w = math.floor(1000 * math.log((2 * len(sizes) + 2) / (2 * df[term] + 1)))
+                    m = 100 - 75 + (75 * n * len(sizes)) // total
+                    scores[d] += w * ((1000000000 * tf[d][term]) // (1000 * tf[d][term] + 8 * m))
+        best = sorted((-s, d) for d, s in scores.items() if s > 0)[:k]
+        out += [(i, r + 1, d, -s) for r, (s, d) in enumerate(best)]
+    return sorted(out, key=str)
+
+
+def misspelled(docs, damage=97):
+    """op12's words: {word: n}"""
+    n = collections.Counter()
+    for d, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = low(run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % damage == 0 else run] += 1
+    return {w: c for w, c in n.items() if len(w) >= 5 and c >= 3}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(n):
+    """op12: (word, form, root, n, n_near, form_n) of {word: n}"""
+    form, near = {}, {}
+    for a in n:
+        own = [b for b in n if abs(len(a) - len(b)) < 2 and one_edit(a, b)]
+        near[a] = len(own)
+        best = min(own, key=lambda b: (-n[b], b), default=None)
+        form[a] = best if own and n[best] >= 2 * n[a] else None
+    out = []
+    for a in n:
+        root = a
+        while form[root]:
+            root = form[root]
+        out.append((a, form[a], root, n[a], near[a], n[form[a]] if form[a] else None))
+    return sorted(out, key=str)
+
+
+def split_url(url):
+    """op13: (host, path)"""
+    if not url or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3:]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    return low(host), re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+
+
+def best_rule(host, path, rules):
+    fits = []
+    for r, verdict in rules:
+        h, _, p = r.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            fits.append((len(r), len(h), r, verdict))
+    return max(fits)[2:] if fits else (None, None)
+
+
+def probable_split(name, counts, longest=24):
+    """All splits of a short name: the most probable, then the fewest words."""
+    total = sum(counts.values())
+
+    def cost(w):
+        return math.log(counts[w] / total) if counts.get(w) else -math.log(total) - len(w) * math.log(10)
+    best = None
+    for mask in range(1 << (len(name) - 1)):
+        words, last = [], 0
+        for i in range(1, len(name)):
+            if mask >> (i - 1) & 1:
+                words.append(name[last:i])
+                last = i
+        words.append(name[last:])
+        if max(map(len, words)) <= longest:
+            this = (round(sum(map(cost, words)), 9), -len(words))
+            if best is None or this > best[0]:
+                best = (this, words)
+    return best[0]
+
+
+def judged(pages, rules, seeds, counts, split, smoothing=1000.0):
+    """op13: (page_id, host, path, rule, verdict); the splits are given."""
+    def names(s):
+        return re.findall(r"[^\W\d_]{1,256}|0", re.sub("[0-9]+", "0", s.lower()))
+
+    def words(host, path):
+        return [("host", w) for x in names(host) for w in split[x]] + [("path", w) for x in names(path) for w in split[x]]
+    rows, block, allow, every = [], collections.Counter(), collections.Counter(), collections.Counter()
+    n = [0, 0]
+    for i, url, _ in pages:
+        host, path = split_url(url)
+        rule, says = best_rule(host, path, rules)
+        own = words(host, path)
+        rows.append((i, host, path, rule, says, own))
+        every.update(own)
+        if any(k == "host" and w in seeds for k, w in own):
+            block.update(own)
+            n[0] += 1
+        elif says != "block":
+            allow.update(own)
+            n[1] += 1
+    b, a, e = (sum(c.values()) for c in (block, allow, every))
+
+    def score(own):
+        odds = math.log((n[0] + 1) / (n[1] + 1))
+        for w in own:
+            share = smoothing * every[w] / e
+            odds += math.log((block[w] + share) / (b + smoothing)) - math.log((allow[w] + share) / (a + smoothing))
+        return odds
+    return sorted([(i, host, path, rule, says or ("block" if n[0] and score(own) > 0 else "allow")) for i, host, path, rule, says, own in rows], key=str)
