@@ -11,15 +11,23 @@ side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merge joins.
 
 Money is summed exactly (see functions.money).
+
+``distinct`` is what counts distinct values of a column: exactly by default,
+or ``sketches.approx_distinct``, which needs no second shuffle and no row for
+each group and value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money
 
+Distinct = Callable[[str], Column]
+
 NET = "__net_x100"
 DISC = "__disc_x100"
 
@@ -48,11 +56,11 @@ def _finish_money(df: DataFrame, revenue_name: str, avg_line_name: str | None) -
     return df.withColumns(cols).drop("__net_sum", "__disc_sum", "__net_n")
 
 
-def customer_stats(tx: DataFrame) -> DataFrame:
+def customer_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     t = _with_line_measures(tx.filter(F.col("customer_id").isNotNull()))
     agg = t.groupBy("customer_id").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
+        distinct("transaction_id").alias("unique_transactions"),
         F.sum("quantity").cast("long").alias("total_quantity"),
         *_money_aggs("total_sales", None),
         money.price_sum("unit_price").alias("__price_sum"),
@@ -64,9 +72,9 @@ def customer_stats(tx: DataFrame) -> DataFrame:
                .drop("__price_sum", "__price_n"))
 
 
-def customer_summary(customers: DataFrame, tx: DataFrame) -> DataFrame:
+def customer_summary(customers: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     """G1: one row per silver customer."""
-    s = customer_stats(tx)
+    s = customer_stats(tx, distinct)
     c = customers.select("customer_id", "name", "signup_date", "_record_ingestion_ts")
     j = c.join(s, "customer_id", "left")
     return j.select(
@@ -80,28 +88,28 @@ def customer_summary(customers: DataFrame, tx: DataFrame) -> DataFrame:
         "last_transaction_date", "_record_ingestion_ts")
 
 
-def product_stats(tx: DataFrame) -> DataFrame:
+def product_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     t = _with_line_measures(tx)
     agg = t.groupBy("sku").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
+        distinct("transaction_id").alias("unique_transactions"),
         F.sum("quantity").cast("long").alias("total_quantity_sold"),
         *_money_aggs("total_revenue", None),
         money.price_sum("unit_price").alias("__price_sum"),
         F.count("unit_price").alias("__price_n"),
         F.round(F.min("unit_price"), 2).alias("min_selling_price"),
         F.round(F.max("unit_price"), 2).alias("max_selling_price"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("store_id").alias("unique_stores"),
+        distinct("customer_id").alias("unique_customers"),
+        distinct("store_id").alias("unique_stores"),
     )
     agg = _finish_money(agg, "total_revenue", None)
     return (agg.withColumn("avg_selling_price", money.mean_price("__price_sum", "__price_n"))
                .drop("__price_sum", "__price_n"))
 
 
-def product_sales(products: DataFrame, tx: DataFrame) -> DataFrame:
+def product_sales(products: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     """G2: one row per silver product (the NULL-sku group never joins)."""
-    s = product_stats(tx)
+    s = product_stats(tx, distinct)
     p = products.select("sku", "product_key", "category", "list_price", "_record_ingestion_ts")
     j = p.join(s, "sku", "left")
     z, zd = F.lit(0).cast("long"), F.lit(0.0)
@@ -120,13 +128,13 @@ def product_sales(products: DataFrame, tx: DataFrame) -> DataFrame:
         "_record_ingestion_ts")
 
 
-def store_stats(tx: DataFrame) -> DataFrame:
+def store_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     t = _with_line_measures(tx.filter(F.col("store_id").isNotNull()))
     agg = t.groupBy("store_id").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("sku").alias("unique_products"),
+        distinct("transaction_id").alias("unique_transactions"),
+        distinct("customer_id").alias("unique_customers"),
+        distinct("sku").alias("unique_products"),
         F.sum("quantity").cast("long").alias("total_quantity_sold"),
         *_money_aggs("total_revenue", "avg_transaction_value"),
         F.max("transaction_ts").alias("last_transaction_date"),
@@ -134,9 +142,9 @@ def store_stats(tx: DataFrame) -> DataFrame:
     return _finish_money(agg, "total_revenue", "avg_transaction_value")
 
 
-def store_performance(stores: DataFrame, tx: DataFrame) -> DataFrame:
+def store_performance(stores: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     """G3: one row per silver store."""
-    s = store_stats(tx)
+    s = store_stats(tx, distinct)
     st = stores.select("store_id", "name", "region", "_record_ingestion_ts")
     j = st.join(s, "store_id", "left")
     z, zd = F.lit(0).cast("long"), F.lit(0.0)
@@ -153,16 +161,16 @@ def store_performance(stores: DataFrame, tx: DataFrame) -> DataFrame:
         "last_transaction_date", "_record_ingestion_ts")
 
 
-def daily_sales(tx: DataFrame) -> DataFrame:
+def daily_sales(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     """G4: one row per (sale date, load batch); a day that arrived in two
     loads has two rows, and NULL timestamps form their own group."""
     t = _with_line_measures(tx.withColumn("sale_date", F.to_date("transaction_ts")))
     agg = t.groupBy("sale_date", "_record_ingestion_ts").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("store_id").alias("unique_stores"),
-        F.count_distinct("sku").alias("unique_products"),
+        distinct("transaction_id").alias("unique_transactions"),
+        distinct("customer_id").alias("unique_customers"),
+        distinct("store_id").alias("unique_stores"),
+        distinct("sku").alias("unique_products"),
         F.sum("quantity").cast("long").alias("total_quantity_sold"),
         *_money_aggs("total_revenue", "avg_transaction_value"),
         F.max("transaction_ts").alias("last_transaction_time"),

@@ -16,8 +16,9 @@ from ..functions import money
 # QC results ----------------------------------------------------------------
 
 def qc_latest(results: DataFrame) -> DataFrame:
+    """The stored results, in eight columns."""
     return (results.select("table_name", "check_name", "status", "message", "row_count",
-                           "failed_rows")
+                           "failed_rows", F.col("checked_at").alias("timestamp"), "batch_id")
                    .orderBy("table_name", "check_name"))
 
 
