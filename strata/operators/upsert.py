@@ -6,9 +6,16 @@ A MERGE is computed as a new snapshot of the target:
 
 which is exactly ``WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *`` for a
 source with unique keys.  Rows with a NULL in any key column can never
-match (``=`` is never true on NULL), so they bypass the join entirely: they
-would otherwise all hash to one shuffle partition, and a NULL key holding a
-third of the table would land in one task.
+match (``=`` is never true on NULL), so they are inserted and bypass the join
+entirely: they would otherwise all hash to one shuffle partition, and a NULL
+key holding a third of the table would land in one task.
+
+A batch that is replayed after a failure would insert its NULL-key rows once
+more.  ``replayed`` tells the target's rows that an earlier, uncommitted
+attempt of the same batch has left (by batch id, or by an ingestion time
+beyond the committed watermark); of these, the ones with a NULL key are
+replaced.  Rows are never compared by value: equal rows of two loads are two
+rows.
 
 The anti join's strategy is AQE's: broadcast when the source batch is
 measured under the broadcast threshold (the usual incremental case), else
@@ -54,23 +61,12 @@ def _align(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> D
                        for c in columns])
 
 
-def new_null_key_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                      ignore: Sequence[str] = ()) -> DataFrame:
-    """The source without the NULL-key rows that the target already holds with
-    equal values (but for ``ignore``).  A NULL key matches nothing in a MERGE,
-    so a replayed batch would insert such rows once more."""
-    keyed = _all_keys_present(keys)
-    cols = [c for c in source.columns if c in target.columns and c not in ignore]
-    old = target.filter(~keyed).select(*[F.col(c).alias(f"__old_{c}") for c in cols]).distinct()
-    same = F.lit(True)
-    for c in cols:
-        same = same & F.col(c).eqNullSafe(F.col(f"__old_{c}"))
-    fresh = source.filter(~keyed).join(old, same, "left_anti")
-    return source.filter(keyed).unionByName(fresh)
+def _without_replayed(rows: DataFrame, replayed: Column | None) -> DataFrame:
+    return rows if replayed is None else rows.filter(~F.coalesce(replayed, F.lit(False)))
 
 
 def merge_update_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                     check_unique: bool = True) -> DataFrame:
+                     check_unique: bool = True, replayed: Column | None = None) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *.
 
     Columns are aligned by name; a column only in the source is added
@@ -84,7 +80,7 @@ def merge_update_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keyed = _all_keys_present(keys)
     src_keys = source.filter(keyed).select(*keys)
     kept = target.filter(keyed).join(src_keys, list(keys), "left_anti")
-    parts = [kept, target.filter(~keyed), source]
+    parts = [kept, _without_replayed(target.filter(~keyed), replayed), source]
     out = _align(parts[0], cols, types)
     for p in parts[1:]:
         out = out.unionByName(_align(p, cols, types))
@@ -93,7 +89,7 @@ def merge_update_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 def merge_update_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
                          update_columns: Sequence[str] | None = None,
-                         check_unique: bool = True) -> DataFrame:
+                         check_unique: bool = True, replayed: Column | None = None) -> DataFrame:
     """MERGE with an explicit update list: matched rows take only
     ``update_columns`` (default: every non-key source column) from the
     source; unmatched source rows are inserted whole.  One full outer join
@@ -127,7 +123,7 @@ def merge_update_columns(target: DataFrame, source: DataFrame, keys: Sequence[st
     types = {f.name: f.dataType for f in target.schema.fields}
     types.update({f.name: f.dataType for f in source.schema.fields if f.name not in types})
     merged = j.select(*[pick(c).cast(types[c]).alias(c) for c in cols])
-    tnull = target.filter(~keyed)
+    tnull = _without_replayed(target.filter(~keyed), replayed)
     snull = source.filter(~keyed)
     tstr = {c: types[c].simpleString() for c in cols}
     return (merged.unionByName(_align(tnull, cols, tstr))
