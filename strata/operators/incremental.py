@@ -5,10 +5,14 @@ The watermark of a target table is ``max(log_ts)`` of its audit rows
 strictly greater than it (NULL timestamps are never selected).
 
 ``resolve=True`` evaluates the one-row watermark first and filters with a
-literal: the predicate then reaches the Parquet reader (row-group skipping,
-partition pruning on a partitioned bronze table).  ``resolve=False`` keeps
-it as an uncorrelated scalar subquery (fully lazy, but only ``IsNotNull``
-is pushed to the scan).
+literal: the predicate then reaches the Parquet reader (row-group skipping).
+``resolve=False`` keeps it as an uncorrelated scalar subquery (fully lazy,
+but only ``IsNotNull`` is pushed to the scan).
+
+A bronze table is partitioned by the day of its loads, and a row's ingestion
+time lies on that day.  Given that ``date_col``, the read also asks for days
+from the watermark's on, so it lists and opens the folders of later loads
+only, however long the history is.
 """
 
 from __future__ import annotations
@@ -39,13 +43,20 @@ def watermark(audit: DataFrame, table_name: str, resolve: bool = True) -> Column
     return wf.select("wm").scalar()
 
 
+def after(wm: Column, ts_col: str = TS_COL, date_col: str | None = None) -> Column:
+    """The predicate of rows beyond a watermark, with that of their days."""
+    later = F.col(ts_col) > wm
+    return later & (F.col(date_col) >= wm.cast("date")) if date_col else later
+
+
 def incremental_read(source: DataFrame, audit: DataFrame | None, table_name: str,
-                     ts_col: str = TS_COL, resolve: bool = True) -> DataFrame:
+                     ts_col: str = TS_COL, resolve: bool = True, date_col: str | None = None) -> DataFrame:
     """Rows of ``source`` newer than the target's watermark.  With no audit
-    log at all (first run) the whole source is read."""
+    log at all (first run) the whole source is read.  ``date_col``: the
+    source's partition column that holds the day of ``ts_col``."""
     if audit is None:
         return source
-    return source.filter(F.col(ts_col) > watermark(audit, table_name, resolve))
+    return source.filter(after(watermark(audit, table_name, resolve), ts_col, date_col))
 
 
 def newer_than_target(source: DataFrame, target: DataFrame, ts_col: str = TS_COL) -> DataFrame:

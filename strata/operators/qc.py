@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -258,7 +258,9 @@ def duplicate_frame(df: DataFrame, table: str, key_columns: Sequence[str],
     return _finalize(_duplicate_metrics(df, table, key_columns, max_pct, seq))
 
 
-def _spec_metrics(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0):
+def _compile(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0) -> tuple[_Compiled, tuple | None]:
+    """The row-level metrics of a check spec, and what the duplicate check
+    is called with (it needs the rows grouped)."""
     c = _Compiled(table_name, seq=seq_start)
     if "row_count" in checks:
         rc = checks["row_count"] or {}
@@ -269,24 +271,53 @@ def _spec_metrics(df: DataFrame, table_name: str, checks: Mapping, seq_start: in
     dup = None
     if "duplicates" in checks:
         dc = checks["duplicates"]
-        dup = _duplicate_metrics(df, table_name, dc.get("key_columns", []),
-                                 dc.get("max_duplicate_percentage", DEFAULT_MAX_DUP_PCT), c.next_seq())
+        dup = (table_name, dc.get("key_columns", []), dc.get("max_duplicate_percentage", DEFAULT_MAX_DUP_PCT), c.next_seq())
     for col, rc in (checks.get("value_ranges") or {}).items():
         _value_range(c, df, col, rc.get("min_value"), rc.get("max_value"))
     for col, vals in (checks.get("valid_values") or {}).items():
         _valid_values(c, df, col, vals)
-    parts = [c.frame(df)] if c.rows else []
-    if dup is not None:
-        parts.append(dup)
-    return union_all(parts) if parts else None
+    return c, dup
+
+
+def _results(df: DataFrame, metrics: list, dup: tuple | None) -> DataFrame:
+    parts = metrics + ([_duplicate_metrics(df, *dup)] if dup else [])
+    return _finalize(union_all(parts)) if parts else _empty_results(df.sparkSession)
 
 
 def evaluate(df: DataFrame, table_name: str, checks: Mapping, seq_start: int = 0) -> DataFrame:
     """Run a check spec over ``df``; returns a lazy DataFrame of results in
     the fixed order row_count, nulls, duplicates, value_ranges, valid_values
     (column ``seq``)."""
-    m = _spec_metrics(df, table_name, checks, seq_start)
-    return _finalize(m) if m is not None else _empty_results(df.sparkSession)
+    c, dup = _compile(df, table_name, checks, seq_start)
+    return _results(df, [c.frame(df)] if c.rows else [], dup)
+
+
+class Watch:
+    """A check spec that the write it guards evaluates on the way: ``on``
+    gives the rows to write, ``results`` the results once they are written,
+    ``check`` raises with the failed ones.
+
+    The row-level metrics are observed by the tasks that write, in the last
+    stage of the job, whose tasks count once however often they are tried;
+    nothing reads the rows again but the duplicate check, which takes the key
+    columns of what was written."""
+
+    def __init__(self, table_name: str, checks: Mapping, gate: bool = True):
+        self.table_name, self.checks, self.gate = table_name, checks, gate
+
+    def on(self, df: DataFrame) -> DataFrame:
+        self._compiled, self._dup = _compile(df, self.table_name, self.checks)
+        self._seen = Observation()
+        return df.observe(self._seen, *[F.expr(m) for m in self._compiled.metrics])
+
+    def results(self, written: DataFrame) -> DataFrame:
+        seen = self._seen.get
+        row = written.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in seen.items()])
+        return _results(written, [_metric_frame(row, self._compiled.rows)] if self._compiled.rows else [], self._dup)
+
+    def check(self, written: DataFrame) -> None:
+        if self.gate:
+            raise_failures(self.results(written).collect())
 
 
 # ---------------------------------------------------- single-check API ----
@@ -295,6 +326,13 @@ def check_row_count(df, table_name, min_rows=DEFAULT_MIN_ROWS, expected_rows=Non
     return evaluate(df, table_name, {"row_count": {"min_rows": min_rows, "expected_rows": expected_rows}})
 
 
+def row_count_result(spark, n: int, table_name: str, min_rows=DEFAULT_MIN_ROWS, expected_rows=None) -> DataFrame:
+    """The row-count check of a number that is known already."""
+    c = _Compiled(table_name)
+    _row_count(c, min_rows, expected_rows)
+    return _finalize(_metric_frame(spark.range(1).select(F.lit(n).cast("long").alias("__n")), c.rows))
+
+
 def check_nulls(df, table_name, columns, max_null_percentage=DEFAULT_MAX_NULL_PCT):
     return evaluate(df, table_name, {"nulls": {"columns": list(columns),
                                                "max_null_percentage": max_null_percentage}})
@@ -397,6 +435,20 @@ def check_type_conformance(text_df: DataFrame, table_name: str, schema: StructTy
     return _finalize(c.frame(text_df))
 
 
+def check_captured(df: DataFrame, table_name: str, schema: StructType, text: Column, seq_start: int = 0) -> DataFrame:
+    """The results of :func:`check_type_conformance` from the typed scan
+    itself: ``text`` holds the values, as text, of a row with a fault (NULL
+    for others), and a value was lost where it has one and the typed column
+    has none.  One scan, and only faulty lines are taken apart again."""
+    c = _Compiled(table_name, seq=seq_start)
+    for f in schema.fields:
+        if not isinstance(f.dataType, StringType):
+            t = f.dataType.simpleString()
+            k = c.metric(f"__text.{_id(f.name)} IS NOT NULL AND {_id(f.name)} IS NULL")
+            c.count_row(f"type_conformance_{f.name}", k, f" values that are not valid {t}", f"All values convert to {t}", "WARNING")
+    return _finalize(c.frame(df.withColumn("__text", text)))
+
+
 def business_rule_positive_total(df: DataFrame, table_name: str, column: str = "total_sales",
                                  check_name: str = "business_rule_total_sales",
                                  seq: int = 1) -> DataFrame:

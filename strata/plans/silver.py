@@ -6,17 +6,20 @@ dropped (silver rows can merge several files)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..operators import cleaning
 from ..operators.audit import AUDIT_ONLY, add_audit
 from ..operators.dedup import dedup
-from ..operators.upsert import merge_update_all, new_null_key_rows
+from ..operators.upsert import merge_update_all
 from ..sinks import tables
 from ..specs import EntitySpec
 
+# Batch ids of streams begin so.
+STREAM_PREFIX = "stream_"
+
 # Load order: the bronze load's ingestion time, then the other columns.
 DEDUP_ORDER = ("_record_ingestion_ts",)
 
@@ -35,18 +38,19 @@ def to_silver(bronze: DataFrame, spec: EntitySpec, ctx: RunContext) -> DataFrame
     return add_audit(df, ctx)
 
 
-def write_silver(staged: DataFrame, spec: EntitySpec, target: str, ctx: RunContext) -> None:
+def write_silver(staged: DataFrame, spec: EntitySpec, target: str, ctx: RunContext,
+                 replayed: Column | None = None) -> None:
     """Merge a staged batch into its silver table: the one write path of the
-    scheduled job and the stream.  A replayed batch changes nothing but its
-    audit stamps, rows with NULL keys included."""
+    scheduled job and the stream.  ``replayed`` tells the target's rows that
+    an earlier attempt of this batch left (see ``operators.upsert``), so a
+    replay changes nothing but its audit stamps, rows with NULL keys
+    included."""
     spark = staged.sparkSession
     keys = list(spec.merge_keys)
-    first = not tables.exists(spark, target)
-    if not first:
-        staged = new_null_key_rows(tables.read(spark, target), staged, keys, ignore=(*AUDIT_ONLY, "_record_ingestion_ts"))
     if spec.partition:
         col, expr = spec.partition
-        tables.merge_partitioned(staged.withColumn(col, F.expr(expr)), target, keys, col, check_unique=True)
+        tables.merge_partitioned(staged.withColumn(col, F.expr(expr)), target, keys, col, check_unique=True, replayed=replayed)
+    elif tables.exists(spark, target):
+        tables.publish(merge_update_all(tables.read(spark, target), staged, keys, replayed=replayed), target, tag=ctx.batch_id)
     else:
-        merged = staged if first else merge_update_all(tables.read(spark, target), staged, keys)
-        tables.publish(merged, target, tag=ctx.batch_id)
+        tables.publish(staged, target, tag=ctx.batch_id)

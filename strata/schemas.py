@@ -51,9 +51,10 @@ QC_RESULT = _s(("seq", I), ("table_name", S), ("check_name", S), ("status", S),
 QC_RESULT_STORED = StructType(QC_RESULT.fields + [
     StructField("checked_at", TS, True), StructField("batch_id", S, True)])
 
-# File ledger and load audit (watermark) tables.
+# File ledger and load audit (watermark) tables.  The ledger is shared by all
+# bronze tables; ``table_name`` is the one a batch belongs to.
 PROCESSED_FILES = _s(("file_path", S), ("batch_id", S), ("row_count", L),
-                     ("processed_at", TS))
+                     ("processed_at", TS), ("table_name", S))
 LOAD_AUDIT = _s(("batch_id", S), ("table_name", S), ("log_ts", TS),
                 ("start_time", TS), ("end_time", TS))
 
