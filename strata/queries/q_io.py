@@ -8,18 +8,22 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..context import RunContext
+from ..operators import gold
 from ..operators import incremental as inc
 from ..operators import upsert
 from ..operators.audit import strip_audit
-from ..plans.bronze import ingest_csv_to_bronze
+from ..plans import bronze as ingest
+from ..plans.bronze import BATCH_COL, DATE_COL, ingest_csv_to_bronze
 from ..plans.silver import to_silver
 from ..schemas import ENTITY_SCHEMAS
 from ..session import scratch_path
-from ..sinks import tables
+from ..sinks import bucketed, tables
 from ..sources import files
 from ..sources import fixtures as fx
 from ..specs import ENTITIES, TABLES
@@ -34,6 +38,8 @@ ST = TABLES["silver"]["transactions"]
 KEYS = list(ENTITIES["transactions"].merge_keys)
 TXD = ["transaction_id", "transaction_line_id", "transaction_ts", "channel", "store_id",
        "customer_id", "sku", "quantity", "unit_price", "discount", "currency"]
+#: Buckets of the query's table; a deployment chooses a few hundred MB each.
+BUCKETS = 16
 CTX_A = RunContext(as_of=datetime(1998, 1, 1, 2, 0, 0), batch_id="batch_A")
 CTX_B = RunContext(as_of=datetime(2002, 1, 1, 2, 0, 0), batch_id="batch_B")
 
@@ -106,6 +112,22 @@ def q_upsert_partitioned(spark, d):
     return strip_audit(tables.read(spark, name))
 
 
+def _months(df):
+    return df.withColumn("tx_month", F.date_format("transaction_ts", "yyyy-MM"))
+
+
+def _partitioned(spark, d):
+    """The initial load in a table partitioned by month, and the staged
+    incremental batch."""
+    bronze = tables.materialize(L.bronze(spark, d, "transactions"), "bronze-tx")
+    s0 = to_silver(bronze.filter(F.col("_record_ingestion_ts") < _cut()), ENTITIES["transactions"], CTX_A)
+    name = _name("silver_tx_part")
+    tables.publish(_months(s0), name, tag="initial", partition_by=["tx_month"])
+    audit = inc.audit_row(tables.read(spark, name), CTX_A, ST)
+    batch = to_silver(inc.incremental_read(bronze, audit, ST), ENTITIES["transactions"], CTX_B)
+    return name, tables.materialize(_months(batch), "silver-batch")
+
+
 UPD = ["quantity", "unit_price", "discount"]
 
 
@@ -127,6 +149,43 @@ def q_upsert_partial(spark, d):
     return strip_audit(tables.read(spark, name))
 
 
+@register("upsert_partial_partitioned", "SELECT *, strftime(transaction_ts, '%Y-%m') AS tx_month FROM (SELECT "
+          + ", ".join(_pick(c) for c in TXD + ["_record_ingestion_ts"])
+          + " FROM silver_initial t FULL OUTER JOIN silver_incr s ON t.transaction_id = s.transaction_id"
+          " AND t.transaction_line_id = s.transaction_line_id)")
+def q_upsert_partial_partitioned(spark, d):
+    """upsert_partial into a table partitioned by month: months that the batch
+    neither matches nor adds to keep their files."""
+    name, batch = _partitioned(spark, d)
+    tables.merge_columns_partitioned(batch, name, KEYS, "tx_month", UPD)
+    return strip_audit(tables.read(spark, name))
+
+
+@register("upsert_bucketed", "SELECT * FROM upsert_all")
+def q_upsert_bucketed(spark, d):
+    """upsert_update_all into a table bucketed by its keys: only the batch is
+    shuffled."""
+    bronze = tables.materialize(L.bronze(spark, d, "transactions"), "bronze-tx")
+    s0 = to_silver(bronze.filter(F.col("_record_ingestion_ts") < _cut()), ENTITIES["transactions"], CTX_A)
+    name = _name("silver_tx_bucketed")
+    bucketed.create(s0, name, KEYS, BUCKETS)
+    audit = inc.audit_row(bucketed.read(spark, name), CTX_A, ST)
+    batch = to_silver(inc.incremental_read(bronze, audit, ST), ENTITIES["transactions"], CTX_B)
+    bucketed.merge(tables.materialize(batch, "silver-batch"), name, CTX_B.batch_id)
+    return strip_audit(bucketed.read(spark, name))
+
+
+@register("conditional_update_partitioned", "SELECT * REPLACE (CASE WHEN channel = 'ECOM' AND store_id IS NULL AND "
+          "transaction_ts >= TIMESTAMP '1997-07-01' THEN 'WEB' ELSE store_id END AS store_id), "
+          "strftime(transaction_ts, '%Y-%m') AS tx_month FROM silver_initial")
+def q_conditional_update_partitioned(spark, d):
+    """An UPDATE that rewrites only the months in which it changes a row."""
+    name, _ = _partitioned(spark, d)
+    pred = (F.col("channel") == "ECOM") & F.col("store_id").isNull() & (F.col("tx_month") >= "1997-07")
+    tables.update_partitioned(spark, name, pred, {"store_id": "WEB"})
+    return strip_audit(tables.read(spark, name))
+
+
 @register("conditional_update", "SELECT * REPLACE (CASE WHEN channel = 'ECOM' AND store_id IS NULL "
           "THEN 'WEB' ELSE store_id END AS store_id) FROM upsert_all")
 def q_conditional_update(spark, d):
@@ -144,10 +203,20 @@ INCR_SQL = ("SELECT * FROM bronze_transactions WHERE _record_ingestion_ts > "
             "(SELECT coalesce(max(_record_ingestion_ts), TIMESTAMP '1900-01-01') FROM silver_initial)")
 
 
+def _bronze_table(spark, bronze):
+    """Bronze transactions as a table of daily loads, as the ingest lays it."""
+    name = _name("bronze_tx")
+    year = F.year("_record_ingestion_ts").cast("string")
+    loads = bronze.withColumns({DATE_COL: F.to_date("_record_ingestion_ts"), BATCH_COL: F.concat(F.lit("load_"), year)})
+    tables.publish(loads, name, partition_by=[DATE_COL, BATCH_COL])
+    return tables.read(spark, name)
+
+
 @register("incremental_read", INCR_SQL)
 def q_incremental_read(spark, d):
+    """Only the folders of later loads are read."""
     _, audit, bronze = _initial_table(spark, d)
-    return strip_audit(inc.incremental_read(bronze, audit, ST))
+    return strip_audit(inc.incremental_read(_bronze_table(spark, bronze), audit, ST, date_col=DATE_COL))
 
 
 @register("incremental_from_target", INCR_SQL)
@@ -379,6 +448,129 @@ def q_bronze_ingest_transactions(spark, d):
     return b.select(*TXD, files.logical_name("_source_file").alias("source_name"), "_record_ingestion_ts")
 
 
+@register("bronze_replay_after_crash", "SELECT " + ", ".join(TXD) +
+          ", 'transactions_' || CAST(year(_record_ingestion_ts) AS VARCHAR) AS source_name, "
+          f"{BATCH_OF} AS _batch_id FROM raw_transactions")
+def q_bronze_replay_after_crash(spark, d):
+    """The first run ends between its files and the ledger, the third one
+    between the ledger and the catalog; the runs after them repeat and lose
+    nothing."""
+    folder = scratch_path(spark, "landing")
+    names = [_name(k) for k in ("bronze", "ledger", "audit")]
+    target, ledger, audit = names
+
+    def ended_early(ctx):
+        found = files.match_entity(files.list_files(spark, folder), "transactions")
+        led = tables.read(spark, ledger) if tables.exists(spark, ledger) else None
+        paths = [r.path for r in files.new_files(found, led).select("path").collect()]
+        ingest.create_bronze(spark, target, "transactions")
+        return ingest.write_batch(ingest.scan_new(spark, ctx, "transactions", paths), target, ctx, len(paths)), paths
+
+    _stage_landing(spark, d, folder, True)
+    ended_early(RunContext(as_of=CTX_A.as_of, batch_id="batch_lost"))
+    ingest_csv_to_bronze(spark, CTX_A, "transactions", folder, *names)
+    _stage_landing(spark, d, folder, False)
+    loaded, paths = ended_early(CTX_B)
+    ingest.commit(spark, loaded, paths, ledger, target)
+    ingest_csv_to_bronze(spark, RunContext(as_of=datetime(2003, 1, 1), batch_id="batch_C"), "transactions", folder, *names)
+    return tables.read(spark, target).select(*TXD, files.logical_name("_source_file").alias("source_name"), "_batch_id")
+
+
+NAMES = "SELECT DISTINCT 'transactions_' || CAST(year(_record_ingestion_ts) AS VARCHAR) AS source_name FROM raw_transactions"
+
+
+@register("discover_files", f"""
+SELECT 'any case' AS rule, source_name FROM ({NAMES})
+UNION ALL SELECT 'exact case', 'customers'
+UNION ALL SELECT 'whole path', source_name FROM ({NAMES})
+UNION ALL SELECT 'whole path', 'customers'
+UNION ALL SELECT 'any suffix', 'customers'
+UNION ALL SELECT 'any suffix', 'customers.txt'""")
+def q_discover_files(spark, d):
+    """The options of discovery: names in any case (the default) or as they
+    are, patterns on the whole path, files of any suffix."""
+    folder = scratch_path(spark, "Landing")
+    _stage_landing(spark, d, folder, True)
+    _stage_landing(spark, d, folder, False)
+    cu = fx.raw_customers(spark, d, with_ts=False).withColumn("_file", F.lit("customers"))
+    files.stage_csv(cu, folder, "_file")
+    files.stage_csv(cu, folder, "_file", suffix=".txt")
+    found = files.list_files(spark, folder)
+    rules = {"any case": files.match_entity(found, "TransActions"),
+             "exact case": files.match_entity(found, "customers", case_sensitive=True)
+                                .unionByName(files.match_entity(found, "Transactions", case_sensitive=True)),
+             "whole path": files.match_entity(found, "/strata/Landing-", case_sensitive=True, on="path"),
+             "any suffix": files.match_entity(found, "customers", suffix=None)}
+    out = [f.select(F.lit(r).alias("rule"), F.regexp_replace(F.regexp_replace("file_name", r"-\d+(?=\.)", ""), r"\.csv$", "")
+                    .alias("source_name")).distinct() for r, f in rules.items()]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# Late files: the later loads arrive first, then those of the days before.
+CTES["late_first"] = dedup_sql(f"(SELECT * REPLACE (TIMESTAMP '1998-01-01 02:00:00' AS _record_ingestion_ts) FROM clean_transactions "
+                               f"WHERE _record_ingestion_ts >= {CUT})", *DEDUP["transactions"])
+CTES["late_second"] = dedup_sql(f"(SELECT * REPLACE (TIMESTAMP '2002-01-01 02:00:00' AS _record_ingestion_ts) FROM clean_transactions "
+                                f"WHERE _record_ingestion_ts < {CUT})", *DEDUP["transactions"])
+
+
+@register("stream_late_files", """
+SELECT CAST(transaction_ts AS DATE) AS sale_date, _record_ingestion_ts, count(*) AS total_transactions
+FROM (SELECT * FROM late_first t WHERE NOT EXISTS (SELECT 1 FROM late_second s
+        WHERE s.transaction_id = t.transaction_id AND s.transaction_line_id = t.transaction_line_id)
+      UNION ALL SELECT * FROM late_second)
+GROUP BY 1, 2""")
+def q_stream_late_files(spark, d):
+    """Files of earlier days that land late enter by their ingestion time, and
+    the mart is computed from silver again."""
+    folder, ckpt, target = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt"), _name("silver_late")
+    _stage_landing(spark, d, folder, False)
+    run_available(spark, folder, "transactions", target, ckpt, as_of=CTX_A.as_of)
+    _stage_landing(spark, d, folder, True)
+    run_available(spark, folder, "transactions", target, ckpt, as_of=CTX_B.as_of)
+    return gold.daily_sales(tables.read(spark, target)).select("sale_date", "_record_ingestion_ts", "total_transactions")
+
+
+@register("truncate_table", f"SELECT * FROM bronze_transactions WHERE _record_ingestion_ts >= {CUT}")
+def q_truncate_table(spark, d):
+    """What is appended after a truncation is all that the table holds."""
+    name = _name("truncated")
+    b = strip_audit(L.bronze(spark, d, "transactions"))
+    tables.publish(b.filter(F.col("_record_ingestion_ts") < _cut()), name)
+    tables.truncate(spark, name)
+    tables.append(b.filter(F.col("_record_ingestion_ts") >= _cut()), name)
+    return tables.read(spark, name)
+
+
+@register("create_table", "SELECT * FROM bronze_stores")
+def q_create_table(spark, d):
+    """A table made from a schema, partitioned, and left alone when it is
+    asked for again."""
+    name = _name("created")
+    b = strip_audit(L.bronze(spark, d, "stores"))
+    tables.create_empty(spark, name, b.schema, ["region"])
+    tables.append(b, name)
+    tables.create_empty(spark, name, b.schema, ["region"])
+    return tables.read(spark, name)
+
+
+@register("daily_sales_layout", "SELECT count(*) AS days, min(sale_date) AS first_day, max(sale_date) AS last_day, "
+          "0 AS overlaps, 0 AS descents FROM gold_daily_sales")
+def q_daily_sales_layout(spark, d):
+    """The daily mart as written: files that hold days of another file, and
+    rows of an earlier day than the one before them in their file."""
+    name = _name("gold_days")
+    tables.publish(L.gold_mart(spark, d, "daily_sales"), name, cluster_by=["sale_date"])
+    rows = tables.read(spark, name).select("sale_date", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("sale_date").over(Window.partitionBy("file").orderBy("at"))
+    in_file = rows.withColumn("falls", before > F.col("sale_date")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("days"), F.min("sale_date").alias("lo"), F.max("sale_date").alias("hi"), F.count_if("falls").alias("descents"))
+    # one row a file
+    overlap = F.lag("hi").over(Window.orderBy("lo", "hi")) > F.col("lo")
+    return in_file.withColumn("overlap", overlap).agg(
+        F.sum("days").alias("days"), F.min("lo").alias("first_day"), F.max("hi").alias("last_day"),
+        F.count_if("overlap").cast("int").alias("overlaps"), F.sum("descents").cast("int").alias("descents"))
+
+
 @register("stream_ingest", "SELECT " + ", ".join(TXD) + " FROM upsert_all")
 def q_stream_ingest(spark, d):
     folder = scratch_path(spark, "landing")

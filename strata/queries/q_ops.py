@@ -3,12 +3,14 @@ counts, reports, type conformance and the rule dictionary."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, gold, qc, reports
 from ..operators.audit import add_audit, add_bronze_audit, strip_audit
 from ..operators.dedup import dedup
-from ..plans.silver import DEDUP_ORDER, clean
+from ..plans.silver import DEDUP_ORDER, clean, to_silver
 from ..schemas import TRANSACTIONS
 from ..session import scratch_path
 from ..sources import files
@@ -91,17 +93,21 @@ def q_parse_dates(spark, d):
                     "signup_date").transform(lambda df: cleaning.normalize_dates(df, "signup_date"))
 
 
-@register("audit_columns", "SELECT store_id, CAST(NULL AS VARCHAR) AS _source_file_silver, "
-          "DATE '2002-01-02' AS _ingestion_date, 'batch_20020102_020000_fixture' AS _batch_id, "
-          "TIMESTAMP '2002-01-02 02:00:00' AS _updated_at, _record_ingestion_ts, "
-          "'stores.csv' AS _source_file FROM bronze_stores")
+AUDITED = ("DATE '2002-01-02' AS _ingestion_date, 'batch_20020102_020000_fixture' AS _batch_id, "
+           "TIMESTAMP '2002-01-02 02:00:00' AS _updated_at, _record_ingestion_ts")
+
+
+@register("audit_columns", f"SELECT store_id, name, region, {AUDITED}, 'stores.csv' AS _source_file FROM bronze_stores")
 def q_audit_columns(spark, d):
+    return add_bronze_audit(fx.raw_stores(spark, d), L.QCTX, record_ingestion_ts=F.col(RIT), source_file="stores.csv")
+
+
+@register("drop_source_file", f"SELECT store_id, name, region, {AUDITED} FROM silver_stores")
+def q_drop_source_file(spark, d):
+    """Silver has all columns of bronze but the source file."""
     raw = fx.raw_stores(spark, d)
-    b = add_bronze_audit(raw, L.QCTX, record_ingestion_ts=F.col(RIT), source_file="stores.csv")
-    s = add_audit(b.drop("_source_file"), L.QCTX)
-    return s.select("store_id", F.lit(None).cast("string").alias("_source_file_silver"),
-                    "_ingestion_date", "_batch_id", "_updated_at", RIT,
-                    F.lit("stores.csv").alias("_source_file"))
+    return to_silver(add_bronze_audit(raw, L.QCTX, record_ingestion_ts=F.col(RIT), source_file="stores.csv"),
+                     ENTITIES["stores"], L.QCTX)
 
 
 # Dedup ---------------------------------------------------------------------
@@ -133,12 +139,19 @@ def q_line_measures(spark, d):
     return gold.line_measures(L.silver(spark, d, "transactions"))
 
 
-@register("union_batches", "SELECT * FROM bronze_transactions")
+@register("union_batches", "SELECT " + ", ".join(TXD) + ", 'transactions_' || CAST(year(_record_ingestion_ts) AS VARCHAR)"
+          " AS source_name FROM bronze_transactions")
 def q_union_batches(spark, d):
-    b = strip_audit(L.bronze(spark, d, "transactions"))
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first, later = b.filter(F.col(RIT) < cut), b.filter(F.col(RIT) >= cut)
-    return first.unionByName(later)
+    """Landed files read one by one and put together by column name: what the
+    single scan of all of them gives."""
+    folder = scratch_path(spark, "landing")
+    t = fx.raw_transactions(spark, d)
+    named = t.withColumn("_file", F.concat(F.lit("transactions_"), F.year(RIT).cast("string")))
+    files.stage_csv(named.select(*TXD, "_file"), folder, "_file")
+    paths = [r.path for r in files.list_files(spark, folder).select("path").collect()]
+    frames = [files.read_csv(spark, [p], TRANSACTIONS) for p in paths]
+    read = cleaning.drop_all_null(reduce(lambda a, b: a.unionByName(b), frames), subset=TXD)
+    return read.select(*TXD, files.logical_name().alias("source_name"))
 
 
 @register("latest_batch", "SELECT arg_max('batch_' || CAST(year(_record_ingestion_ts) AS VARCHAR), "
@@ -221,9 +234,16 @@ def q_qc_type_conformance(spark, d):
     t = fx.transactions_text(spark, d).withColumn("_file", F.lit("transactions_text"))
     files.stage_csv(t, folder, "_file")
     text_schema = ", ".join(f"{c} string" for c in TXD)
-    df = files.read_csv(spark, [folder], schema=text_schema).drop("_source_path")
-    return qc.union_all([qc.check_schema(df, "raw.transactions_csv", TRANSACTIONS, seq=1),
-                         qc.check_type_conformance(df, "raw.transactions_csv", TRANSACTIONS, seq_start=1)])
+    text = files.read_csv(spark, [folder], schema=text_schema).drop("_source_path")  # its schema alone is looked at
+    typed = files.read_csv(spark, [folder], TRANSACTIONS, corrupt=True)
+    return qc.union_all([qc.check_schema(text, "raw.transactions_csv", TRANSACTIONS, seq=1),
+                         qc.check_captured(typed, "raw.transactions_csv", TRANSACTIONS, files.as_text(TRANSACTIONS), seq_start=1)])
+
+
+@register("qc_type_conformance_text", Q.assemble([Q.type_conformance("transactions_text", "raw.transactions_csv", _TYPED, 0, "a")]))
+def q_qc_type_conformance_text(spark, d):
+    """The same counts from a frame of text."""
+    return qc.check_type_conformance(fx.transactions_text(spark, d), "raw.transactions_csv", TRANSACTIONS)
 
 
 def _rules_sql():

@@ -63,6 +63,31 @@ def q_qc_nulls(spark, d):
 
 
 KEYS = ["transaction_id", "transaction_line_id"]
+GATE_SPEC = {"row_count": {"min_rows": 1}, "nulls": {"columns": ["store_id", "sku"], "max_null_percentage": 0.0},
+             "duplicates": {"key_columns": ["transaction_id"], "max_duplicate_percentage": 0.0},
+             "value_ranges": {"quantity": {"min_value": 1, "max_value": 10}, "discount": {"min_value": 0.0, "max_value": 100.0}},
+             "valid_values": {"channel": ["ECOM"]}}
+
+
+@register("qc_gate", Q.assemble([Q.evaluate("silver_transactions", ST, GATE_SPEC, COLS["transactions"])],
+                                final="SELECT table_name, check_name, message, 0 AS written FROM qc_rows WHERE status = 'FAIL'"))
+def q_qc_gate(spark, d):
+    """What the gate raises when a table is published with rows that fail,
+    and the rows that it then has: none, as before."""
+    import uuid
+    from ..sinks import tables
+    name = f"strata_q.gated_{uuid.uuid4().hex[:10]}"
+    rows = L.silver(spark, d, "transactions")
+    tables.create_empty(spark, name, rows.schema)
+    try:
+        tables.publish(rows, name, watch=qc.Watch(ST, GATE_SPEC))
+        failed = []
+    except qc.QCFailure as e:
+        failed = [(f["table_name"], f["check_name"], f["message"]) for f in e.failures]
+    found = spark.createDataFrame(failed, "table_name string, check_name string, message string")
+    return found.withColumn("written", F.lit(tables.read(spark, name).count()).cast("int"))
+
+
 DUP_FAIL = {"duplicates": {"key_columns": KEYS, "max_duplicate_percentage": 0.05}}
 DUP_WARN = {"duplicates": {"key_columns": KEYS, "max_duplicate_percentage": 0.5}}
 
@@ -229,7 +254,8 @@ def q_qc_report_by_table(spark, d):
 
 
 @register("qc_results_latest", Q.assemble(ALL_SQL, final=(
-    "SELECT table_name, check_name, status, message, row_count, failed_rows FROM qc_rows")))
+    "SELECT table_name, check_name, status, message, row_count, failed_rows, TIMESTAMP '2002-01-02 02:00:00' AS timestamp, "
+    "'batch_20020102_020000_fixture' AS batch_id FROM qc_rows")))
 def q_qc_results_latest(spark, d):
     """Results are appended to a results table (stamped with the run's
     batch id and check time), then the report reads the table."""

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from strata.context import RunContext
 from strata.operators import qc
-from strata.operators.upsert import merge_update_all, new_null_key_rows
 from strata.plans.bronze import ingest_csv_to_bronze
 from strata.plans.run import MissingLayer, run_layers
 from strata.plans.silver import write_silver
@@ -62,15 +61,6 @@ def test_second_publish_of_a_mart_only_repoints(spark):
     assert spark.sql(f"SHOW TBLPROPERTIES {name} ('kept')").first()[1] == "yes" and tables.read(spark, name).count() == 2
 
 
-def test_null_key_replay_is_stable(spark):
-    t = spark.createDataFrame([(1, "a"), (None, "n"), (None, None)], "id int, v string")
-    s = spark.createDataFrame([(1, "b"), (None, "n"), (None, "m"), (None, None)], "id int, v string")
-    fresh = new_null_key_rows(t, s, ["id"])
-    once = merge_update_all(t, fresh, ["id"])
-    twice = merge_update_all(once, new_null_key_rows(once, s, ["id"]), ["id"])
-    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect())) and once.count() == 4
-
-
 def _land(folder, name, start, n):
     (folder / name).write_text(HEADER + "".join(
         f"T{i},{i},2024-0{1 + i % 3}-05 10:00:00,POS,s1,c1,k1,{1 + i % 4},10.5,5,INR\n" for i in range(start, start + n)))
