@@ -8,7 +8,8 @@ one, a member of each bucket as its hub, and how good a hub it is -
 2. in every bucket, the rows outside the component of the bucket's hub are
    confirmed against one of them, in a few rounds;
 3. those still outside are confirmed against all rows of the bucket that are
-   in another component and that they may be like.
+   in another component and that they may be like, by the bound and by a finer
+   one that is worth its columns only here.
 
 A link that these steps leave out joins two rows of one component, so the
 components are those of all links, and a bucket of n rows like their hub
@@ -56,10 +57,12 @@ class Bound:
     ``pair`` takes the names of two rows' columns and tells whether the rows
     may be linked.  ``alone``, if given, takes the names of one row's columns
     and of the least values of the columns in its bucket, and tells whether
-    the row may be linked with any row of the bucket."""
+    the row may be linked with any row of the bucket.  ``finer`` is of step 3:
+    a frame of further columns by _key, and ``pair`` with these."""
     columns: tuple[str, ...]
     pair: Callable[[tuple[str, ...], tuple[str, ...]], Column]
     alone: Callable[[tuple[str, ...], tuple[str, ...]], Column] | None = None
+    finer: tuple[DataFrame, Callable[[tuple[str, ...], tuple[str, ...]], Column]] | None = None
 
 
 def _named(prefix: str, columns: tuple[str, ...]) -> tuple[str, ...]:
@@ -102,10 +105,17 @@ def link(shared: DataFrame, values: DataFrame, bound: Bound, texts: Callable[[Da
         placed, strays = _strays(shared, found, values, bound)
     if strays.isEmpty():
         return found
-    own = _named("_s_", bound.columns)
     members = placed.join(strays.select("bucket").distinct(), "bucket", "left_semi")
+    columns, likely = bound.columns, bound.pair
+    if bound.finer:
+        more, finer = bound.finer
+        added = tuple(c for c in more.columns if c != "_key")
+        members = members.join(more, "_key")
+        strays = strays.join(more.select(F.col("_key").alias("s"), *[F.col(c).alias(n) for c, n in zip(added, _named("_s_", added))]), "s")
+        columns, likely = columns + added, lambda a, b: bound.pair(a, b) & finer(a, b)
     pairs = strays.join(members, "bucket") \
-        .filter((F.col("cs") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("s") < F.col("_key"))) & bound.pair(own, bound.columns)) \
+        .filter((F.col("cs") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("s") < F.col("_key")))
+                & likely(_named("_s_", columns), columns)) \
         .select(F.least("s", "_key").alias("hub"), F.greatest("s", "_key").alias("_key")).distinct()
     pairs = common.stage(pairs, "pairs")
     if pairs.isEmpty():

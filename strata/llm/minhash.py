@@ -12,15 +12,20 @@ slots has an offer, because no later one is less.
 
 *Groups.*  Documents with equal sets are one class from the start.  BANDS
 bands of ROWS slots put the classes into buckets: a pair at the threshold of
-0.75 shares none with probability (1 - 0.75**ROWS)**BANDS, 5e-6.  Candidates
-are confirmed on their full sets, along :mod:`linking`.
+0.75 shares none with probability (1 - 0.75**ROWS)**BANDS, 5e-6.  That takes
+slots for independent, which they aren't where a few elements fill them all;
+so sets of TINY elements at most also go into a bucket for each subset that
+they may share with a similar one, and no pair of such sets is missed.
+Candidates are confirmed on their full sets, along :mod:`linking`.
 
 *Bounds.*  Elements that only one class of all candidates has can't be in an
 intersection, so what a class shares with any other is at most its other
 elements, its core.  That rules out the many variants of one text that differ
-too much from each other, before they are paired.  The hub of a bucket is the
-class that meets the most classes in all its buckets: the text that its
-variants are most like.
+too much from each other, before they are paired.  Where many are left, their
+parities are compared: of each of some classes of elements, several for each
+element, whether a set has an odd number.  Sets differ in at least as many
+elements as parities.  The hub of a bucket is the class that meets the most
+classes in all its buckets: the text that its variants are most like.
 
 Cases: texts without words are linked with nothing; repeated rows and null
 ids follow ``common.keyed``; an empty table gives no rows; texts of any
@@ -29,6 +34,8 @@ by :func:`keep_first`."""
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +48,7 @@ SHINGLE = 5
 SLOTS = 131  # a prime: rank * step + offset visits every slot
 ROWS = 4
 BANDS = 32
+TINY = 8
 #: Link when SIMILAR[0] * |intersection| >= SIMILAR[1] * |union|.
 SIMILAR = (100, 75)
 
@@ -101,6 +109,29 @@ def _sums(h: np.ndarray, ahead: np.ndarray, salt: int) -> np.ndarray:
     return total[ahead[1:]] - total[ahead[:-1]]
 
 
+def subset_keys(h: np.ndarray) -> list[int]:
+    """Bucket keys of the subsets of a tiny set that it may share, whole, with
+    a similar set: one of at least SIMILAR of its size."""
+    n, own = len(h), arrays.mix(h ^ _U(0x6A09E667F3BCC908))
+    least = -(-SIMILAR[1] * n // SIMILAR[0])
+    return [int(arrays.mix(own[list(c)].sum(keepdims=True) + _U(k))[0]) for k in range(least, n + 1) for c in combinations(range(n), k)]
+
+
+def _buckets(bands: np.ndarray, h: np.ndarray, ahead: np.ndarray) -> pa.Array:
+    """Each row's bucket keys as a list."""
+    n = np.diff(ahead)
+    tiny = np.flatnonzero((n > 0) & (n <= TINY))
+    more = [subset_keys(h[ahead[r]:ahead[r + 1]]) for r in tiny]
+    size = np.full(len(n), BANDS)
+    size[tiny] += np.array([len(x) for x in more], np.int64)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    keys = np.empty(ends[-1], _U)
+    keys[(ends[:-1, None] + np.arange(BANDS)).ravel()] = bands.ravel()
+    for r, x in zip(tiny, more):
+        keys[ends[r] + BANDS:ends[r + 1]] = x
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys.view(np.int64)))
+
+
 def _signed(batches):
     """(_key, id, text) to (_key, id, n_shingles, set_a, set_b, bands); the
     two sums tell equal sets apart from all others (128 bits)."""
@@ -109,9 +140,7 @@ def _signed(batches):
             part = batch.slice(i, j - i)
             h, ahead = shingle_sets(part.column(2))
             bands = band_keys(signatures(h, ahead))
-            n = np.diff(ahead)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS),
-                                             pa.array(bands.ravel().view(np.int64)))
+            n, lists = np.diff(ahead), _buckets(bands, h, ahead)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(n), pa.array(_sums(h, ahead, 0x5851F42D4C957F2D).view(np.int64)),
                  pa.array(_sums(h, ahead, 0x14057B7EF767814F).view(np.int64)), lists],
@@ -153,16 +182,56 @@ def _elements(batches):
                                                  names=["h", "_key"])
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """The parities of a set in longs: four classes or more for an element,
+    a power of two, so that two halves put together are those of fewer."""
+    words = 1 << max(0, int(len(h) - 1).bit_length() - 4)
+    own = arrays.mix(h ^ _U(0x3C6EF372FE94F82B))
+    out = np.zeros(words, _U)
+    np.bitwise_xor.at(out, ((own >> _U(6)) & _U(words - 1)).astype(np.int64), _U(1) << (own & _U(63)))
+    return out
+
+
+def _parities(batches):
+    """(_key, text) to (_key, parity)."""
+    for batch in batches:
+        for i, j in arrays.slices(batch.column(1)):
+            part = batch.slice(i, j - i)
+            h, ahead = shingle_sets(part.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([parities(h[a:b]).view(np.int64) for a, b in zip(ahead, ahead[1:])], pa.list_(pa.int64()))],
+                names=["_key", "parity"])
+
+
+def _differences(a: str, b: str):
+    """In how many parities two sets differ.  Similar sets have as many
+    parities, or one has twice as many, which are folded."""
+    def folded(x, other):
+        n = F.size(other)
+        halves = F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > n, halves).otherwise(F.col(x))
+    both = F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(both, F.lit(0), lambda total, x: total + x)
+
+
+def _finer(a, b):
+    shared = F.floor((F.col(a[0]) + F.col(b[0]) - _differences(a[2], b[2])) / 2)
+    return _likely(a[0], shared, F.col(b[0]))
+
+
 def _likely(n: str, core, least_n):
     """Whether sets of n and least_n elements at least may be similar when
     they share ``core`` at most."""
     return SIMILAR[0] * core >= SIMILAR[1] * (F.col(n) + least_n - core)
 
 
-#: Columns n (elements) and core (those that other classes have, too).
-_BOUND = Bound(("n", "core"),
-               pair=lambda a, b: _likely(a[0], F.least(a[1], b[1]), F.col(b[0])),
-               alone=lambda a, low: _likely(a[0], F.col(a[1]), F.greatest(F.col(low[0]), F.lit(1))))
+def _bound(texts: DataFrame) -> Bound:
+    """Of columns n (elements) and core (those that other classes have, too),
+    and parity."""
+    return Bound(("n", "core"),
+                 pair=lambda a, b: _likely(a[0], F.least(a[1], b[1]), F.col(b[0])),
+                 alone=lambda a, low: _likely(a[0], F.col(a[1]), F.greatest(F.col(low[0]), F.lit(1))),
+                 finer=(texts.mapInArrow(_parities, "_key long, parity array<long>"), _finer))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -171,7 +240,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     signed = common.stage(d.mapInArrow(
         _signed, "_key long, id long, n_shingles long, set_a long, set_b long, bands array<long>"), "signatures")
     some = signed.filter("n_shingles > 0")
-    classes = some.groupBy("set_a", "set_b").agg(F.min("_key").alias("class"))
+    # written first: the join may then split the rows of a popular set
+    classes = common.stage(some.groupBy("set_a", "set_b").agg(F.min("_key").alias("class")), "sets")
     member = common.stage(some.select("_key", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("_key", "class").distinct(), "classes")
     heads = member.filter("_key = class").select("_key")
     bucketed = some.dropDuplicates(["_key"]).join(heads, "_key", "left_semi").select("_key", F.explode("bands").alias("bucket"))
@@ -187,7 +257,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     hubs = shared.join(met, "_key").groupBy("bucket").agg(F.max(F.struct("met", -F.col("_key"))).alias("best")) \
         .select("bucket", (-F.col("best.col2")).alias("hub"), F.col("best.met").alias("score"))
     shared = shared.drop("size")
-    found = link(shared.join(hubs, "bucket"), values, _BOUND, lambda _: texts, _confirm)
+    found = link(shared.join(hubs, "bucket"), values, _bound(texts), lambda _: texts, _confirm)
     classes = member.join(found, F.col("class") == F.col("node"), "left") \
         .select("_key", F.coalesce("component", "class").alias("component"))
     return signed.select("_key", "id", "n_shingles").join(classes, "_key", "left") \
