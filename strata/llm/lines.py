@@ -8,35 +8,35 @@ alike without further ado.  Of each connected group only the first line
 stays (least document key, then line).
 
 Equal normal forms collapse first, within each task and then among all, so a
-popular line reaches the join once.  The 64 bits are cut into blocks; two
-hashes within BITS bits agree in all but BITS blocks, so each hash goes into
-a bucket for every choice of the others, and like lines meet.  The number of
-blocks follows the number of lines, to keep unlike lines apart; every choice
-finds the same pairs.
-
-Few lines at SIMILAR are within BITS bits, so each line also goes into a
-bucket for each of its rarest word pairs (:func:`prefix_sizes`): an edit
-changes two of a line's pairs of neighbouring words at most, so like lines
-share so many that one of them is among the rarest of both.  This holds for
-any common order of the pairs; how often they occur in a sample (RANKED) only
-keeps buckets small.  No pair of like lines is missed.
-
-Pairs are kept by a bound that no like lines exceed (an edit changes two of
-256 parities of a line's words at most), and confirmed on their words, along
-:mod:`linking`.
+popular line reaches the join once.
+
+A line's SimHash has BLOCKS blocks of 32 bits; its features are its words,
+the second, third .. occurrence of a word being features of their own.  Each
+block is a bucket, for lines of like length: lengths are cut into classes at
+steps of STEP, in each block at other places.  Lines are candidates if they
+share a bucket: always, if they have as many words and fewer than BLOCKS bits
+differ (pigeonhole), and mostly if few words do.  README has the measured
+shares by edit similarity.  Candidates are kept by a bound that no like lines exceed (an edit changes two of 256
+parities of a line's words at most), and confirmed by the edit distance of
+their words, along :mod:`linking`.  So lines are linked if, and only if, they
+share a bucket and are alike, and no such link is lost.
+
+Buckets of more than two lines, and the keys of lines whose words are wanted,
+are broadcast while they are at most BROADCAST_ROWS rows, and else joined by a
+shuffle; the result is the same.
 
 Cases: a line without words is never a duplicate; a null or empty text has no
 lines; repeated rows and null ids follow ``common.keyed`` (a repeated row is
-one document); a document that loses all its lines gets an empty text, or
-goes (:func:`drop_repeated`); an empty table gives no rows; texts of any
+one document); a document that loses all its lines with words
+gets what is left, or goes (:func:`drop_repeated`); an empty table gives no rows; texts of any
 length are read whole; other columns are ignored by :func:`report` and kept
 by :func:`drop_repeated`."""
 
 from __future__ import annotations
 
-import hashlib
-from functools import partial, reduce
-from itertools import combinations
+import math
+import re
+from functools import reduce
 from operator import add
 
 import numpy as np
@@ -48,18 +48,14 @@ from . import arrays, common
 from .linking import Bound, link
 from .suffix_dedup import _shrunk, _whole
 
-BITS = 3
+BLOCKS = 24
+STEP = 1.25
 SIMILAR = 0.75
 #: Lines that a task collapses together.
 COLLAPSE = 1 << 19
-#: Rows (of 24 bytes or so) that may be broadcast: buckets of more than two
-#: lines, and lines whose words are wanted.  Beyond, they are shuffled.
+#: Rows (of 24 bytes or so) that may be broadcast.
 BROADCAST_ROWS = 100_000
 
-#: Documents, about, whose word pairs are counted to order pairs by rarity.
-RANKED = 4000
-#: Bits of the counters that word pairs are counted in.
-RANK_BITS = 20
 #: Longs of the parities of a line's words.
 PARITIES = ("p0", "p1", "p2", "p3")
 
@@ -102,45 +98,47 @@ class _Lines:
         return (arrays.Spans(arrays.mix(self.hash)).hash(s, e),
                 arrays.Spans(arrays.mix(self.hash ^ _U(0x5851F42D4C957F2D))).hash(s, e))
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each distinct word of each line, and how many words
-        precede each line: by counts, long lines of one language would be
-        alike for their commonest words."""
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each word of each line and of how often the line had it
+        before, and how many precede each line."""
         line = arrays.rows_of(self.before).astype(_U)
         if len(self.before) <= 1 << 20:
             both = np.sort((line << _U(44)) | (self.hash >> _U(20)))
-            new = np.ones(len(both), bool)
-            new[1:] = both[1:] != both[:-1]
-            line, word = both[new] >> _U(44), both[new] & _U((1 << 44) - 1)
+            line, word = both >> _U(44), both & _U((1 << 44) - 1)
         else:
             word = self.hash >> _U(20)
             o = np.lexsort((word, line))
-            new = np.ones(len(o), bool)
-            new[1:] = (line[o][1:] != line[o][:-1]) | (word[o][1:] != word[o][:-1])
-            line, word = line[o][new], word[o][new]
-        return arrays.mix(word), np.searchsorted(line, np.arange(len(self.before), dtype=_U))
+            line, word = line[o], word[o]
+        new = np.ones(len(word), bool)
+        new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
+        at = np.arange(len(word))
+        again = at - np.maximum.accumulate(np.where(new, at, 0))
+        return arrays.mix(word + again.astype(_U) * _U(0x9E3779B97F4A7C15)), self.before
 
     def simhash(self) -> np.ndarray:
-        hashes, before = self.distinct()
+        """lines x BLOCKS blocks of 32 bits."""
+        hashes, before = self.features()
         n = np.diff(before)
-        out = np.zeros(len(n), _U)
+        out = np.zeros((len(n), BLOCKS // 2), _U)
         some = np.flatnonzero(n)
         if not len(some):
-            return out
+            return out.view(np.uint32)
         # a counter byte holds 255 at most: sum runs of 255 words, then lines
         per = -(-n[some] // 255)
         line = np.repeat(np.arange(len(some)), per)
         at = before[some][line] + 255 * (np.arange(len(line)) - (np.cumsum(per) - per)[line])
-        counters = np.add.reduceat(_SPREAD[hashes.view(np.uint8).reshape(-1, 8)], at, axis=0)
-        counts = counters.view(np.uint8).astype(np.int32)
-        counts = np.add.reduceat(counts, np.cumsum(per) - per, axis=0)
-        # an even number of words counts the one of least hash twice: no ties
+        # an even number of words counts one of them twice: no ties
         even = n[some] % 2 == 0
-        first = np.unpackbits(hashes[before[some]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += first * even[:, None]
-        bits = 2 * counts > (n[some] + even)[:, None]
-        out[some] = np.packbits(bits, axis=1, bitorder="little").view(_U).ravel()
-        return out
+        for k in range(BLOCKS // 2):
+            own = arrays.mix(hashes + _U((k + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+            counters = np.add.reduceat(_SPREAD[own.view(np.uint8).reshape(-1, 8)], at, axis=0)
+            counts = counters.view(np.uint8).astype(np.int32)
+            counts = np.add.reduceat(counts, np.cumsum(per) - per, axis=0)
+            first = np.unpackbits(own[before[some]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += first * even[:, None]
+            bits = 2 * counts > (n[some] + even)[:, None]
+            out[some, k] = np.packbits(bits, axis=1, bitorder="little").view(_U).ravel()
+        return out.view(np.uint32)
 
     def parities(self) -> np.ndarray:
         """Of each line, which of 256 classes have an odd number of its words."""
@@ -153,86 +151,26 @@ class _Lines:
             out[some] = np.bitwise_xor.reduceat(own, self.before[some], axis=0)
         return out
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The line and a hash of each two neighbouring words."""
-        line = arrays.rows_of(self.before)
-        at = np.flatnonzero(line[1:] == line[:-1])
-        return line[at], arrays.mix(arrays.mix(self.hash[at]) + self.hash[at + 1])
-
-    def rarest(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """32 bits of each of the rarest word pairs of each line, and how many
-        precede each line.  A line's second, third .. of one pair are other
-        pairs."""
-        line, pair = self.pairs()
-        o = np.lexsort((pair, line))
-        line, pair, at = line[o], pair[o], np.arange(len(o))
-        new = np.ones(len(o), bool)
-        new[1:] = (line[1:] != line[:-1]) | (pair[1:] != pair[:-1])
-        again = at - np.maximum.accumulate(np.where(new, at, 0))
-        own = arrays.mix(pair + again.astype(_U) * _U(0x9E3779B97F4A7C15))
-        o = np.lexsort((own, ranks[pair >> _U(64 - RANK_BITS)], line))
-        place = at - np.searchsorted(line, line)
-        few = place < prefix_sizes(np.diff(self.before))[line]
-        return (own[o][few] >> _U(32)).astype(np.uint32), np.searchsorted(line[few], np.arange(len(self.before)))
-
-
-def most_edits(words):
-    """The edits that like lines, the longer one of ``words``, have at most."""
-    return np.floor(words * (1 - SIMILAR)).astype(np.int64)
-
-
-def prefix_sizes(words: np.ndarray) -> np.ndarray:
-    """How many of its rarest word pairs a line must show to meet each line
-    that is like it.  Lines of at most m words have m - 1 pairs in the longer
-    one, and share all but two for each edit; with t shared, the n - 1 pairs
-    of a line but its t - 1 commonest have the rarest of them."""
-    span = int(1 / (1 - SIMILAR))  # what is shared grows from m to m + span, if not each step
-    shared = np.min([words + k - 1 - 2 * most_edits(words + k) for k in range(span)], axis=0)
-    # up to two words have like lines of their own words only
-    return np.where(most_edits(np.floor(words / SIMILAR)) > 0, np.maximum(words - np.maximum(shared, 1), 0), 0)
-
-
-def _counts(batches):
-    """Documents (_key, text) to how often their word pairs fall into each
-    counter."""
-    total = np.zeros(1 << RANK_BITS, np.int64)
-    for batch in batches:
-        for i, j in arrays.slices(batch.column(1)):
-            _, pair = _Lines(batch.column(1).slice(i, j - i)).pairs()
-            total += np.bincount((pair >> _U(64 - RANK_BITS)).astype(np.int64), minlength=len(total))
-    yield pa.RecordBatch.from_arrays([pa.array([np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())], names=["n"])
-
-
-def _ranks(docs: DataFrame) -> np.ndarray:
-    """How often word pairs occur in about RANKED documents, by counter."""
-    n = docs.count()
-    few = docs.sample(RANKED / n, seed=1) if n > RANKED else docs
-    out = np.zeros(1 << RANK_BITS, np.int64)
-    for r in few.repartition(4).mapInArrow(_counts, "n binary").collect():  # a row a task
-        out += np.frombuffer(r.n, np.uint32)
-    return np.minimum(out, (1 << 32) - 1).astype(np.uint32)
 
+_ROW = "a long, b long, key long, line int, words int, gone boolean, p0 long, p1 long, p2 long, p3 long, blocks array<int>"
 
-_ROW = "a long, b long, sim long, key long, line int, words int, gone boolean, p0 long, p1 long, p2 long, p3 long, rare array<int>"
 
-
-def _batch(a, b, sim, key, line, words, gone, parities, rare, size):
+def _batch(a, b, key, line, words, gone, parities, blocks):
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(blocks).view(np.int32).ravel()), BLOCKS)
     return pa.RecordBatch.from_arrays(
-        [pa.array(x.view(np.int64), pa.int64()) for x in (a, b, sim)] +
+        [pa.array(x.view(np.int64), pa.int64()) for x in (a, b)] +
         [pa.array(key, pa.int64()), pa.array(line.astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(gone, pa.bool_())] +
-        [pa.array(np.ascontiguousarray(p).view(np.int64), pa.int64()) for p in parities.T] +
-        [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(rare.view(np.int32)))],
-        names=["a", "b", "sim", "key", "line", "words", "gone", *PARITIES, "rare"])
+        [pa.array(np.ascontiguousarray(p).view(np.int64), pa.int64()) for p in parities.T] + [lists.cast(pa.list_(pa.int32()))],
+        names=["a", "b", "key", "line", "words", "gone", *PARITIES, "blocks"])
 
 
-def _local(ranks, batches):
+def _local(batches):
     """Documents (_key, text) to their lines with words: the first of each
     normal form that the task reads, and the others as gone."""
     held, n = [], 0
 
     def flush():
-        a, b, sim, key, line, words, parities, rare, size = (np.concatenate(x) for x in zip(*held))
-        begin = np.cumsum(size) - size
+        a, b, key, line, words, parities, blocks = (np.concatenate(x) for x in zip(*held))
         o = np.lexsort((line, key, b, a))
         same = np.zeros(len(o), bool)
         same[1:] = (a[o][1:] == a[o][:-1]) & (b[o][1:] == b[o][:-1])
@@ -242,10 +180,8 @@ def _local(ranks, batches):
         for at, flag in ((kept, False), (gone, True)):
             for s in range(0, len(at), 1 << 16):
                 x = at[s:s + (1 << 16)]
-                k = np.where(flag, 0, size[x])
-                own = rare[np.repeat(begin[x] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
-                yield _batch(arrays.mix(key[x].view(_U)) if flag else a[x], b[x], sim[x], key[x], line[x], words[x], np.full(len(x), flag),
-                             parities[x], own, k)
+                yield _batch(arrays.mix(key[x].view(_U)) if flag else a[x], b[x], key[x], line[x], words[x], np.full(len(x), flag),
+                             parities[x], np.zeros((len(x), BLOCKS), np.uint32) if flag else blocks[x])
 
     for batch in batches:
         for i, j in arrays.slices(batch.column(1)):
@@ -255,9 +191,7 @@ def _local(ranks, batches):
             some = words > 0
             a, b = x.digests()
             keys = part.column(0).to_numpy(zero_copy_only=False)
-            rare, before = x.rarest(ranks.value)  # lines without words have none
-            held.append((a[some], b[some], x.simhash()[some], keys[x.row[some]], x.number[some], words[some], x.parities()[some],
-                         rare, np.diff(before)[some]))
+            held.append((a[some], b[some], keys[x.row[some]], x.number[some], words[some], x.parities()[some], x.simhash()[some]))
             n += int(some.sum())
         if n > COLLAPSE:
             yield from flush()
@@ -273,8 +207,8 @@ def _global(batches):
     for batch in batches:
         if not len(batch):
             continue
-        a, b, key, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 3, 4))
-        gone = batch.column(6).to_numpy(zero_copy_only=False)
+        a, b, key, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+        gone = batch.column(5).to_numpy(zero_copy_only=False)
         pa_, pb = (np.concatenate([[last[c] if last else 0], x[:-1]]) for c, x in ((0, a), (1, b)))
         new = (a != pa_) | (b != pb)
         if last is None:
@@ -285,63 +219,39 @@ def _global(batches):
         copy = ~gone & ~new & ~((key == fkey) & (line == fline))
         repeat = ~gone & ~new & ~copy
         last = (a[-1], b[-1], fkey[-1], fline[-1])
-        out = pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(gone | copy, pa.bool_()), *batch.columns[7:]], names=batch.schema.names)
+        out = pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(gone | copy, pa.bool_()), *batch.columns[6:]], names=batch.schema.names)
         yield out.filter(pa.array(~repeat))
 
 
-def blocks(n: int) -> list[int]:
-    """Sizes of the blocks that 64 bits are cut into for ``n`` lines: as many
-    as make a bucket of unlike lines rare."""
-    for count in range(BITS + 2, 12):
-        cut = [64 * (i + 1) // count - 64 * i // count for i in range(count)]
-        least = sum(sorted(cut)[:count - BITS])  # bits of a bucket's key
-        if n * len(list(combinations(cut, BITS))) <= 1 << least:
-            return cut
-    return cut
-
-
-def bucket_keys(sim, cut: list[int]):
-    """A column expression: the buckets of a SimHash column."""
-    begin = [sum(cut[:i]) for i in range(len(cut))]
-    block = [F.shiftrightunsigned(sim, s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in zip(begin, cut)]
-    keys = [F.xxhash64(F.lit(t), *[block[i] for i in chosen])
-            for t, chosen in enumerate(combinations(range(len(cut)), len(cut) - BITS))]
-    return F.array(*keys)
-
-
-def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """Edit distance of two sequences if at most ``limit``: diagonal by
-    diagonal, furthest reach first; runs of equal items are skipped by
-    hashes of prefixes."""
+def edit_distance(a: list, b: list, limit: int) -> int | None:
+    """Edit distance of two sequences if at most ``limit``.  What they begin
+    and end with in common is cut off; of the rest, a column of the table of
+    distances is two numbers whose bits are its steps up and down."""
     if abs(len(a) - len(b)) > limit:
         return None
-    x, y = arrays.Spans(a), arrays.Spans(b)
-
-    def run(i, j):
-        """Equal items from (i, j) on."""
-        lo, hi = np.zeros(len(i), np.int64), np.minimum(len(a) - i, len(b) - j)
-        while (lo < hi).any():
-            mid = (lo + hi + 1) // 2
-            same = x.raw(i, i + mid) == y.raw(j, j + mid)
-            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
-
-    goal = len(a) - len(b)
-    reach = np.zeros(1, np.int64)  # items of a that diagonal k (item i of a, i - k of b) has come to
-    reach += run(reach, reach)
-    for d in range(limit + 1):
-        if abs(goal) <= d and reach[goal + d] >= len(a):
-            return d
-        k = np.arange(-d - 1, d + 2)
-        wide = np.full(len(k) + 2, -1 << 40)
-        wide[2:-2] = reach
-        i = np.maximum(np.maximum(wide[:-2] + 1, wide[1:-1] + 1), wide[2:])
-        i = np.minimum(np.minimum(i, len(a)), len(b) + k)
-        ok = (i >= 0) & (i - k >= 0)
-        at = np.where(ok, i, 0)
-        other = np.where(ok, i - k, 0)
-        reach = np.where(ok, i + np.where(ok, run(at, other), 0), -1 << 40)
-    return None
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    a, b = a[i:], b[i:]
+    i = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), len(a))
+    a, b = a[:len(a) - i], b[:len(b) - i]
+    if not a:
+        return len(b)
+    where: dict = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    every, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, d = every, 0, len(a)
+    for done, y in enumerate(b, 1):
+        same = where.get(y, 0)
+        zero = ((((same & up) + up) ^ up) | same | down) & every
+        higher, lower = (down | ~(zero | up)) & every, up & zero
+        d += bool(higher & last) - bool(lower & last)
+        if d - (len(b) - done) > limit:
+            return None
+        higher, lower = (higher << 1 | 1) & every, lower << 1 & every
+        up, down = (lower | ~(zero | higher)) & every, higher & zero
+    return d if d <= limit else None
 
 
 def _confirm(batches):
@@ -350,7 +260,7 @@ def _confirm(batches):
         links = []
         own, _, guest, key = (batch.column(c).to_pylist() for c in range(4))
         for r, words in enumerate(batch.column(4)):
-            mine = words.values.to_numpy(zero_copy_only=False).view(_U)
+            mine = words.values.to_pylist()
             if not guest[r]:
                 hub_key, hub = own[r], mine
             elif own[r] == hub_key:
@@ -379,13 +289,13 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     """(key, line) of every line to drop.  ``packed``: (_key, .., z)."""
     spark = docs.sparkSession
     n = common.partitions(spark)
-    ranks = spark.sparkContext.broadcast(_ranks(docs))
-    rows = docs.mapInArrow(partial(_local, ranks), _ROW).repartition(n, "a").sortWithinPartitions("a", "b", "key", "line").mapInArrow(_global, _ROW)
+    rows = docs.mapInArrow(_local, _ROW).repartition(n, "a").sortWithinPartitions("a", "b", "key", "line").mapInArrow(_global, _ROW)
     rows = common.stage(rows, "lines")
-    forms = common.stage(rows.filter("not gone").select(F.monotonically_increasing_id().alias("cid"), "sim", "words", *PARITIES, "rare", "key", "line"), "forms")
-    cut = blocks(forms.count())
-    rare = F.transform("rare", lambda x: F.xxhash64(F.lit(-1), x))
-    banded = forms.select("cid", F.explode(F.array_distinct(F.concat(bucket_keys(F.col("sim"), cut), rare))).alias("bucket"))
+    forms = common.stage(rows.filter("not gone").select(F.monotonically_increasing_id().alias("cid"), "words", *PARITIES, "blocks", "key", "line"), "forms")
+    # a bucket is a block's number, the class of the line's length and 32 bits
+    length = F.floor(F.log("words") / math.log(STEP) + F.col("block") / F.lit(float(BLOCKS))).cast("long")
+    banded = forms.select("cid", "words", F.posexplode("blocks").alias("block", "bits")) \
+        .select("cid", (F.shiftleft(F.col("block").cast("long"), 48) + F.shiftleft(length, 32) + F.col("bits")).alias("bucket"))
     heads = common.stage(banded.groupBy("bucket").agg(F.min("cid").alias("hub"), F.max("cid").alias("far"), F.count("*").alias("n"))
                          .filter("n > 1"), "buckets")
     two = heads.filter("n = 2").select("bucket", F.explode(F.array("hub", "far")).alias("_key"), "hub")
@@ -415,21 +325,27 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     return rows.filter("gone").select("key", "line").union(late)
 
 
+_worded = re.compile(b"[0-9A-Za-z\x80-\xff]").search
+
+
 def _kept(batches):
-    """(.., z, dropped line numbers) to (.., n_lines, n_dropped, text)."""
+    """(.., z, dropped line numbers) to (.., n_lines, n_dropped, whether no
+    line with words is left of some, text)."""
     for batch in batches:
         m = batch.num_columns - 2
-        lines, dropped, texts = [], [], []
+        lines, dropped, hollow, texts = [], [], [], []
         for z, gone in zip(batch.column(m).to_pylist(), batch.column(m + 1).to_pylist()):
             text = _whole(z)
             own = text.split(b"\n") if text else []
             out = set(gone or ())
+            left = [x for i, x in enumerate(own) if i not in out]
             lines.append(len(own))
             dropped.append(len(out))
-            texts.append(None if z is None else b"\n".join([x for i, x in enumerate(own) if i not in out]))
+            hollow.append(bool(out) and not any(map(_worded, left)))
+            texts.append(None if z is None else b"\n".join(left))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:m], pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names[:m], "_lines", "_dropped", "_text"])
+            [*batch.columns[:m], pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(hollow, pa.bool_()), pa.array(texts, pa.binary()).cast(pa.string())],
+            names=[*batch.schema.names[:m], "_lines", "_dropped", "_hollow", "_text"])
 
 
 def _deduped(docs: DataFrame, columns: list[str], id_col: str, text_col: str) -> DataFrame:
@@ -441,9 +357,9 @@ def _deduped(docs: DataFrame, columns: list[str], id_col: str, text_col: str) ->
     slim = d.select("_key", "_text").mapInArrow(_shrunk, "_key long, z binary")
     gone = _repeated(d.select("_key", "_text"), slim).groupBy("key").agg(F.collect_list("line").alias("_gone"))
     joined = packed.join(gone, F.col("_key") == F.col("key"), "left").select(*renamed.values(), "z", "_gone")
-    out = joined.drop("z", "_gone").schema.add("_lines", "long").add("_dropped", "long").add("_text", "string")
+    out = joined.drop("z", "_gone").schema.add("_lines", "long").add("_dropped", "long").add("_hollow", "boolean").add("_text", "string")
     kept = joined.mapInArrow(_kept, out)
-    return kept.select(*[F.col(r).alias(c) for c, r in renamed.items()], "_lines", "_dropped", "_text")
+    return kept.select(*[F.col(r).alias(c) for c, r in renamed.items()], "_lines", "_dropped", "_hollow", "_text")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -455,6 +371,6 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents (all their columns) with the lines that stay; one that
-    loses all its lines goes."""
-    kept = _deduped(common.wrap(docs, id_col, text_col), ["_rest"], id_col, text_col).filter("_dropped = 0 or _dropped < _lines")
+    loses all its lines with words goes."""
+    kept = _deduped(common.wrap(docs, id_col, text_col), ["_rest"], id_col, text_col).filter("not _hollow")
     return common.unwrap(kept.select(id_col, "_rest", F.col("_text").alias(text_col)), docs.columns, id_col, text_col)

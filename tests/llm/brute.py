@@ -110,20 +110,21 @@ def distance(a, b):
     return row[-1]
 
 
-def line_groups(docs, simhash, bits=3, similar=0.75):
-    """op8: the SimHash of a normal form is given, all else is stated anew."""
+def line_groups(docs, blocks, similar=0.75):
+    """op8: the SimHash blocks of a normal form are given, all else is stated
+    anew: forms that share a block and are alike are linked."""
     def normal(s):
-        return tuple(ALNUM.findall("".join("0" if c in "0123456789" else c for c in low(s))))
+        return tuple(ALNUM.findall(low(s)))
     forms = collections.defaultdict(list)
     for d, t in sorted(docs):
         for n, s in enumerate(t.split("\n") if t else []):
             if normal(s):
                 forms[normal(s)].append((d, n))
     keys = list(forms)
-    hashes = np.array([simhash(" ".join(f)) for f in keys], np.uint64)
+    hashes = np.array([blocks(" ".join(f)) for f in keys])
     sets = Sets(range(len(keys)))
     for i in range(len(keys)):
-        for j in (np.flatnonzero(np.bitwise_count(hashes[i + 1:] ^ hashes[i]) <= bits) + i + 1).tolist():
+        for j in (np.flatnonzero((hashes[i + 1:] == hashes[i]).any(axis=1)) + i + 1).tolist():
             if distance(keys[i], keys[j]) <= (1 - similar) * max(len(keys[i]), len(keys[j])):
                 sets.join(i, j)
     groups = collections.defaultdict(list)
