@@ -48,7 +48,7 @@ from . import arrays, common
 from .linking import Bound, link
 from .suffix_dedup import _shrunk, _whole
 
-BLOCKS = 24
+BLOCKS = 16
 STEP = 1.25
 SIMILAR = 0.75
 #: Lines that a task collapses together.
@@ -272,11 +272,12 @@ def _confirm(batches):
 
 
 def _words(batches):
-    """(z, [(cid, line)]) to (_key, text): the hashes of a line's words."""
+    """(text or z, [(cid, line)]) to (_key, text): the hashes of a line's
+    words."""
     for batch in batches:
         ids, lists = [], []
-        for z, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = _Lines(pa.array([_whole(z)], pa.binary()).cast(pa.string()))
+        for text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x = _Lines(pa.array([_whole(text).decode() if isinstance(text, bytes) else text], pa.string()))
             place = {int(n): i for i, n in enumerate(x.number)}
             for r in rows:
                 i = place[r["line"]]
@@ -314,9 +315,11 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
         few = keys.count() <= BROADCAST_ROWS
         keys = F.broadcast(keys) if few else keys
         wanted = forms.join(keys, F.col("cid") == F.col("_key")).groupBy("key").agg(F.collect_list(F.struct("cid", "line")).alias("rows"))
-        wanted = F.broadcast(wanted) if few else wanted
-        return packed.join(wanted, F.col("_key") == F.col("key")).select("z", "rows") \
-            .mapInArrow(_words, "_key long, text array<long>").dropDuplicates(["_key"])
+        if few:  # documents without such a line are left where they are
+            found = docs.join(F.broadcast(wanted), F.col("_key") == F.col("key")).select("_text", "rows")
+        else:
+            found = packed.join(wanted, F.col("_key") == F.col("key")).select("z", "rows")
+        return found.mapInArrow(_words, "_key long, text array<long>").dropDuplicates(["_key"])
 
     found = link(shared.withColumn("score", F.lit(0)), values, bound, texts, _confirm)
     grouped = forms.join(found, F.col("cid") == F.col("node")).select("component", "key", "line")
