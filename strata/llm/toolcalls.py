@@ -4,7 +4,8 @@ Messages (conv_id, turn, role, text) become canonical chat rows, one a
 message or call:
 
 * An assistant's text that is a JSON object with ``tool_calls`` is one *call*
-  for each entry {id, name, arguments, depends_on}.
+  for each entry {id, name, arguments, depends_on}, and, if it has ``content``
+  beside them, a *message* of that before them (``pos`` -1).
 * A tool's text that is a JSON object with ``tool_call_id`` is a *result*.
 * A user's text is a call of the function ``reply`` with the argument
   ``prompt`` and the id "<conv_id>:<turn>"; an assistant's plain text is the
@@ -15,15 +16,18 @@ Calls and results are hash-joined by conversation and identifier.  Of several
 calls (results) with one identifier the first counts, by turn, place and the
 MD5 of the text; the others are marked.  Levels order calls topologically: 0
 without dependencies, else one more than the highest call depended on; calls
-on a cycle have no level.  Arguments are validated against the function's
-schema.  The JSON has sorted keys, no blanks, and names without values left
+on a cycle have no level, and one that depends on an identifier that the
+conversation has no call of is not valid.  Arguments are validated against the
+function's schema.  The JSON has sorted keys, no blanks, and names without values left
 out.
 
 No step gathers a conversation: rows stay rows, popular identifiers only
-meet partial aggregates, so one conversation may hold any share of the table.
+meet partial aggregates, and messages, which match nothing, join nothing; so
+one conversation may hold any share of the table.
 
 Cases: a null text is an empty one; null conversations, turns and roles are
-values of their own (a null role is a message); malformed JSON is plain text;
+values of their own (a null role is a message); white space before JSON is
+none of its text; malformed JSON is plain text;
 repeated rows each get their row; an empty table gives no rows; other columns
 are ignored."""
 
@@ -49,7 +53,7 @@ def _events(conv: DataFrame) -> DataFrame:
     """(conv_id, turn, pos, role, kind, call_id, name, args, depends, text)"""
     c = conv.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                     F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    may = F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{")
+    may = F.col("role").isin("assistant", "tool") & F.col("text").rlike(r"^[ \t\r\n]*\{")
     c = c.withColumn("_json", F.when(may, F.try_parse_json("text")))
     c = c.withColumn("_calls", F.when(F.col("role") == "assistant", F.try_variant_get("_json", "$.tool_calls", "array<variant>")))
     c = c.withColumn("_answers", F.when(F.col("role") == "tool", F.try_variant_get("_json", "$.tool_call_id", "string")))
@@ -66,6 +70,11 @@ def _events(conv: DataFrame) -> DataFrame:
         .otherwise(F.to_json("_a")).alias("args"),
         F.try_variant_get("_c", "$.depends_on", "array<string>").alias("depends"), "text")
 
+    beside = c.filter(F.size("_calls") > 0).withColumn("_content", F.try_variant_get("_json", "$.content", "string")).filter("_content != ''")
+    none = F.lit(None).cast("string")
+    beside = beside.select("conv_id", "turn", F.lit(-1).alias("pos"), "role", F.lit("message").alias("kind"), none.alias("call_id"), none.alias("name"),
+                           none.alias("args"), empty.alias("depends"), F.col("_content").alias("text"))
+
     one = c.filter(F.coalesce(F.size("_calls"), F.lit(0)) <= 0)
     prompts = one.filter("role = 'user'").select("conv_id", F.col("turn").alias("_asked")).distinct()
     prompts = prompts.withColumn("_after", F.col("_asked") + 1).withColumn("_by", F.lit("assistant")).dropna(subset=["_after"])
@@ -81,7 +90,7 @@ def _events(conv: DataFrame) -> DataFrame:
         F.when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("prompt")))).alias("args"),
         empty.alias("depends"),
         F.when(F.col("_answers").isNotNull(), F.coalesce(F.try_variant_get("_json", "$.content", "string"), F.lit(""))).otherwise(F.col("text")).alias("text"))
-    return several.unionByName(one)
+    return several.unionByName(beside).unionByName(one)
 
 
 def _errors(schemas: dict) -> Column:
@@ -147,18 +156,27 @@ def _levels(calls: DataFrame) -> DataFrame:
     return done
 
 
+def _unknown(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, _unknown): the identifiers that a call depends on
+    and no call of its conversation has."""
+    edges = calls.filter(F.size("depends") > 0).select("conv_id", "call_id", F.explode("depends").alias("dep")).distinct()
+    lost = _join(edges, calls.select("conv_id", "call_id").distinct(), "left_anti", ("conv_id", "conv_id"), ("dep", "call_id"))
+    return lost.groupBy("conv_id", "call_id").agg(F.array_sort(F.collect_set("dep")).alias("_unknown"))
+
+
 def format_chats(conv: DataFrame, schemas: dict | None = None) -> DataFrame:
     """(conv_id, turn, pos, kind, call_id, linked_turn, level, valid, error,
     json).  ``linked_turn`` is the turn of a call's first result, or of a
     result's call; ``valid`` is null for messages."""
     schemas = SCHEMAS if schemas is None else schemas
-    e = _events(conv)
+    e = common.stage(_events(conv), "events")
     calls, results = _first(e, "call", "call"), _first(e, "result", "result")
     itself = ("conv_id", "conv_id"), ("call_id", "call_id")
-    e = _join(_join(e, calls, "left", *itself), results, "left", *itself)
-    levels = _levels(_events(conv).filter("kind = 'call' and call_id is not null"))
-    levels = levels.withColumn("_has", F.lit(True))
-    e = _join(e, levels, "left", *itself)
+    named = e.filter("kind = 'call' and call_id is not null")
+    linked = e.filter("call_id is not null")
+    for other in (calls, results, _levels(named).withColumn("_has", F.lit(True)), _unknown(named)):
+        linked = _join(linked, other, "left", *itself)
+    e = linked.unionByName(e.filter("call_id is null"), allowMissingColumns=True)
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
 
     def extra(x):
@@ -166,7 +184,8 @@ def format_chats(conv: DataFrame, schemas: dict | None = None) -> DataFrame:
 
     e = e.withColumn("error", F.when(is_call, F.concat_ws(
         "; ", F.when(F.col("call_id").isNull(), "no identifier").when(extra("call"), "identifier repeated"),
-        F.array_join(_errors(schemas), "; "), F.when(F.col("_has") & F.col("level").isNull(), "dependencies form a cycle")))
+        F.array_join(_errors(schemas), "; "), F.when(F.col("_has") & F.col("level").isNull(), "dependencies form a cycle"),
+        F.when(F.col("_unknown").isNotNull(), F.concat(F.lit("depends on unknown "), F.array_join("_unknown", ", ")))))
         .when(is_result, F.concat_ws("; ", F.when(F.col("_call").isNull(), "no such call").when(extra("result"), "result repeated"))))
     e = e.withColumn("error", F.regexp_replace("error", "^; |; (?=; )|; $", ""))
     body = F.when(is_call, F.to_json(F.struct(

@@ -5,6 +5,7 @@ import json
 import os
 import re
 import sys
+import time
 import zlib
 
 import duckdb
@@ -149,6 +150,34 @@ def test_dom_reads_broken_markup():
     assert p.tag[1:5] == ["p", "p", "b", "div"] and p.parent[4] == 0
 
 
+def test_lists_beside_loose_text(spark):
+    html = ("<body><h1>Title</h1>Loose intro text of the piece.<ul><li>First point</li><li>Second <b>point</b></li></ul>"
+            "<table><tr><td>One</td><td>Two</td></tr></table><pre>a b</pre><ul><li><a href='/'>Home</a></li><li><a href='/x'>More</a></li></ul></body>")
+    pages = common.table(spark, SF, "pages")
+    extra = spark.createDataFrame([(10 ** 6, "u", html)], pages.schema)
+    (got,) = html_extract.extract(pages.union(extra)).filter("page_id = 1000000").collect()
+    assert got.text.split("\n") == ["Title", "Loose intro text of the piece.", "First point", "Second point", "One", "Two", "a b"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a \"", "<a '", "<a b=\"c' ", "<", "<a<", "<!", "<!-- ", "</", "<x>", "<p><table><x>", "<li><b>", "<b><div>", "&", "<script>", "<a \">\" '"])
+def test_broken_pages_are_read_in_proportion(piece):
+    for end in ("", ">", "\">", "'>"):
+        began = time.monotonic()
+        page = dom.Page(piece * (1_000_000 // len(piece)) + end)
+        assert time.monotonic() - began < 12, (piece, end)  # seconds, not hours
+        assert all(a < b <= len(page.tag) for a, b in enumerate(page.end))
+
+
+def test_reader_on_odd_tags():
+    def texts(html):
+        p = dom.Page(html)
+        return [(p.tag[e], " ".join(t.split())) for e, t, _ in p.runs if t.strip()]
+    assert texts("<p title='a>b'>one</p><p title=\"x'>y\">two</p>") == [("p", "one"), ("p", "two")]
+    assert texts("<div>a < b and 1<2, <3</div>") == [("div", "a < b and 1<2, <3")]
+    assert texts("<div><!-- <p>no --><p>yes<!-- open") == [("p", "yes")]
+    assert texts("<div><script>if (a<b) x=\"</p>\"</script>seen</div>")[-1] == ("div", "seen")
+
+
 # ------------------------------------------------------------- op4
 
 @pytest.mark.parametrize("sf", [SF, SF01])
@@ -182,7 +211,7 @@ def test_chats_link_order_and_validate(spark):
     for r in out.collect():
         got.setdefault((r.conv_id, r.turn), []).append((r.pos, r.kind, r.call_id, r.linked_turn, r.level, r.valid, r.error, r.json))
     assert [x[1:7] for x in sorted(got[1, 1])] == [
-        ("call", "c1", 2, 0, True, None), ("call", "c2", None, 1, False, "b is no integer"), ("call", "c3", None, 2, True, None),
+        ("call", "c1", 2, 0, True, None), ("call", "c2", None, 1, False, "b is no integer"), ("call", "c3", None, 2, False, "depends on unknown zz"),
         ("call", None, None, 0, False, "no identifier"), ("call", "c5", None, 0, False, "unknown function"),
         ("call", "c1", 2, 0, False, "identifier repeated; unknown q")]
     assert sorted(got[1, 1])[0][7] == '{"arguments":{"a":1.5,"b":2},"id":"c1","name":"add","type":"function"}'
@@ -196,6 +225,32 @@ def test_chats_link_order_and_validate(spark):
     assert toolcalls.format_chats(df.limit(0), schemas).collect() == []
 
 
+def test_chats_lose_nothing(spark):
+    """Content beside calls, white space before JSON, unknown dependencies, a
+    very long text."""
+    long = "x\u00e9 " * 400_000
+    data = [
+        (1, 0, "assistant", '\n\t {"content": "Let me look", "tool_calls": [{"id": "a", "name": "f", "arguments": {}}, '
+                            '{"id": "b", "name": "f", "arguments": {}, "depends_on": ["a", "zz", "y", "zz"]}]}'),
+        (1, 1, "tool", ' \r\n{"tool_call_id": "a", "content": "found"}'), (1, 2, "assistant", '{"content": "", "tool_calls": [{"id": "c", "name": "f"}]}'),
+        (1, 3, "user", long), (1, 4, "assistant", long), (1, 5, "system", long), (2, 0, "assistant", '{"content": "no calls", "tool_calls": []}')]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn, r.pos): r for r in toolcalls.format_chats(df, {"f": {}, "reply": {"prompt": ("string", True)}}).collect()}
+    assert (got[1, 0, -1].kind, got[1, 0, -1].json) == ("message", '{"content":"Let me look","role":"assistant"}')
+    assert (got[1, 0, 0].linked_turn, got[1, 0, 0].valid) == (1, True) and got[1, 1, 0].linked_turn == 0
+    assert (got[1, 0, 1].valid, got[1, 0, 1].error, got[1, 0, 1].level) == (False, "depends on unknown y, zz", 1)
+    assert (1, 2, -1) not in got and got[1, 2, 0].kind == "call"
+    assert json.loads(got[1, 3, 0].json)["arguments"]["prompt"] == long and json.loads(got[1, 5, 0].json)["content"] == long
+    assert got[1, 4, 0].linked_turn == 3 and got[2, 0, 0].kind == "message" and len(got) == 9
+
+
+def test_plain_messages_join_nothing(spark):
+    """Rows without an identifier, however many a conversation has, meet in no
+    join."""
+    plan = toolcalls.format_chats(common.table(spark, SF, "conversations"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(call_id" in plan and "isnull(call_id" in plan
+
+
 def test_chats_plan_has_no_python(spark):
     plan = toolcalls.format_chats(common.table(spark, SF, "conversations"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
