@@ -1,11 +1,13 @@
-"""A small, forgiving HTML reader: element trees and their text runs."""
+"""A small, forgiving HTML reader: element trees and their text runs.  Its
+time grows in proportion to the page, however broken that is."""
 
 from __future__ import annotations
 
 import re
 from html import unescape
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+_SPECIAL = re.compile("[\"'>]")
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 #: Elements without content.
@@ -31,6 +33,51 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _SCOPE = frozenset("html body table ul ol dl div section article main aside nav header footer form td th select".split())
 
 
+def _tags(html: str):
+    """A function from a position to the next tag from there on: (start, end,
+    slash, name, attributes), name None for comments and the like, or None."""
+    n, last = len(html), html.rfind(">")
+    ends: dict[int, int] = {}  # where a tag ends, by the first quote or > behind its name
+    seen = [0, -1]  # a stretch without such up to its end
+
+    def tag_end(pos):
+        """The > that is in no quotes, or -1."""
+        if not seen[0] <= pos <= seen[1]:
+            m = _SPECIAL.search(html, pos)
+            seen[:] = pos, m.start() if m else n
+        j, way = seen[1], []
+        while j < n and j not in ends:
+            way.append(j)
+            if html[j] == ">":
+                ends[j] = j
+                break
+            close = html.find(html[j], j + 1)
+            m = _SPECIAL.search(html, close + 1) if close >= 0 else None
+            j = m.start() if m else n
+        end = ends[j] if j < n else -1
+        for p in way:
+            ends[p] = end
+        return end
+
+    def following(pos):
+        at = html.find("<", pos)
+        while at >= 0:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else n, "", None, ""
+            if at < last:
+                if html[at + 1] in "!?":
+                    return at, html.find(">", at) + 1, "", None, ""
+                m = _NAME.match(html, at)
+                end = tag_end(m.end()) if m else -1
+                if end >= 0:
+                    return at, end + 1, m[1], m[2].lower(), html[m.end():end]
+            at = html.find("<", at + 1)
+        return None
+
+    return following
+
+
 class Page:
     """Elements in page order: tag, attrs (raw text), parent, depth, end (the
     element after the last descendant).  ``runs``: (element, text, block):
@@ -47,17 +94,19 @@ class Page:
         self.parent.append(stack[-1])
         self.depth.append(len(stack))
         self.end.append(0)
+        self.wall.append(len(stack) if tag == "p" or tag in _SCOPE else self.wall[-1])
         stack.append(len(self.tag) - 1)
 
     def _read(self, html: str) -> None:
         stack, at, block, n = [0], 0, 0, len(html)
+        self.wall = [0]  # for each open element the innermost p or scope up to it, as a place in the stack
         counts: dict[str, int] = {}  # open elements by tag
 
         def close(k):
             for i in stack[k:]:
                 self.end[i] = len(self.tag)
                 counts[self.tag[i]] -= 1
-            del stack[k:]
+            del stack[k:], self.wall[k:]
 
         def loose():
             if self.tag[stack[-1]] in FRAME:
@@ -71,15 +120,14 @@ class Page:
                     loose()
                 self.runs.append((stack[-1], s, block))
 
-        for m in _TAG.finditer(html):
-            if m.start() < at:
+        following = _tags(html)
+        while found := following(at):
+            start, end, slash, tag, attrs = found
+            text(html[at:start])
+            at = end
+            if tag is None:
                 continue
-            text(html[at:m.start()])
-            at = m.end()
-            if m[2] is None:
-                continue
-            tag = m[2].lower()
-            if m[1]:
+            if slash:
                 if counts.get(tag):
                     k = len(stack) - 1
                     while self.tag[stack[k]] != tag:
@@ -103,21 +151,21 @@ class Page:
             if not inline:
                 block += 1
                 if counts.get("p"):  # a block ends an open paragraph
-                    k = len(stack) - 1
-                    while k and self.tag[stack[k]] != "p" and self.tag[stack[k]] not in _SCOPE:
-                        k -= 1
+                    k = self.wall[-1]
                     if self.tag[stack[k]] == "p":
                         close(k)
-                for k in range(len(stack) - 1, 0, -1):
-                    own = self.tag[stack[k]]
-                    if own in _CLOSES.get(tag, ()):
-                        close(k)
-                        break
-                    if own in _SCOPE:
-                        break
-            self._open(stack, tag, m[3])
+                ended = _CLOSES.get(tag, ())
+                if any(counts.get(x) for x in ended):
+                    for k in range(len(stack) - 1, 0, -1):
+                        own = self.tag[stack[k]]
+                        if own in ended:
+                            close(k)
+                            break
+                        if own in _SCOPE:
+                            break
+            self._open(stack, tag, attrs)
             counts[tag] = counts.get(tag, 0) + 1
-            if tag in VOID or m[3].endswith("/") and tag in ("path", "circle", "rect", "use"):
+            if tag in VOID or attrs.endswith("/") and tag in ("path", "circle", "rect", "use"):
                 close(len(stack) - 1)
             elif tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
@@ -129,6 +177,7 @@ class Page:
         text(html[at:])
         counts["#page"] = 1
         close(0)
+        del self.wall
 
 
 def attributes(raw: str) -> dict[str, str]:

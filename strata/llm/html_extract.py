@@ -126,7 +126,8 @@ class Pages:
             for e, text, _ in p.runs:
                 self.own[f + e] += len(text) - text.count(" ") - text.count("\n")
                 self.commas[f + e] += text.count(",") + text.count(".")
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(1, int(self.depth.max(initial=0)) + 1)]
+        order = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(order, np.searchsorted(self.depth[order], np.arange(1, int(self.depth.max(initial=0)) + 1)))[1:]
         self.unseen = self.down(self.unseen)
         self.own[self.unseen] = 0
 
@@ -230,9 +231,10 @@ class Pages:
         content = ((straight >= boxed) & ~named)[self.page]
         own = np.where(self.loose, np.where(mostly & content, 1.0, -1.0), np.where(mostly & content, np.maximum(logit, 1.0), logit))
         out = np.where(plain, own, logit)
-        running = (self.flags == 0) & np.isin(self.kind, _RUNNING)
+        running = (self.flags == 0) & np.isin(self.kind, _RUNNING) & beside
+        parts = (self.flags == 0) & np.isin(self.kind, _PLAIN) & ~plain & self.down(mostly & content)  # items and cells
         for at in self.levels:
-            inner = at[running[at] & beside[at]]
+            inner = at[(running | parts)[at]]
             out[inner] = out[self.parent[inner]]
         return np.where(self.unseen, -1e6, out)
 
