@@ -125,9 +125,10 @@ def _compared(batches):
     schema = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
-    def report(rows, after):
-        """rows: [(id, text)]; after: for each the place of its next text in
-        ``rows`` + ``heads``."""
+    def report(rows, after, copies):
+        """rows: [(id, text)], the last one the next of the one before it;
+        after: for each but that the place of its next text; copies: how often
+        each occurs."""
         texts = [t for _, t in rows]
         edited = [t[:len(t) - len(t) // 2] + texts[a][:len(t) // 2] for t, a in zip(texts, after)]
         own, new = (codes(pa.array(x, pa.large_string())) for x in (texts, edited))
@@ -136,25 +137,29 @@ def _compared(batches):
         columns = [[i for i, _ in rows[:n]], [len(t) for t in texts[:n]],
                    [hashlib.sha256(t.encode()).hexdigest() for t in edited], packed(*mine), packed(*new),
                    likeness(mine, new), likeness(mine, (own[0][after], own[1][after]))]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema)
-
-    waiting, key = [], None  # rows of one key, whose next document hasn't come yet
-    rows, after, size = [], [], 0
+        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema)
+        yield batch
+        for r, more in enumerate(copies):
+            for a in range(1, more, common.BATCH_ROWS):
+                yield batch.take(pa.array(np.full(min(common.BATCH_ROWS, more - a), r)))
+
+    waiting, key, times = None, None, 0  # the row whose next document hasn't come yet, and how often it came
+    rows, after, copies, size = [], [], [], 0
     for batch in batches:
         for bucket, guest, k, i, text in zip(*(batch.column(c).to_pylist() for c in range(5))):
             here = (bucket, guest, k)
             if waiting and here != key:
-                first = len(rows)
-                rows += waiting
-                after += [first + len(waiting)] * len(waiting)
-                size += sum(len(t) for _, t in waiting)
-                waiting = []
+                rows.append(waiting)
+                after.append(len(rows))
+                copies.append(times)
+                size += len(waiting[1])
+                waiting, times = None, 0
                 if size >= arrays.SLICE_BYTES or guest:
-                    yield report(rows + [(i, text or "")], after)
-                    rows, after, size = [], [], 0
+                    yield from report(rows + [(i, text or "")], after, copies)
+                    rows, after, copies, size = [], [], [], 0
             key = here
-            if not guest:
-                waiting.append((i, text or ""))
+            if not guest:  # rows of one key are equal
+                waiting, times = (i, text or ""), times + 1
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
