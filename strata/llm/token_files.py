@@ -2,16 +2,18 @@
 
 ``write`` lays three Parquet tables under one folder:
 
-* ``tokens``: (bucket, _key, id, n_tokens, ids) - the ids, sorted by key
-  within each bucket; what the coder reads, and restarts from.
+* ``tokens``: (bucket, _key, id, n_tokens, ids) - the ids, in no order; what
+  the coder reads, and restarts from.
 * ``frequencies``: (token, freq) - the shared table, from the counts of *all*
   ids; at most 65,536 rows.
 * ``blocks``: (bucket, first_key, block, n_tokens, payload) - each payload is a
   self-contained block (see :func:`pack_block`) of whole documents,
-  about BLOCK_TOKENS ids, with checkpoints and checksums.
+  about BLOCK_TOKENS ids, with checkpoints and checksums.  Documents ascend
+  by key over the part files in the order of their names, and within them.
 
-Buckets are ranges of the key with about equally many documents.  Spark's
-writers commit the files, so lost tasks and executors leave no torn block.
+Buckets are ranges of the key with about equally many bytes of text, and each
+is one part file.  Spark's writers commit the files, so lost tasks and
+executors leave no torn block.
 
 Cases: a null or empty text has just the end id; repeated rows and null ids
 follow ``common.keyed`` (a repeated row is written once for each of its
@@ -186,24 +188,54 @@ def bounds(keys: DataFrame, buckets: int) -> list[int]:
     return sorted({int(c) for c in cuts})
 
 
+#: Ranges that are weighed for each bucket.
+FINE = 8
+
+
+def _weighed(cuts: list[int], batches):
+    """(_key, bytes) to the bytes in each range of keys."""
+    total = np.zeros(len(cuts) + 1, np.int64)
+    for batch in batches:
+        k, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        np.add.at(total, np.searchsorted(np.asarray(cuts, np.int64), k, "right"), n)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["range", "n"])
+
+
+def balanced(docs: DataFrame, buckets: int) -> list[int]:
+    """Keys that cut ``docs`` (_key, text) into at most ``buckets`` ranges of
+    about equally many bytes: FINE times as many of equally many rows, joined."""
+    cuts = bounds(docs.select(F.col("_key").cast("double").alias("_key")), FINE * buckets)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
+    weights = docs.select("_key", size.alias("n")).mapInArrow(partial(_weighed, cuts), "range long, n long").groupBy("range").agg(F.sum("n").alias("n"))
+    before = np.zeros(len(cuts) + 1, np.int64)
+    for r in weights.collect():  # a row a range
+        before[r.range] = r.n
+    ends = np.cumsum(before)
+    share = np.maximum(ends[-1], 1) / buckets
+    # a bucket ends with the range that brings it nearest to its share
+    chosen = {int(np.argmin(np.abs(ends[:-1] - share * i))) for i in range(1, buckets)} if cuts else set()
+    return [cuts[i] for i in sorted(chosen)]
+
+
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
           buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> None:
     """Write the token files of ``docs`` under ``path`` (a new folder)."""
     spark = docs.sparkSession
     tokenizer = tokenizer or tokens.default_path()
     d = common.keyed(docs, id_col=id_col, text_col=text_col).select("_key", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cuts = bounds(d.select(F.col("_key").cast("double").alias("_key")), buckets or 2 * common.partitions(spark))
-    t = d.mapInArrow(partial(_tokenize, tokenizer, cuts), "bucket int, _key long, id long, n_tokens long, ids binary")
-    t.repartition(common.partitions(spark), "bucket").sortWithinPartitions("bucket", "_key") \
+    cuts = balanced(d, buckets or 2 * common.partitions(spark))
+    d.mapInArrow(partial(_tokenize, tokenizer, cuts), "bucket int, _key long, id long, n_tokens long, ids binary") \
         .write.option("compression", "zstd").parquet(f"{path}/tokens")
-    sorted_ids = spark.read.parquet(f"{path}/tokens")
-    counts = sorted_ids.select("ids").mapInArrow(_count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    ids = spark.read.parquet(f"{path}/tokens")
+    counts = ids.select("ids").mapInArrow(_count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(max([r.token for r in counts], default=0) + 1, np.int64)
     for r in counts:  # at most 65,536 rows
         n[r.token] = r.n
     freq = [(int(t), int(f)) for t, f in enumerate(rans.frequencies(n)) if f]
     spark.createDataFrame(freq, "token int, freq int").coalesce(1).write.parquet(f"{path}/frequencies")
-    sorted_ids.select("bucket", "_key", "id", "n_tokens", "ids") \
+    ids.select("bucket", "_key", "id", "n_tokens", "ids") \
+        .repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("_key") \
         .mapInArrow(partial(_encode, freq, block_tokens), "bucket int, first_key long, block long, n_tokens long, payload binary") \
         .write.option("compression", "none").parquet(f"{path}/blocks")
 
