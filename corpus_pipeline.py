@@ -2,6 +2,16 @@
 
 Each stage is ``f(spark, docs, sf_dir) -> DataFrame`` over all that its
 predecessor kept; all but the last return the columns of ``documents``.
+
+Cases, in any stage: a null or empty text is a document without words, which
+the classifier scores, lines and near copies leave alone, the benchmark can't
+occur in, and packing gives its end token; null ids and ids that other rows
+have, too, follow ``common.keyed`` (rows that repeat id and text are one
+document: the near-copy stage keeps one of them); of lines or documents that
+tie, the first by key stays; texts of any length are read whole; further
+columns, whatever their names, are carried along up to packing; an empty table
+gives no rows.  A stage that takes away lines takes away documents of which
+only white space and marks would be left.
 """
 
 from __future__ import annotations
