@@ -162,6 +162,38 @@ def _compared(batches):
                 waiting, times = (i, text or ""), times + 1
 
 
+def _firsts(cuts):
+    def firsts(batches):
+        least: dict[int, int] = {}
+        for batch in batches:
+            keys = np.sort(batch.column(0).to_numpy(zero_copy_only=False))
+            own, at = np.unique(np.searchsorted(cuts.value, keys, "right"), return_index=True)
+            for b, k in zip(own.tolist(), keys[at].tolist()):
+                least[b] = min(k, least.get(b, k))
+        yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.int32()), pa.array(list(least.values()), pa.int64())], names=["bucket", "_key"])
+    return firsts
+
+
+def _dealt(cuts, guests):
+    """(_key, id, text) with the bucket, and once more as a guest."""
+    def dealt(batches):
+        heads, hosts = guests.value
+
+        def rows(part, bucket, guest):
+            return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(np.full(len(part), guest)), *part.columns],
+                                              names=["bucket", "guest", "_key", "id", "text"])
+        for batch in batches:
+            for i, j in arrays.slices(batch.column(2)):
+                part = batch.slice(i, j - i)
+                keys = part.column(0).to_numpy(zero_copy_only=False)
+                yield rows(part, np.searchsorted(cuts.value, keys, "right"), False)
+                at = np.minimum(np.searchsorted(heads, keys), len(heads) - 1)
+                head = np.flatnonzero(heads[at] == keys)
+                if len(head):
+                    yield rows(part.take(pa.array(head)), hosts[at[head]], True)
+    return dealt
+
+
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint, that of its edited text (its last half
     replaced by the beginning of the next document's), and how like they are.
@@ -170,23 +202,16 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     gets the first document of the bucket after it, so every row meets its
     next; only the first key of each bucket goes through the driver."""
     spark = docs.sparkSession
+    n = common.partitions(spark)
     d = common.keyed(docs, id_col=id_col, text_col=text_col)
-    cuts = bounds(d.select(F.col("_key").cast("double").alias("_key")), 4 * common.partitions(spark))
-    bucket = F.expr(f"cast(coalesce(array_position(transform(array({','.join(f'{c}L' for c in cuts)}), c -> c > _key), true) - 1, -1) as int)") \
-        if cuts else F.lit(0)
-    bucket = F.when(bucket < 0, F.lit(len(cuts))).otherwise(bucket) if cuts else bucket
-    heads = sorted((r.b, r.k) for r in d.select(bucket.alias("b"), "_key").groupBy("b").agg(F.min("_key").alias("k")).collect())
-    before = {k: heads[n - 1][0] for n, (_, k) in enumerate(heads)}  # the first key goes to the last bucket as well
-    d = d.withColumn("bucket", bucket)
-    if before:
-        pairs = F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv])
-        d = d.withColumn("_host", pairs[F.col("_key")].cast("int"))
-    else:
-        d = d.withColumn("_host", F.lit(None).cast("int"))
-    copies = F.when(F.col("_host").isNull(), F.array(F.struct(F.col("bucket"), F.lit(False).alias("guest")))).otherwise(
-        F.array(F.struct(F.col("bucket"), F.lit(False).alias("guest")), F.struct(F.col("_host").alias("bucket"), F.lit(True).alias("guest"))))
-    dealt = d.select(F.explode(copies).alias("to"), "_key", F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .select("to.bucket", "to.guest", "_key", "id", "text") \
-        .repartition(common.partitions(spark), "bucket").sortWithinPartitions("bucket", "guest", "_key")
+    cuts = spark.sparkContext.broadcast(np.array(bounds(d.select(F.col("_key").cast("double").alias("_key")), 4 * n), np.int64))
+    first = d.select("_key").mapInArrow(_firsts(cuts), "bucket int, _key long").groupBy("bucket").agg(F.min("_key").alias("_key"))
+    heads = sorted((r.bucket, r["_key"]) for r in first.collect())  # a row a bucket
+    # the first document of a bucket is a guest of the bucket before; the very first one of the last
+    hosts = np.array([heads[i - 1][0] for i in range(len(heads))], np.int32)
+    guests = spark.sparkContext.broadcast((np.array([k for _, k in heads], np.int64), hosts))
+    dealt = d.select("_key", F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
+        .mapInArrow(_dealt(cuts, guests), "bucket int, guest boolean, _key long, id long, text string") \
+        .repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int")).sortWithinPartitions("bucket", "guest", "_key")
     return dealt.mapInArrow(_compared, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                             "edited_fingerprint string, near_edited double, near_next double")
