@@ -272,6 +272,28 @@ def test_pipeline(spark):
     assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and long texts, ties, repeated rows, clashing columns."""
+    docs = common.table(spark, SF, "documents")
+    some = docs.limit(60).select("doc_id", "text", F.lit("k").alias("_key"), F.lit(3).alias("hub"), F.lit("t").alias("_text"), "lang")
+    words = " ".join(f"word{i % 977} and" for i in range(60_000))
+    odd = [(None, None), (None, ""), (900_001, None), (900_002, ""), (900_003, words), (900_004, words), (900_005, "\n \n"), (900_006, "a b\na b"),
+           (900_006, "a b\na b"), (900_006, "other text"), (900_007, "?!")]
+    odd = spark.createDataFrame([(*r, "x", 1, "y", None) for r in odd], some.schema)
+    docs, before = common.stage(some.union(odd), "odd"), 71
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns[:6] == some.columns
+        docs = common.stage(out.select(some.columns), name)
+        assert 0 < docs.count() <= before
+        assert docs.filter("_key not in ('k', 'x') or hub not in (1, 3)").isEmpty()
+        before = docs.count()
+    texts = [r.text for r in docs.select("text").collect()]
+    long = [t for t in texts if t and len(t) > 300_000]
+    assert len(long) <= 1 and sum(r.n for r in docs.groupBy("doc_id", "text").agg(F.count("*").alias("n")).collect() if r.n > 1) == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= before
+
+
 def test_stages_of_an_empty_table(spark):
     docs = common.table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -17,7 +17,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
-from strata.llm import (arrays, decontaminate, fingerprints, lines, minhash, packing, rans, registry, suffix_dedup,  # noqa: E402
+from strata.llm import (arrays, components, decontaminate, fingerprints, lines, minhash, packing, rans, registry, suffix_dedup,  # noqa: E402
                         suffix_sort, token_files, tokens)
 
 SF = "/root/testdata/sf0.001"
@@ -199,6 +199,22 @@ def test_variants_of_one_text_that_are_no_copies(spark):
     assert rows(minhash.groups(frame(spark, data))) == sorted(brute.near_groups(data), key=str)
 
 
+@pytest.mark.parametrize("one_task", [0, 1 << 18])
+def test_components(spark, monkeypatch, one_task):
+    """In one task and in rounds: chains, a hub, cycles, loops, repeats."""
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
+    r = random.Random(6)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(1, 2), (2, 3), (3, 1), (5, 5), (2, 1)]
+    edges += [(r.randint(300, 500), r.randint(300, 500)) for _ in range(90)]
+    r.shuffle(edges)
+    sets = brute.Sets(range(501))
+    for a, b in edges:
+        sets.join(a, b)
+    got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()))
+    assert got == {i: sets.find(i) for a, b in edges if a != b for i in (a, b)}
+    assert components.components(spark.createDataFrame([(5, 5)], "a long, b long")).collect() == []
+
+
 # ------------------------------------------------------------- op8
 
 def _blocks(text):
