@@ -270,3 +270,63 @@ def judged(pages, rules, seeds, counts, split, smoothing=1000.0):
             odds += math.log((block[w] + share) / (b + smoothing)) - math.log((allow[w] + share) / (a + smoothing))
         return odds
     return sorted([(i, host, path, rule, says or ("block" if n[0] and score(own) > 0 else "allow")) for i, host, path, rule, says, own in rows], key=str)
+
+
+# op2: word vectors and pooling, word by word
+
+_ALL = (1 << 64) - 1
+
+
+def mixed(h):
+    h &= _ALL
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+    h = (h ^ h >> 27) * 0x94D049BB133111EB & _ALL
+    return h ^ h >> 31
+
+
+def hashed(data):
+    raw = sum((x + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, x in enumerate(data))
+    return mixed(raw + len(data) * 0xD6E8FEB86659FD93)
+
+
+def index_vector(h, dim=64, nonzero=6):
+    out = np.zeros(dim)
+    for j in range(nonzero):
+        x = mixed(h + (j + 1) * 0x9E3779B97F4A7C15)
+        out[(x >> 8) % dim] += 1 if x & 1 else -1
+    return out
+
+
+def word_parts(word):
+    """(hash of the word in lower case, vector of that, vector of its form)"""
+    def kind(x):
+        if x >= 0x80 or 97 <= x <= 122:
+            return 1
+        return 2 if 65 <= x <= 90 else 3 if 48 <= x <= 57 else x
+    raw = word.encode()
+    kinds = [kind(x) for x in raw]
+    shape = [k for i, k in enumerate(kinds) if k > 3 or i == 0 or kinds[i - 1] != k]
+    last = max([i for i, k in enumerate(kinds) if k <= 3], default=-1)
+    bare = hashed(low(word).encode())
+    form = index_vector(hashed(shape) ^ 0x5851F42D4C957F2D) + index_vector(hashed(kinds[last + 1:]) ^ 0x14057B7EF767814F)
+    return bare, index_vector(bare), form
+
+
+def contexts(texts, buckets):
+    """Sums of the vectors of the words beside each word, by its bucket."""
+    out = np.zeros((buckets, 64))
+    for t in texts:
+        words = [word_parts(w) for w in SPACED.findall(t or "")]
+        for a, b in zip(words, words[1:]):
+            out[mixed(a[0]) % buckets] += b[1] + b[2]
+            out[mixed(b[0]) % buckets] += a[1] + a[2]
+    return out
+
+
+def pooled(text, context):
+    words = [word_parts(w) for w in SPACED.findall(text or "")]
+    n = len(words)
+    own = sum([w[1] for w in words], np.zeros(64)) / max(n, 1)
+    form = sum([w[2] + context[mixed(w[0]) % len(context)] for w in words], np.zeros(64)) / max(n, 1)
+    again = sum(a[0] == b[0] for a, b in zip(words, words[1:])) / max(n - 1, 1)
+    return np.concatenate([own, form, [np.sqrt((own ** 2).sum()), np.sqrt((form ** 2).sum()), again, np.log1p(n) / 5]])

@@ -16,6 +16,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import brute  # noqa: E402
 from check_oracle import duck, rows_norm  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
@@ -178,6 +180,24 @@ def test_reader_on_odd_tags():
     assert texts("<div><script>if (a<b) x=\"</p>\"</script>seen</div>")[-1] == ("div", "seen")
 
 
+# ------------------------------------------------------------- op2, word by word
+
+def test_word_vectors_and_pooling(spark):
+    """Features and context sums against a plain statement of both."""
+    texts = ["The cat, the CAT!! sat on 12 mats.", "", "x", "É è été 3rd-party (a) (a) (a)", "one  two\tthree\nfour five?!", None,
+             " ".join(f"Word{i % 13}{'.' * (i % 3)}" for i in range(300))]
+    texts += [r[0] for r in duckdb.sql(f"select text from '{SF}/documents.parquet' order by doc_id limit 12").fetchall()]
+    column = pa.array(texts, pa.string())
+    (batch,) = quality._contexts([pa.RecordBatch.from_arrays([column], names=["text"])])
+    want = brute.contexts(texts, quality.CONTEXTS)
+    got = np.zeros_like(want)
+    for b, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        got[b] = np.frombuffer(x, np.float32)
+    assert np.allclose(got, want, atol=1e-3)
+    context = (want / np.maximum(np.sqrt((want ** 2).sum(axis=1, keepdims=True)), 1e-6)).astype(np.float32)
+    assert np.allclose(quality.features(column, context), [brute.pooled(t, context) for t in texts], atol=1e-4)
+
+
 # ------------------------------------------------------------- op4
 
 @pytest.mark.parametrize("sf", [SF, SF01])
