@@ -41,6 +41,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +154,7 @@ class _Lines:
 
 
 _ROW = "a long, b long, key long, line int, words int, gone boolean, p0 long, p1 long, p2 long, p3 long, blocks array<int>"
+_NUMBERED = _ROW + ", cid long"
 
 
 def _batch(a, b, key, line, words, gone, parities, blocks):
@@ -202,8 +204,9 @@ def _local(batches):
 
 
 def _global(batches):
-    """Rows sorted by (a, b, key, line): the first of each form stays."""
-    last = None
+    """Rows sorted by (a, b, key, line), numbered: the first of each form
+    stays."""
+    last, number = None, TaskContext.get().partitionId() << 33
     for batch in batches:
         if not len(batch):
             continue
@@ -219,7 +222,10 @@ def _global(batches):
         copy = ~gone & ~new & ~((key == fkey) & (line == fline))
         repeat = ~gone & ~new & ~copy
         last = (a[-1], b[-1], fkey[-1], fline[-1])
-        out = pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(gone | copy, pa.bool_()), *batch.columns[6:]], names=batch.schema.names)
+        numbers = np.arange(number, number + len(a))
+        number += len(a)
+        out = pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(gone | copy, pa.bool_()), *batch.columns[6:], pa.array(numbers)],
+                                         names=[*batch.schema.names, "cid"])
         yield out.filter(pa.array(~repeat))
 
 
@@ -290,9 +296,9 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     """(key, line) of every line to drop.  ``packed``: (_key, .., z)."""
     spark = docs.sparkSession
     n = common.partitions(spark)
-    rows = docs.mapInArrow(_local, _ROW).repartition(n, "a").sortWithinPartitions("a", "b", "key", "line").mapInArrow(_global, _ROW)
-    rows = common.stage(rows, "lines")
-    forms = common.stage(rows.filter("not gone").select(F.monotonically_increasing_id().alias("cid"), "words", *PARITIES, "blocks", "key", "line"), "forms")
+    rows = docs.mapInArrow(_local, _ROW).repartition(n, "a").sortWithinPartitions("a", "b", "key", "line").mapInArrow(_global, _NUMBERED)
+    rows = common.stage(rows.drop("a", "b"), "lines")
+    forms = rows.filter("not gone")
     # a bucket is a block's number, the class of the line's length and 32 bits
     length = F.floor(F.log("words") / math.log(STEP) + F.col("block") / F.lit(float(BLOCKS))).cast("long")
     banded = forms.select("cid", "words", F.posexplode("blocks").alias("block", "bits")) \
@@ -304,6 +310,7 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     more = F.broadcast(more) if more.count() <= BROADCAST_ROWS else more
     shared = common.stage(two.union(banded.join(more, "bucket").select("bucket", F.col("cid").alias("_key"), "hub")), "buckets")
     values = forms.select(F.col("cid").alias("_key"), "words", *PARITIES)
+    values = common.stage(values.join(shared.select("_key").distinct(), "_key", "left_semi"), "values")
     # the edit distance is at least the difference of the numbers of words,
     # and half the number of parities that differ
     bound = Bound(("words", *PARITIES), lambda a, b: (F.least(a[0], b[0]) >= F.greatest(a[0], b[0]) * SIMILAR) & (
