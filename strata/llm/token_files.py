@@ -2,7 +2,7 @@
 
 ``write`` lays three Parquet tables under one folder:
 
-* ``tokens``: (bucket, _key, id, n_tokens, ids) - the ids, in no order; what
+* ``tokens``: (range, _key, id, n_tokens, ids) - the ids, in no order; what
   the coder reads, and restarts from.
 * ``frequencies``: (token, freq) - the shared table, from the counts of *all*
   ids; at most 65,536 rows.
@@ -11,8 +11,8 @@
   about BLOCK_TOKENS ids, with checkpoints and checksums.  Documents ascend
   by key over the part files in the order of their names, and within them.
 
-Buckets are ranges of the key with about equally many bytes of text, and each
-is one part file.  Spark's writers commit the files, so lost tasks and
+Buckets are ranges of the key with about equally many ids, put together of
+smaller ranges, and each is one part file.  Spark's writers commit the files, so lost tasks and
 executors leave no torn block.
 
 Cases: a null or empty text has just the end id; repeated rows and null ids
@@ -75,7 +75,7 @@ def unpack_block(coder: rans.Coder, payload: bytes, check: bool = True):
 
 
 def _tokenize(path: str, bounds: list[int], batches):
-    """Arrow batches (_key, id, text) to (bucket, _key, id, n_tokens, ids)."""
+    """Arrow batches (_key, id, text) to (range, _key, id, n_tokens, ids)."""
     enc, bounds = tokens.encoder(path), np.asarray(bounds, np.int64)
     for batch in batches:
         for i, j in arrays.slices(batch.column(2), tokens.SLICE_BYTES):
@@ -89,10 +89,10 @@ def _tokenize(path: str, bounds: list[int], batches):
             out[ends], out[~ends] = tokens.END_ID, ids
             binary = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), n, [None, pa.py_buffer((at * 2).astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
-            bucket = np.searchsorted(bounds, part.column(0).to_numpy(zero_copy_only=False), "right")
+            own = np.searchsorted(bounds, part.column(0).to_numpy(zero_copy_only=False), "right")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.astype(np.int32)), part.column(0), part.column(1), pa.array(np.diff(at)), binary],
-                names=["bucket", "_key", "id", "n_tokens", "ids"])
+                [pa.array(own.astype(np.int32)), part.column(0), part.column(1), pa.array(np.diff(at)), binary],
+                names=["range", "_key", "id", "n_tokens", "ids"])
 
 
 def _symbols(column: pa.Array) -> np.ndarray:
@@ -188,34 +188,16 @@ def bounds(keys: DataFrame, buckets: int) -> list[int]:
     return sorted({int(c) for c in cuts})
 
 
-#: Ranges that are weighed for each bucket.
+#: Ranges of keys that are weighed for each bucket.
 FINE = 8
 
 
-def _weighed(cuts: list[int], batches):
-    """(_key, bytes) to the bytes in each range of keys."""
-    total = np.zeros(len(cuts) + 1, np.int64)
-    for batch in batches:
-        k, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        np.add.at(total, np.searchsorted(np.asarray(cuts, np.int64), k, "right"), n)
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["range", "n"])
-
-
-def balanced(docs: DataFrame, buckets: int) -> list[int]:
-    """Keys that cut ``docs`` (_key, text) into at most ``buckets`` ranges of
-    about equally many bytes: FINE times as many of equally many rows, joined."""
-    cuts = bounds(docs.select(F.col("_key").cast("double").alias("_key")), FINE * buckets)
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
-    weights = docs.select("_key", size.alias("n")).mapInArrow(partial(_weighed, cuts), "range long, n long").groupBy("range").agg(F.sum("n").alias("n"))
-    before = np.zeros(len(cuts) + 1, np.int64)
-    for r in weights.collect():  # a row a range
-        before[r.range] = r.n
-    ends = np.cumsum(before)
-    share = np.maximum(ends[-1], 1) / buckets
-    # a bucket ends with the range that brings it nearest to its share
-    chosen = {int(np.argmin(np.abs(ends[:-1] - share * i))) for i in range(1, buckets)} if cuts else set()
-    return [cuts[i] for i in sorted(chosen)]
+def merged(sizes: dict[int, int], ranges: int, parts: int) -> list[int]:
+    """For each of ``ranges`` ranges, with their sizes, the part it goes to:
+    ``parts`` runs of ranges of about equal size, in order."""
+    before = np.cumsum([0] + [sizes.get(r, 0) for r in range(ranges)])
+    middle = (before[1:] + before[:-1]) / 2
+    return np.minimum(middle * parts / max(int(before[-1]), 1), parts - 1).astype(int).tolist()
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -224,8 +206,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
     spark = docs.sparkSession
     tokenizer = tokenizer or tokens.default_path()
     d = common.keyed(docs, id_col=id_col, text_col=text_col).select("_key", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cuts = balanced(d, buckets or 2 * common.partitions(spark))
-    d.mapInArrow(partial(_tokenize, tokenizer, cuts), "bucket int, _key long, id long, n_tokens long, ids binary") \
+    parts = buckets or 2 * common.partitions(spark)
+    cuts = bounds(d.select(F.col("_key").cast("double").alias("_key")), FINE * parts)
+    d.mapInArrow(partial(_tokenize, tokenizer, cuts), "range int, _key long, id long, n_tokens long, ids binary") \
         .write.option("compression", "zstd").parquet(f"{path}/tokens")
     ids = spark.read.parquet(f"{path}/tokens")
     counts = ids.select("ids").mapInArrow(_count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
@@ -234,8 +217,10 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
         n[r.token] = r.n
     freq = [(int(t), int(f)) for t, f in enumerate(rans.frequencies(n)) if f]
     spark.createDataFrame(freq, "token int, freq int").coalesce(1).write.parquet(f"{path}/frequencies")
-    ids.select("bucket", "_key", "id", "n_tokens", "ids") \
-        .repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("_key") \
+    sizes = {r.range: r.n for r in ids.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()}  # a row a range
+    bucket = F.split(F.lit(",".join(map(str, merged(sizes, len(cuts) + 1, parts)))), ",")[F.col("range")].cast("int")
+    ids.select(bucket.alias("bucket"), "_key", "id", "n_tokens", "ids") \
+        .repartitionById(parts, F.col("bucket")).sortWithinPartitions("_key") \
         .mapInArrow(partial(_encode, freq, block_tokens), "bucket int, first_key long, block long, n_tokens long, payload binary") \
         .write.option("compression", "none").parquet(f"{path}/blocks")
 

@@ -13,6 +13,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
@@ -215,6 +216,23 @@ def test_components(spark, monkeypatch, one_task):
     assert components.components(spark.createDataFrame([(5, 5)], "a long, b long")).collect() == []
 
 
+def test_token_files_ascend(spark, docs, tmp_path):
+    """Documents ascend over the part files by name, and buckets have about as
+    many ids, however uneven the texts are."""
+    long = [(i, (t or "") * (12 if i < 40 else 1)) for i, t in docs]
+    token_files.write(spark.createDataFrame(long, SCHEMA), str(tmp_path / "a"), buckets=8, block_tokens=3000)
+    blocks = spark.read.parquet(str(tmp_path / "a" / "blocks")).select(
+        "bucket", "first_key", "block", "n_tokens", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), "_metadata.row_index").collect()
+    order = sorted(blocks, key=lambda b: (b.file, b.row_index))
+    assert [b.first_key for b in order] == sorted(b.first_key for b in blocks) and len({b.file for b in blocks}) > 4
+    sizes = {}
+    for b in blocks:
+        sizes[b.file] = sizes.get(b.file, 0) + b.n_tokens
+    assert max(sizes.values()) <= 2 * sorted(sizes.values())[len(sizes) // 2]
+    got = token_files.read(spark, str(tmp_path / "a")).orderBy("start").collect()
+    assert [r.id for r in got] == [i for i, _ in long]
+
+
 # ------------------------------------------------------------- op8
 
 def _blocks(text):
