@@ -6,7 +6,10 @@ Plan shape (per mart): Parquet scan with pruned columns -> partial
 HashAggregate -> Exchange(key) -> final HashAggregate -> join with the
 dimension.  ``count(DISTINCT ..)`` uses Catalyst's distinct rewrite, whose
 first shuffle is keyed on (group key, distinct value), so a hot group key is
-spread over many tasks.  The join strategy is left to AQE: it broadcasts a
+spread over many tasks.  That rewrite puts all measures on every row of every
+distinct column, and where the groups are many and small neither shuffle
+reduces anything; the product mart counts each column from its (key, value)
+pairs alone (:func:`_with_distinct_counts`).  The join strategy is left to AQE: it broadcasts a
 side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merge joins.
 
@@ -88,20 +91,31 @@ def customer_summary(customers: DataFrame, tx: DataFrame, distinct: Distinct = F
         "last_transaction_date", "_record_ingestion_ts")
 
 
+def _with_distinct_counts(t: DataFrame, key: str, aggs: list, distinct: Distinct, counts: dict[str, str]) -> DataFrame:
+    """``t`` (no NULL ``key``) grouped by ``key``: ``aggs`` and, by name, the
+    distinct values of columns.  Exact counts read ``t`` once for each column:
+    its pairs with the key are all that is held and shuffled."""
+    if distinct is not F.count_distinct:
+        return t.groupBy(key).agg(*aggs, *[distinct(c).alias(name) for name, c in counts.items()])
+    out = t.groupBy(key).agg(*aggs)
+    for name, c in counts.items():
+        pairs = t.filter(F.col(c).isNotNull()).select(key, c).distinct()
+        out = out.join(pairs.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key, "left")
+    return out.withColumns({name: F.coalesce(name, F.lit(0).cast("long")) for name in counts})
+
+
 def product_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
-    t = _with_line_measures(tx)
-    agg = t.groupBy("sku").agg(
+    """One row per sku (rows without one are left out)."""
+    t = _with_line_measures(tx.filter(F.col("sku").isNotNull()))
+    agg = _with_distinct_counts(t, "sku", [
         F.count("transaction_id").alias("total_transactions"),
-        distinct("transaction_id").alias("unique_transactions"),
         F.sum("quantity").cast("long").alias("total_quantity_sold"),
         *_money_aggs("total_revenue", None),
         money.price_sum("unit_price").alias("__price_sum"),
         F.count("unit_price").alias("__price_n"),
         F.round(F.min("unit_price"), 2).alias("min_selling_price"),
         F.round(F.max("unit_price"), 2).alias("max_selling_price"),
-        distinct("customer_id").alias("unique_customers"),
-        distinct("store_id").alias("unique_stores"),
-    )
+    ], distinct, {"unique_transactions": "transaction_id", "unique_customers": "customer_id", "unique_stores": "store_id"})
     agg = _finish_money(agg, "total_revenue", None)
     return (agg.withColumn("avg_selling_price", money.mean_price("__price_sum", "__price_n"))
                .drop("__price_sum", "__price_n"))

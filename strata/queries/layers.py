@@ -17,6 +17,7 @@ from ..operators import cleaning, gold
 from ..operators.audit import add_bronze_audit, strip_audit
 from ..plans.silver import to_silver
 from ..schemas import ENTITY_SCHEMAS
+from ..sinks import tables
 from ..sources import fixtures
 from ..specs import ENTITIES
 
@@ -40,7 +41,8 @@ def gold_mart(spark: SparkSession, d: str, mart: str) -> DataFrame:
     if mart == "customer_summary":
         return gold.customer_summary(silver(spark, d, "customers"), tx)
     if mart == "product_sales":
-        return gold.product_sales(silver(spark, d, "products"), tx)
+        # Reads the transactions several times: they are written once.
+        return gold.product_sales(silver(spark, d, "products"), tables.materialize(tx, "silver-tx"))
     if mart == "store_performance":
         return gold.store_performance(silver(spark, d, "stores"), tx)
     if mart == "daily_sales":
@@ -56,22 +58,24 @@ def build_all(spark: SparkSession, d: str, materialize: bool = True) -> dict:
     """All three layers; with ``materialize`` each layer is written once to
     the shared folder and the next layer (and every check) reads it, as the
     scheduled job does with its tables."""
-    from ..sinks.tables import materialize as mat
-
     def keep(df, purpose, entity):
         # Only the fact table has enough consumers to pay for a write; the
         # dimensions are re-derived (each is a small scan + projection).
-        return mat(df, purpose) if materialize and entity == "transactions" else df
+        return tables.materialize(df, purpose) if materialize and entity == "transactions" else df
     b = {e: keep(bronze(spark, d, e), f"bronze-{e}", e) for e in ENTITY_NAMES}
     s = {e: keep(to_silver(b[e], ENTITIES[e], QCTX), f"silver-{e}", e) for e in ENTITY_NAMES}
+    return {"bronze": b, "silver": s, "gold": marts(s)}
+
+
+def marts(s: dict) -> dict:
+    """The four marts over silver frames."""
     tx = s["transactions"]
-    g = {
+    return {
         "customer_summary": gold.customer_summary(s["customers"], tx),
         "product_sales": gold.product_sales(s["products"], tx),
         "store_performance": gold.store_performance(s["stores"], tx),
         "daily_sales": gold.daily_sales(tx),
     }
-    return {"bronze": b, "silver": s, "gold": g}
 
 
 def data(df: DataFrame) -> DataFrame:
