@@ -329,7 +329,7 @@ def q_snapshot_overwrite(spark, d):
           "SELECT *, CAST(NULL AS INTEGER) AS legacy_rank FROM gold_product_sales")
 def q_snapshot_overwrite_merge_schema(spark, d):
     name = _name("gold_ps")
-    g = L.gold_mart(spark, d, "product_sales")
+    g = tables.materialize(L.gold_mart(spark, d, "product_sales"), "gold-ps")  # published twice, computed once
     tables.publish(g.withColumn("legacy_rank", F.lit(1)), name, tag="v1")
     tables.overwrite_merge_schema(g, name, tag="v2")
     return tables.read(spark, name)

@@ -56,3 +56,10 @@ def test_product_counts_hold_pairs_only(spark):
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     approx = gold.product_sales(products, tx, sketches.approx_distinct)
     assert sorted(map(str, approx.collect())) == sorted(map(str, out.collect()))
+
+
+def test_a_mart_published_twice_is_computed_once(spark, small, monkeypatch):
+    published = _seen(monkeypatch, tables, "publish")
+    assert catalog.queries()["snapshot_overwrite_merge_schema"](spark, small).count() == 7
+    assert len(published) == 2
+    assert all("Aggregate" not in a[0]._jdf.queryExecution().optimizedPlan().toString() for a in published)
