@@ -180,13 +180,21 @@ _COUNT_SRC = ([(TABLES["bronze"][e], f"bronze_{e}") for e in ENTITIES]
 @register("table_row_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {c}" for t, c in _COUNT_SRC))
 def q_table_row_counts(spark, d):
-    """The layers written as tables, and counted there."""
-    built, db, stored = L.build_all(spark, d), f"strata_q_{uuid.uuid4().hex[:10]}", {}
-    for layer, frames in built.items():
+    """The layers written as tables, each from the tables of the one before,
+    and counted there."""
+    db, stored = f"strata_q_{uuid.uuid4().hex[:10]}", {}
+
+    def put(layer, frames):
+        out = {}
         for e, df in frames.items():
-            logical = TABLES[layer][e]
-            tables.publish(df, f"{db}.{logical.replace('.', '__')}")
-            stored[logical] = tables.read(spark, f"{db}.{logical.replace('.', '__')}")
+            name = f"{db}.{TABLES[layer][e].replace('.', '__')}"
+            tables.publish(df, name)
+            out[e] = stored[TABLES[layer][e]] = tables.read(spark, name)
+        return out
+
+    bronze = put("bronze", {e: L.bronze(spark, d, e) for e in L.ENTITY_NAMES})
+    silver = put("silver", {e: to_silver(df, ENTITIES[e], L.QCTX) for e, df in bronze.items()})
+    put("gold", L.marts(silver))
     return reports.row_counts(stored)
 
 

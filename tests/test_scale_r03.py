@@ -63,3 +63,10 @@ def test_a_mart_published_twice_is_computed_once(spark, small, monkeypatch):
     assert catalog.queries()["snapshot_overwrite_merge_schema"](spark, small).count() == 7
     assert len(published) == 2
     assert all("Aggregate" not in a[0]._jdf.queryExecution().optimizedPlan().toString() for a in published)
+
+
+def test_counted_layers_are_written_once(spark, small, monkeypatch):
+    staged, published = _seen(monkeypatch, tables, "materialize"), _seen(monkeypatch, tables, "publish")
+    n = {r.table_name.split(".")[1]: r.row_count for r in catalog.queries()["table_row_counts"](spark, small).collect()}
+    assert (n["bronze_transactions"], n["silver_transactions"], n["gold_product_sales"]) == (120, 80, 7)
+    assert len(published) == 12 and not staged
