@@ -70,3 +70,10 @@ def test_counted_layers_are_written_once(spark, small, monkeypatch):
     n = {r.table_name.split(".")[1]: r.row_count for r in catalog.queries()["table_row_counts"](spark, small).collect()}
     assert (n["bronze_transactions"], n["silver_transactions"], n["gold_product_sales"]) == (120, 80, 7)
     assert len(published) == 12 and not staged
+
+
+def test_written_files_are_compressed_with_zstd(spark):
+    path = tables.publish(spark.range(100).selectExpr("id", "id % 2 part"), "zstd_table", partition_by=["part"])
+    files = glob.glob(f"{path.removeprefix('file:')}/part=*/*.parquet")
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    spark.sql("DROP TABLE zstd_table")
