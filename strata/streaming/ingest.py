@@ -66,7 +66,9 @@ def upsert_batch(batch: DataFrame, entity: str, target: str, ctx: RunContext, ga
     b = add_bronze_audit(b, ctx, record_ingestion_ts=ctx.as_of, source_file=F.col("_source_path"))
     s = to_silver(cleaning.normalize_dates(b.drop("_source_path"), "signup_date"), spec, ctx)
     watch = qc.Watch(spec.silver_table, spec.qc, gate) if gate else None
-    staged = tables.materialize(s, f"stream-{entity}", watch)
+    # Without a check, a log or rows to merge with, the one write reads the batch.
+    once = not (gate or audit or tables.exists(batch.sparkSession, target))
+    staged = s if once else tables.materialize(s, f"stream-{entity}", watch)
     if watch:
         watch.check(staged)
     write_silver(staged, spec, target, ctx, F.col("_batch_id") == ctx.batch_id)

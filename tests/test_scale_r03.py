@@ -72,6 +72,13 @@ def test_counted_layers_are_written_once(spark, small, monkeypatch):
     assert len(published) == 12 and not staged
 
 
+def test_first_epoch_is_written_once(spark, small, monkeypatch):
+    staged = _seen(monkeypatch, tables, "materialize")
+    merged = _seen(monkeypatch, ingest, "write_silver")
+    assert catalog.queries()["stream_ingest"](spark, small).count() == 80
+    assert len(merged) == 2 and len(staged) == 1  # the second epoch alone is staged
+
+
 def test_written_files_are_compressed_with_zstd(spark):
     path = tables.publish(spark.range(100).selectExpr("id", "id % 2 part"), "zstd_table", partition_by=["part"])
     files = glob.glob(f"{path.removeprefix('file:')}/part=*/*.parquet")
