@@ -72,6 +72,13 @@ def test_counted_layers_are_written_once(spark, small, monkeypatch):
     assert len(published) == 12 and not staged
 
 
+@pytest.mark.parametrize("query", ["upsert_partitioned", "upsert_partial_partitioned", "upsert_bucketed", "conditional_update"])
+def test_bronze_parts_are_not_staged_whole(spark, small, monkeypatch, query):
+    staged = _seen(monkeypatch, tables, "materialize")
+    assert catalog.queries()[query](spark, small).count() == 80
+    assert all(a[1] in ("silver-batch", "silver-initial") for a in staged)
+
+
 def test_first_epoch_is_written_once(spark, small, monkeypatch):
     staged = _seen(monkeypatch, tables, "materialize")
     merged = _seen(monkeypatch, ingest, "write_silver")
