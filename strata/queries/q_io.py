@@ -38,7 +38,7 @@ ST = TABLES["silver"]["transactions"]
 KEYS = list(ENTITIES["transactions"].merge_keys)
 TXD = ["transaction_id", "transaction_line_id", "transaction_ts", "channel", "store_id",
        "customer_id", "sku", "quantity", "unit_price", "discount", "currency"]
-#: Buckets of the query's table; a deployment chooses a few hundred MB each.
+#: Least buckets of the query's table; a larger one gets more, by its rows.
 BUCKETS = 16
 CTX_A = RunContext(as_of=datetime(1998, 1, 1, 2, 0, 0), batch_id="batch_A")
 CTX_B = RunContext(as_of=datetime(2002, 1, 1, 2, 0, 0), batch_id="batch_B")
@@ -167,10 +167,11 @@ def q_upsert_partial_partitioned(spark, d):
 def q_upsert_bucketed(spark, d):
     """upsert_update_all into a table bucketed by its keys: only the batch is
     shuffled."""
-    bronze = tables.materialize(L.bronze(spark, d, "transactions"), "bronze-tx")
+    bronze = L.bronze(spark, d, "transactions")
     s0 = to_silver(bronze.filter(F.col("_record_ingestion_ts") < _cut()), ENTITIES["transactions"], CTX_A)
+    s0 = tables.materialize(s0, "silver-initial")  # counted, checked and written
     name = _name("silver_tx_bucketed")
-    bucketed.create(s0, name, KEYS, BUCKETS)
+    bucketed.create(s0, name, KEYS, bucketed.enough_buckets(s0, BUCKETS))
     audit = inc.audit_row(bucketed.read(spark, name), CTX_A, ST)
     batch = to_silver(inc.incremental_read(bronze, audit, ST), ENTITIES["transactions"], CTX_B)
     bucketed.merge(tables.materialize(batch, "silver-batch"), name, CTX_B.batch_id)

@@ -25,6 +25,9 @@ from . import tables
 
 #: The partition column of the keyless rows.
 BATCH = "_merge_batch"
+#: Rows that a bucket holds when its table is made: a merge sorts a bucket
+#: and its part of the batch in one task, and the table grows.
+ROWS_A_BUCKET = 400_000
 
 
 def _beside(name: str) -> str:
@@ -39,7 +42,7 @@ def _publish(df: DataFrame, name: str, keys: Sequence[str], buckets: int, tag: s
     # Spark writes buckets only for a table of the catalog: a passing one,
     # whose files stay when it is dropped.
     passing = f"{name}__{uuid.uuid4().hex[:10]}"
-    df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(passing)
+    df.write.format("parquet").option("compression", tables.COMPRESSION).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(passing)
     if tables.exists(spark, name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
@@ -59,10 +62,16 @@ def buckets_of(spark: SparkSession, name: str) -> tuple[int, list[str]]:
     return int(said["Num Buckets"]), [c.strip(" `") for c in said["Bucket Columns"].strip("[]").split(",")]
 
 
+def enough_buckets(df: DataFrame, least: int = 1, rows_a_bucket: int | None = None) -> int:
+    """The number of buckets for a table made of ``df`` (staged: its rows are
+    counted)."""
+    return max(least, -(-df.count() // (rows_a_bucket or ROWS_A_BUCKET)))
+
+
 def create(df: DataFrame, name: str, keys: Sequence[str], buckets: int, batch: str = "initial") -> None:
     """A new table of ``df``, whose keys must be unique.  ``buckets`` stays
     for good: choose it so that a bucket fits a task when the table is at its
-    largest."""
+    largest (:func:`enough_buckets`)."""
     tables._ensure_db(df.sparkSession, name)
     assert_unique_keys(df, keys)
     keyed = _all_keys_present(keys)

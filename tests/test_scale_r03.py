@@ -79,6 +79,17 @@ def test_bronze_parts_are_not_staged_whole(spark, small, monkeypatch, query):
     assert all(a[1] in ("silver-batch", "silver-initial") for a in staged)
 
 
+def test_buckets_follow_the_rows(spark, small, monkeypatch):
+    assert bucketed.enough_buckets(spark.range(1001), 2, 100) == 11
+    assert bucketed.enough_buckets(spark.range(5), 2, 100) == 2
+    assert bucketed.enough_buckets(spark.range(0)) == 1
+    created = _seen(monkeypatch, bucketed, "create")
+    monkeypatch.setattr(bucketed, "ROWS_A_BUCKET", 2)
+    assert catalog.queries()["upsert_bucketed"](spark, small).count() == 80
+    rows, name, _, n = created[0]
+    assert n == -(-rows.count() // 2) > 16 and bucketed.buckets_of(spark, name)[0] == n
+
+
 def test_first_epoch_is_written_once(spark, small, monkeypatch):
     staged = _seen(monkeypatch, tables, "materialize")
     merged = _seen(monkeypatch, ingest, "write_silver")
