@@ -42,12 +42,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: later plans
-    start from files that outlive any executor."""
+    start from files that outlive any executor.  ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options or {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

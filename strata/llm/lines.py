@@ -59,14 +59,55 @@ BROADCAST_ROWS = 100_000
 
 #: Longs of the parities of a line's words.
 PARITIES = ("p0", "p1", "p2", "p3")
+#: Longs of its SimHash, two blocks each, the lower half first.  Longs cost
+#: Spark much less than an array a row.
+SKETCH = tuple(f"s{i}" for i in range(BLOCKS // 2))
 
 _U = np.uint64
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[65:91] += 32
 
-# The bits of a byte as eight one-byte counters.
-_SPREAD = np.array([sum(((b >> j) & 1) << (8 * j) for j in range(8)) for b in range(256)], _U)
+#: Words that are counted together, in eight binary digits.
+RUN = 255
+#: Words (of 64 bytes) that one step of the count holds.
+COUNTED = 1 << 16
+#: Words that are mixed at once, so that the steps stay in a core's cache.
+MIXED = 1 << 11
+#: Lines whose words' parities are counted at once.
+PARTED = 1 << 11
+
+
+def _digits(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """How many of ``rows`` have each bit set, as binary digits: bit arrays,
+    the lowest first.  Three rows of a digit add up to one row of it and one
+    of the next."""
+    digits = []
+    while rows:
+        carried = []
+        while len(rows) > 1:
+            a, b = rows.pop(), rows.pop()
+            both = a & b
+            a = a ^ b
+            if rows:
+                c = rows.pop()
+                both |= a & c
+                a ^= c
+            rows.append(a)
+            carried.append(both)
+        digits.append(rows[0])
+        rows = carried
+    return digits
+
+
+def _above(digits: list[np.ndarray], bound: np.ndarray) -> np.ndarray:
+    """The bits whose counts are above their row's bound, which has no more digits."""
+    above, level = np.zeros_like(digits[0]), ~np.zeros_like(digits[0])
+    for d in range(len(digits) - 1, -1, -1):
+        own = (np.zeros(1, _U) - ((bound >> d) & 1).astype(_U))[:, None]  # all bits or none
+        above |= level & digits[d] & ~own
+        level &= ~(digits[d] ^ own)
+    return above
 
 
 class _Lines:
@@ -124,46 +165,65 @@ class _Lines:
         some = np.flatnonzero(n)
         if not len(some):
             return out.view(np.uint32)
-        # a counter byte holds 255 at most: sum runs of 255 words, then lines
-        per = -(-n[some] // 255)
+        # an even number of words counts the first of them twice: no ties
+        odd, first = n[some] | 1, before[some]
+        own = np.zeros((len(hashes) + 1, BLOCKS // 2), _U)  # the last row: no word
+        seeds = np.array([(k + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF for k in range(BLOCKS // 2)], _U)
+        for s in range(0, len(hashes), MIXED):
+            own[s:min(s + MIXED, len(hashes))] = arrays.mix(hashes[s:s + MIXED, None] + seeds)
+        per = -(-odd // RUN)
         line = np.repeat(np.arange(len(some)), per)
-        at = before[some][line] + 255 * (np.arange(len(line)) - (np.cumsum(per) - per)[line])
-        # an even number of words counts one of them twice: no ties
-        even = n[some] % 2 == 0
-        for k in range(BLOCKS // 2):
-            own = arrays.mix(hashes + _U((k + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
-            counters = np.add.reduceat(_SPREAD[own.view(np.uint8).reshape(-1, 8)], at, axis=0)
-            counts = counters.view(np.uint8).astype(np.int32)
-            counts = np.add.reduceat(counts, np.cumsum(per) - per, axis=0)
-            first = np.unpackbits(own[before[some]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts += first * even[:, None]
-            bits = 2 * counts > (n[some] + even)[:, None]
-            out[some, k] = np.packbits(bits, axis=1, bitorder="little").view(_U).ravel()
+        begin = RUN * (np.arange(len(line)) - (np.cumsum(per) - per)[line])
+        size = np.minimum(odd[line] - begin, RUN)
+        alone, order = per[line] == 1, np.lexsort((size, per[line] > 1))
+        votes = np.zeros((len(some) if len(line) > len(some) else 0, out.shape[1] * 64), np.int64)
+        i = 0
+        while i < len(order):  # runs of like length, bits of all at once
+            j = min(len(order), i + max(1, COUNTED // int(size[order[min(len(order), i + COUNTED // int(size[order[i]])) - 1]])))
+            x = order[i:j]
+            if alone[x[0]] != alone[x[-1]]:
+                x = x[alone[x]]
+            i += len(x)
+            own_line, stop = line[x], begin[x] + size[x]
+            at = begin[x] + np.arange(int(size[x].max()))[:, None]
+            at = np.where(at < stop, np.where(at < n[some[own_line]], first[own_line] + at, first[own_line]), len(hashes))
+            digits = _digits(list(own.take(at, axis=0)))
+            if alone[x[0]]:
+                out[some[own_line]] = _above(digits, odd[own_line] // 2)
+            else:
+                counts = sum(np.unpackbits(d.view(np.uint8), axis=1, bitorder="little").astype(np.int32) << e for e, d in enumerate(digits))
+                o = np.argsort(own_line, kind="stable")
+                heads = np.flatnonzero(np.diff(own_line[o], prepend=-1))
+                votes[own_line[o][heads]] += np.add.reduceat(counts[o], heads, axis=0)
+        long = np.flatnonzero(per > 1)
+        if len(long):
+            out[some[long]] = np.packbits(2 * votes[long] > odd[long][:, None], axis=1, bitorder="little").view(_U)
         return out.view(np.uint32)
 
     def parities(self) -> np.ndarray:
         """Of each line, which of 256 classes have an odd number of its words."""
-        out = np.zeros((len(self.before) - 1, 4), _U)
-        some = np.flatnonzero(np.diff(self.before))
-        if len(some):
-            at = self.hash & _U(255)
-            bit = _U(1) << (at & _U(63))
-            own = np.where((at >> _U(6))[:, None] == np.arange(4, dtype=_U), bit[:, None], _U(0))
-            out[some] = np.bitwise_xor.reduceat(own, self.before[some], axis=0)
+        lines = len(self.before) - 1
+        out = np.zeros((lines, 4), _U)
+        at = (self.hash & _U(255)).astype(np.int64)
+        for i in range(0, lines, PARTED):
+            j = min(i + PARTED, lines)
+            own = self.before[i:j + 1]
+            counts = np.bincount((arrays.rows_of(own) << 8) + at[own[0]:own[-1]], minlength=(j - i) << 8)
+            out[i:j] = np.packbits((counts & 1).astype(np.uint8).reshape(-1, 256), axis=1, bitorder="little").view(_U)
         return out
 
 
-_ROW = "a long, b long, key long, line int, words int, gone boolean, p0 long, p1 long, p2 long, p3 long, blocks array<int>"
+_ROW = "a long, b long, key long, line int, words int, gone boolean, length double, " + ", ".join(f"{c} long" for c in PARITIES + SKETCH)
 _NUMBERED = _ROW + ", cid long"
 
 
 def _batch(a, b, key, line, words, gone, parities, blocks):
-    lists = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(blocks).view(np.int32).ravel()), BLOCKS)
+    longs = [pa.array(np.ascontiguousarray(x)) for x in (*parities.view(np.int64).T, *np.ascontiguousarray(blocks).view(np.int64).T)]
     return pa.RecordBatch.from_arrays(
         [pa.array(x.view(np.int64), pa.int64()) for x in (a, b)] +
-        [pa.array(key, pa.int64()), pa.array(line.astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(gone, pa.bool_())] +
-        [pa.array(np.ascontiguousarray(p).view(np.int64), pa.int64()) for p in parities.T] + [lists.cast(pa.list_(pa.int32()))],
-        names=["a", "b", "key", "line", "words", "gone", *PARITIES, "blocks"])
+        [pa.array(key, pa.int64()), pa.array(line.astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(gone, pa.bool_()),
+         pa.array(np.log(words) / math.log(STEP)), *longs],
+        names=["a", "b", "key", "line", "words", "gone", "length", *PARITIES, *SKETCH])
 
 
 def _local(batches):
@@ -277,19 +337,41 @@ def _confirm(batches):
                                          names=["a", "b"])
 
 
+def _parts(column: pa.Array):
+    """(start, texts) of a column of texts or z, bounded by bytes."""
+    if not pa.types.is_binary(column.type):
+        for i, j in arrays.slices(column):
+            yield i, column.slice(i, j - i)
+        return
+    start, held, size = 0, [], 0
+    for i, z in enumerate(column):
+        text = _whole(z.as_py())
+        if held and size + len(text) > arrays.SLICE_BYTES:
+            yield start, pa.array(held, pa.binary()).cast(pa.string())
+            start, held, size = i, [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield start, pa.array(held, pa.binary()).cast(pa.string())
+
+
 def _words(batches):
     """(text or z, [(cid, line)]) to (_key, text): the hashes of a line's
     words."""
     for batch in batches:
-        ids, lists = [], []
-        for text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = _Lines(pa.array([_whole(text).decode() if isinstance(text, bytes) else text], pa.string()))
-            place = {int(n): i for i, n in enumerate(x.number)}
-            for r in rows:
-                i = place[r["line"]]
-                ids.append(r["cid"])
-                lists.append(x.hash[x.before[i]:x.before[i + 1]].view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["_key", "text"])
+        lists = batch.column(1)
+        off = lists.offsets.to_numpy(zero_copy_only=False)
+        cid, line = (x.to_numpy(zero_copy_only=False) for x in lists.values.flatten())
+        for i, texts in _parts(batch.column(0)):
+            x = _Lines(texts)
+            own = off[i:i + len(texts) + 1]
+            at = np.searchsorted(x.row, arrays.rows_of(own - own[0])) + line[own[0]:own[-1]]
+            n = x.before[at + 1] - x.before[at]
+            ahead = np.concatenate([[0], np.cumsum(n)])
+            hashes = x.hash[np.repeat(x.before[at] - ahead[:-1], n) + np.arange(ahead[-1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cid[own[0]:own[-1]], pa.int64()), pa.ListArray.from_arrays(pa.array(ahead, pa.int32()), pa.array(hashes.view(np.int64)))],
+                names=["_key", "text"])
 
 
 def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
@@ -297,12 +379,15 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = common.partitions(spark)
     rows = docs.mapInArrow(_local, _ROW).repartition(n, "a").sortWithinPartitions("a", "b", "key", "line").mapInArrow(_global, _NUMBERED)
-    rows = common.stage(rows.drop("a", "b"), "lines")
+    rows = common.stage(rows.drop("a", "b"), "lines", {f"parquet.enable.dictionary#{c}": "false" for c in PARITIES + SKETCH})
     forms = rows.filter("not gone")
     # a bucket is a block's number, the class of the line's length and 32 bits
-    length = F.floor(F.log("words") / math.log(STEP) + F.col("block") / F.lit(float(BLOCKS))).cast("long")
-    banded = forms.select("cid", "words", F.posexplode("blocks").alias("block", "bits")) \
-        .select("cid", (F.shiftleft(F.col("block").cast("long"), 48) + F.shiftleft(length, 32) + F.col("bits")).alias("bucket"))
+    def bucket(block, bits):
+        return F.shiftleft(block.cast("long"), 48) + F.shiftleft(F.floor(F.col("length") + block / F.lit(float(BLOCKS))).cast("long"), 32) + bits
+
+    banded = forms.select("cid", "length", F.posexplode(F.array(*SKETCH)).alias("pair", "bits")).select("cid", F.explode(F.array(
+        bucket(F.col("pair") * 2, F.shiftright(F.shiftleft("bits", 32), 32)),
+        bucket(F.col("pair") * 2 + 1, F.shiftright("bits", 32)))).alias("bucket"))
     heads = common.stage(banded.groupBy("bucket").agg(F.min("cid").alias("hub"), F.max("cid").alias("far"), F.count("*").alias("n"))
                          .filter("n > 1"), "buckets")
     two = heads.filter("n = 2").select("bucket", F.explode(F.array("hub", "far")).alias("_key"), "hub")

@@ -251,6 +251,70 @@ def test_edit_distance():
             assert lines.edit_distance(a, b, limit) == (true if true <= limit else None)
 
 
+def _counted_by_bytes(x):
+    """The SimHashes of lines, word by word in a byte a bit: what
+    ``_Lines.simhash`` did before it counted in binary digits."""
+    spread = np.array([sum(((b >> j) & 1) << (8 * j) for j in range(8)) for b in range(256)], np.uint64)
+    hashes, before = x.features()
+    n = np.diff(before)
+    out = np.zeros((len(n), lines.BLOCKS // 2), np.uint64)
+    for k in range(lines.BLOCKS // 2):
+        own = arrays.mix(hashes + np.uint64((k + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+        bits = spread[own.view(np.uint8).reshape(-1, 8)]
+        for i in np.flatnonzero(n):
+            words = bits[before[i]:before[i + 1]]
+            words = np.concatenate([words, words[:1 - n[i] % 2]])
+            counts = sum(np.add.reduce(words[j:j + 255], axis=0).view(np.uint8).astype(np.int64) for j in range(0, len(words), 255))
+            out[i, k] = np.packbits(2 * counts > len(words), bitorder="little").view(np.uint64)[0]
+    return out.view(np.uint32)
+
+
+def test_simhash_counts_words():
+    """Lines of any length, shorter and longer than the runs that are counted
+    together."""
+    r = random.Random(8)
+    sizes = [*range(12), *range(252, 259), *range(507, 514), 1300, 3000, lines.COUNTED + 3] + [r.randint(1, 90) for _ in range(300)]
+    texts = [" ".join(f"w{r.randint(0, 400)}" for _ in range(n)) for n in sizes] + [None, " ".join(["same"] * 600)]
+    x = lines._Lines(pa.array(["\n".join(t or "" for t in texts[i:i + 9]) for i in range(0, len(texts), 9)]))
+    assert (x.simhash() == _counted_by_bytes(x)).all()
+    odd = [[(h & 255) for h in x.hash[x.before[i]:x.before[i + 1]].tolist()] for i in range(len(x.before) - 1)]
+    assert [sum((int(p) >> b & 1) << (64 * k + b) for k, p in enumerate(row) for b in range(64)) for row in x.parities()] == [
+        sum((own.count(c) & 1) << c for c in set(own)) for own in odd]
+
+
+def test_simhash_is_cheap():
+    """Counting costs a fraction of adding up bytes."""
+    r = random.Random(9)
+    x = lines._Lines(pa.array(["\n".join(" ".join(f"w{r.randint(0, 9000)}" for _ in range(250)) for _ in range(400))]))
+    def cost(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+    assert min(cost(x.simhash) for _ in range(3)) < 0.75 * min(cost(lambda: _counted_by_bytes(x)) for _ in range(3))
+
+
+def test_lines_are_staged_as_longs(spark):
+    """A row of a line has no array, which Spark copies item by item."""
+    assert "array" not in lines._ROW
+    kinds = dict(c.split() for c in lines._ROW.split(", "))
+    assert all(kinds[c] == "long" for c in lines.SKETCH + lines.PARITIES)
+
+
+def test_words_of_wanted_lines():
+    """Texts and compressed texts give the same words, in parts of bounded bytes."""
+    texts = ["a b\nc", "", "x\n\nlong line " + "y" * 3_000_000, None, "é d e\n"]
+    rows = pa.array([[{"cid": 1, "line": 1}, {"cid": 2, "line": 0}], [], [{"cid": 3, "line": 2}], [], [{"cid": 4, "line": 0}]],
+                    pa.list_(pa.struct([("cid", pa.int64()), ("line", pa.int32())])))
+    (packed,) = suffix_dedup._shrunk([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])])
+    got = []
+    for column in (pa.array(texts), packed.column(0)):
+        out = list(lines._words([pa.RecordBatch.from_arrays([column, rows], names=["t", "rows"])]))
+        got.append({k: v for b in out for k, v in zip(*(b.column(i).to_pylist() for i in range(2)))})
+    def words(line):
+        return lines._Lines(pa.array([line])).hash.view(np.int64).tolist()
+    assert got[0] == got[1] == {1: words("c"), 2: words("a b"), 3: words("long line " + "y" * 3_000_000), 4: words("é d e")}
+
+
 def test_lines_table(spark, docs):
     assert rows(registry.queries()["op8_line_dedup"](spark, SF)) == sorted(brute.line_groups(docs, _blocks), key=str)
 
