@@ -427,6 +427,25 @@ def test_encoder():
         assert e.tok.encode(s or "", add_special_tokens=False).ids == ids[off[i]:off[i + 1]].tolist()
 
 
+def test_encoder_pieces(monkeypatch):
+    """Chunks are cut where that changes no id, and then a word is looked up
+    once, whatever marks and capitals it has."""
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokens.default_path())
+    r = random.Random(4)
+    alphabet = list("aAbBzZÉéßİΣJ̌019 \n\t\r'.,!?-<|>_~`@[]{}×÷\u3000中") + ["<|endoftext|>", "<|ENDOFTEXT|>", "don't", "Hello,", " ", " "]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(60))) for _ in range(1500)] + [None, "", "a", ",b", "c,", "<", "|", "\n"]
+    enc = tokens.Encoder(tokens.default_path())
+    ids, off = enc.encode(pa.array(texts).slice(3))
+    assert [ids[i:j].tolist() for i, j in zip(off, off[1:])] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts[3:]]
+    enc = tokens.Encoder(tokens.default_path())
+    asked = []
+    monkeypatch.setattr(enc, "_chunk", lambda text, own=enc._chunk: asked.append(text) or own(text))
+    enc.encode(pa.array(["Word word, WORD. word; Élan élan! élan,"]))
+    assert sorted(asked) == ["!", ",", ".", ";", "word", "élan"]
+    assert enc.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
 def _ids(text):
     return tokens.encoder(tokens.default_path()).tok.encode(text or "", add_special_tokens=False).ids + [1]
 
