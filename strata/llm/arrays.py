@@ -83,10 +83,17 @@ class Spans:
     def __init__(self, data: np.ndarray):
         n = len(data)
         hi = n // _LO + 1
-        weights = (_high(_B, hi)[:, None] * _POW[None, :]).ravel()[:n]
         self.sums = np.empty(n + 1, _U)
         self.sums[0] = 0
-        np.cumsum((data.astype(_U) + _U(1)) * weights, out=self.sums[1:])
+        block = np.empty(min(n, _LO), _U)
+        for k, high in enumerate(_high(_B, hi)):  # a block at a time stays in a core's cache
+            a, b = k * _LO, min((k + 1) * _LO, n)
+            part, sums = block[:b - a], self.sums[a + 1:b + 1]
+            np.add(data[a:b], _U(1), out=part, dtype=_U)
+            part *= _POW[:b - a]
+            part *= high
+            np.cumsum(part, out=sums)
+            sums += self.sums[a]
         self._hi = _high(_INV, hi + 1)
 
     def raw(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:

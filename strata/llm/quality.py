@@ -50,20 +50,52 @@ CALIBRATE = 5
 HIDDEN = 48
 THRESHOLD = 0.3
 FEATURES = 2 * DIM + 4
+#: Text that one vectorised step works on, and words that are looked up at once.
+SLICE = 1 << 20
+PART = 1 << 15
 
 _U = np.uint64
 
 
-def _index_vectors(h: np.ndarray) -> np.ndarray:
-    """The sparse +-1 vector of each hash, as rows of DIM."""
-    out = np.zeros((len(h), DIM), np.float32)
-    rows = np.arange(len(h))
+def _bins(h: np.ndarray) -> np.ndarray:
+    """The sparse +-1 vector of each hash: NONZERO rows of 2 * dimension, and
+    one more for +1."""
+    out = np.empty((NONZERO, len(h)), np.uint8)
     for j in range(NONZERO):
         x = arrays.mix(h + _U((j + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        out[rows, (x >> _U(8)).astype(np.int64) % DIM] += np.where(x & _U(1), 1.0, -1.0).astype(np.float32)
+        out[j] = (x >> _U(7)) & _U(2 * DIM - 2) | x & _U(1)  # DIM is a power of two
     return out
 
 
+def _columns(bins: np.ndarray) -> np.ndarray:
+    """The vectors of ``bins`` as columns, DIM numbers each."""
+    out = np.zeros((DIM, bins.shape[1]), np.float32)
+    at = np.arange(bins.shape[1])
+    for b in bins:
+        out[b >> 1, at] += np.where(b & 1, np.float32(1), np.float32(-1))
+    return out
+
+
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the place of one of each of the different hashes, the number of each
+    hash among them).  Hashes are told apart by their low bits, where those
+    do, and by sorting the others."""
+    slots = 1 << 15
+    slot = (h & _U(slots - 1)).astype(np.int64)
+    at = np.full(slots, -1)
+    at[slot] = np.arange(len(h))
+    other = np.flatnonzero(h[at[slot]] != h)
+    used = np.flatnonzero(at >= 0)
+    number = np.zeros(slots, np.int64)
+    number[used] = np.arange(len(used))
+    code, first = number[slot], at[used]
+    if len(other):
+        _, more, own = np.unique(h[other], return_index=True, return_inverse=True)
+        code[other] = len(used) + own
+        first = np.append(first, other[more])
+    return first, code
+
+
 # Shape classes of bytes: a small letter or any byte beyond ASCII, a capital,
 # a digit; marks stand for themselves.
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -73,60 +105,77 @@ _SHAPE[48:58] = 3
 
 
 class _Words:
-    """The words of some rows: distinct ones, and where each occurs."""
+    """The words of some rows: hashes of each word's elements, and how many
+    words precede each row."""
 
     def __init__(self, column: pa.Array):
         raw, off = arrays.utf8(column)
-        start, stop, self.before = arrays.word_spans(raw, off, arrays.NOT_SPACE)
-        whole = arrays.Spans(raw).hash(start, stop)
-        self.keys, first, self.code = np.unique(whole, return_index=True, return_inverse=True)
-        s, e = start[first], stop[first]
-        low = arrays.lower(raw)
-        self.bare = arrays.Spans(low).hash(s, e)
+        s, e, self.before = arrays.word_spans(raw, off, arrays.NOT_SPACE)
         shape = _SHAPE[raw]
+        mark = shape > 3
         run = np.ones(len(shape), bool)
-        run[1:] = (shape[1:] != shape[:-1]) | (shape[1:] > 3)
-        run[start] = True
+        run[1:] = (shape[1:] != shape[:-1]) | mark[1:]
+        run[s] = True
+        place = np.int32 if len(raw) < 1 << 31 else np.int64
         # hash the shape with runs collapsed: the buffer of run heads
-        ahead = np.concatenate([[0], np.cumsum(run)])
-        self.shape = arrays.Spans(shape[run]).hash(ahead[s], ahead[e])
-        mark = shape > 3
-        last = np.maximum.accumulate(np.where(mark, -1, np.arange(len(shape)))) if len(shape) else np.zeros(0, np.int64)
-        tail = np.maximum(last[e - 1] + 1, s) if len(e) else e
-        self.marks = arrays.Spans(shape).hash(tail, e)
-
-    def elements(self) -> tuple[np.ndarray, np.ndarray]:
-        """(identity vectors, form vectors) of the distinct words."""
-        form = _index_vectors(self.shape ^ _U(0x5851F42D4C957F2D)) + _index_vectors(self.marks ^ _U(0x14057B7EF767814F))
-        return _index_vectors(self.bare), form
-
-    def buckets(self) -> np.ndarray:
-        return (arrays.mix(self.bare) % _U(CONTEXTS)).astype(np.int64)
+        ahead = np.zeros(len(run) + 1, place)
+        np.cumsum(run, out=ahead[1:])
+        self.shape = arrays.Spans(shape[run]).hash(ahead[s].astype(np.int64), ahead[e].astype(np.int64))
+        del ahead, run, shape
+        last = np.where(mark, place(-1), np.arange(len(mark), dtype=place))
+        np.maximum.accumulate(last, out=last)
+        tail = np.maximum(last[e - 1].astype(np.int64) + 1, s)
+        del last, mark
+        spans = arrays.Spans(arrays.lower(raw))
+        self.bare = spans.hash(s, e)
+        self.marks = spans.hash(tail, e)  # marks have no lower case
+
+    def form(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """(bins of the different forms, the number of each word's form
+        among them) of the words from ``i`` up to ``j``."""
+        shape, marks = self.shape[i:j] ^ _U(0x5851F42D4C957F2D), self.marks[i:j] ^ _U(0x14057B7EF767814F)
+        first, code = _distinct(arrays.mix(shape) + marks)
+        return np.vstack([_bins(shape[first]), _bins(marks[first])]), code
+
+    def buckets(self, i: int, j: int) -> np.ndarray:
+        return (arrays.mix(self.bare[i:j]) % _U(CONTEXTS)).astype(np.int64)
+
+    def parts(self):
+        """(first row, last row + 1) of rows with about PART words; rows
+        without words are left out at either end."""
+        some = np.flatnonzero(np.diff(self.before))
+        a = 0
+        while a < len(some):
+            b = max(int(np.searchsorted(self.before[some + 1], self.before[some[a]] + PART, "right")), a + 1)
+            yield some[a:b]
+            a = b
 
 
-def _means(values: np.ndarray, code: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """The mean of ``values[code]`` over each row's words."""
-    n = len(before) - 1
-    out = np.zeros((n, values.shape[1]), np.float32)
-    some = np.flatnonzero(np.diff(before))
-    for a in range(0, len(some), 256):  # a bounded gather at a time
-        rows = some[a:a + 256]
-        lo, hi = before[rows[0]], before[rows[-1] + 1]
-        out[rows] = np.add.reduceat(values[code[lo:hi]], before[rows] - lo, axis=0)
-    return out / np.maximum(np.diff(before), 1)[:, None]
+def features(column: pa.Array, context: np.ndarray) -> np.ndarray:
+    return _features(column, np.ascontiguousarray(context.T))
 
 
-def features(column: pa.Array, context: np.ndarray) -> np.ndarray:
+def _features(column: pa.Array, columns: np.ndarray) -> np.ndarray:
+    """``columns``: the context vectors, as columns: one number of all words
+    at a time is looked up in a core's cache, and added up in order."""
     w = _Words(column)
-    own, form = w.elements()
-    around = context[w.buckets()] if len(w.keys) else own
-    pooled = _means(np.hstack([own, form + around]), w.code, w.before)
     n = np.diff(w.before)[:, None]
+    pooled = np.zeros((len(n), 2 * DIM))
+    for rows in w.parts():
+        i, j = int(w.before[rows[0]]), int(w.before[rows[-1] + 1])
+        begin = w.before[rows] - i
+        to = 2 * DIM * np.repeat(np.arange(len(rows)), n[rows, 0])
+        votes = sum(np.bincount(to + b, minlength=2 * DIM * len(rows)) for b in _bins(w.bare[i:j])).reshape(-1, DIM, 2)
+        pooled[rows, :DIM] = votes[:, :, 1] - votes[:, :, 0]
+        bins, code = w.form(i, j)
+        forms, bucket = _columns(bins), w.buckets(i, j)
+        for d in range(DIM):
+            pooled[rows, DIM + d] = np.add.reduceat(forms[d].take(code, mode="clip") + columns[d].take(bucket, mode="clip"), begin)
+    pooled /= np.maximum(n, 1)
     mean_own, mean_form = pooled[:, :DIM], pooled[:, DIM:]
     length = lambda x: np.sqrt((x ** 2).sum(axis=1, keepdims=True))
-    bare = w.bare[w.code] if len(w.keys) else w.bare
-    again = np.zeros(len(bare) + 1, np.int64)
-    again[2:] = np.cumsum(bare[1:] == bare[:-1])  # pairs that end before each word
+    again = np.zeros(len(w.bare) + 1, np.int64)
+    again[2:] = np.cumsum(w.bare[1:] == w.bare[:-1])  # pairs that end before each word
     pairs = again[w.before[1:]] - again[np.minimum(w.before[:-1] + 1, w.before[1:])]
     share = pairs[:, None] / np.maximum(n - 1, 1)
     return np.hstack([pooled, length(mean_own), length(mean_form), share, np.log1p(n) / 5]).astype(np.float32)
@@ -134,26 +183,26 @@ def features(column: pa.Array, context: np.ndarray) -> np.ndarray:
 
 def _contexts(batches):
     """Sums of neighbours' index vectors by bucket, over a task's rows."""
-    table = np.zeros((CONTEXTS, DIM), np.float32)
+    votes = np.zeros(CONTEXTS * 2 * DIM, np.int32)
     for batch in batches:
-        for i, j in arrays.slices(batch.column(0)):
+        for i, j in arrays.slices(batch.column(0), SLICE):
             w = _Words(batch.column(0).slice(i, j - i))
-            if not len(w.keys):
-                continue
-            own, form = w.elements()
-            vec, bucket, code = own + form, w.buckets(), w.code
-            left = np.arange(len(code) - 1)
-            same = np.ones(len(left), bool)
-            same[w.before[1:-1][(w.before[1:-1] > 0) & (w.before[1:-1] < len(code))] - 1] = False
-            left = left[same]
-            for a in range(0, len(left), 1 << 16):
-                k = left[a:a + (1 << 16)]
-                for x, y in ((k, k + 1), (k + 1, k)):
-                    to = bucket[code[x]]
-                    order = np.argsort(to, kind="stable")
-                    heads = np.flatnonzero(np.diff(to[order], prepend=-1))
-                    table[to[order][heads]] += np.add.reduceat(vec[code[y[order]]], heads, axis=0)
-    used = np.flatnonzero(np.abs(table).sum(axis=1))
+            beside = np.ones(len(w.bare), bool)  # the word before is of the same row
+            beside[w.before[:-1][w.before[:-1] < len(beside)]] = False
+            for a in range(0, len(w.bare), PART):
+                lo, hi = max(a - 1, 0), min(a + PART, len(w.bare))
+                y = np.flatnonzero(beside[lo + 1:hi]) + 1
+                if not len(y):
+                    continue
+                form, code = w.form(lo, hi)
+                bins = np.vstack([_bins(w.bare[lo:hi]), form.take(code, axis=1, mode="clip")]).T.copy()
+                x, other = np.concatenate([y - 1, y]), np.concatenate([y, y - 1])
+                order = np.argsort(w.buckets(lo, hi)[x], kind="stable")  # a bucket's votes are counted in a core's cache
+                to = 2 * DIM * w.buckets(lo, hi)[x[order]]
+                votes += np.bincount((to[:, None] + bins[other[order]]).ravel(), minlength=len(votes)).astype(np.int32)
+    votes = votes.reshape(CONTEXTS, DIM, 2)
+    table = (votes[:, :, 1] - votes[:, :, 0]).astype(np.float32)
+    used = np.flatnonzero(table.any(axis=1))
     yield pa.RecordBatch.from_arrays(
         [pa.array(used.astype(np.int32)), pa.array([r.tobytes() for r in table[used]], pa.binary())], names=["bucket", "sums"])
 
@@ -175,11 +224,11 @@ def _add_up(batches):
                                      names=["bucket", "sums"])
 
 
-def _pooled(context, batches):
+def _pooled(columns, batches):
     for batch in batches:
-        for i, j in arrays.slices(batch.column(2)):
+        for i, j in arrays.slices(batch.column(2), SLICE):
             part = batch.slice(i, j - i)
-            x = features(part.column(2), context.value)
+            x = _features(part.column(2), columns.value)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())],
                                              names=["id", "label", "x"])
 
@@ -240,14 +289,14 @@ def calibrate(net: Network, x: np.ndarray, y: np.ndarray) -> Network:
 
 @dataclass
 class Model:
-    context: np.ndarray
+    columns: np.ndarray  # the context vectors
     network: Network | None
     prior: float
 
     def score(self, column: pa.Array) -> np.ndarray:
         if self.network is None:
             return np.full(len(column), self.prior)
-        return self.network.probability(features(column, self.context).astype(np.float64))
+        return self.network.probability(_features(column, self.columns).astype(np.float64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str = "quality") -> Model:
@@ -269,17 +318,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     for r in sums:  # at most CONTEXTS rows
         context[r.bucket] = np.frombuffer(r.sums, np.float32)
     context /= np.maximum(np.sqrt((context ** 2).sum(axis=1, keepdims=True)), 1e-6)
-    shared = spark.sparkContext.broadcast(context)
+    columns = np.ascontiguousarray(context.T)
+    shared = spark.sparkContext.broadcast(columns)
     pooled = picked.select("_id", "label", "text").mapInArrow(partial(_pooled, shared), "id long, label int, x binary").collect()
     pooled.sort(key=lambda r: (r.id, r.x))
     y = np.array([r.label > 0 for r in pooled], float)
     if not len(y) or y.min() == y.max():
-        return Model(context, None, float(y.mean()) if len(y) else 0.5)
+        return Model(columns, None, float(y.mean()) if len(y) else 0.5)
     x = np.array([np.frombuffer(r.x, np.float32) for r in pooled])
     held = np.arange(len(y)) % CALIBRATE == 0
     if len(y) < 10 * CALIBRATE:
         held[:] = False
-    return Model(context, calibrate(fit_network(x[~held], y[~held]), x[held], y[held]), float(y.mean()))
+    return Model(columns, calibrate(fit_network(x[~held], y[~held]), x[held], y[held]), float(y.mean()))
 
 
 def _picked(given, batches):
@@ -294,7 +344,7 @@ def _scored(model, batches):
     """(.., text) to (.., text, score)."""
     for batch in batches:
         text = batch.num_columns - 1
-        for i, j in arrays.slices(batch.column(text)):
+        for i, j in arrays.slices(batch.column(text), SLICE):
             part = batch.slice(i, j - i)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.value.score(part.column(text)), pa.float64())],
                                              names=[*part.schema.names, "_score"])

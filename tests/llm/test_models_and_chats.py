@@ -6,6 +6,7 @@ import os
 import re
 import sys
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -199,6 +200,34 @@ def test_word_vectors_and_pooling(spark):
     assert np.allclose(quality.features(column, context), [brute.pooled(t, context) for t in texts], atol=1e-4)
 
 
+def test_distinct_hashes():
+    """Hashes that differ in high bits only are told apart, too."""
+    r = np.random.default_rng(3)
+    h = np.concatenate([r.integers(0, 40, 3000), r.integers(0, 40, 3000) << 40, r.integers(0, 1 << 62, 2000)]).astype(np.uint64)
+    first, code = quality._distinct(h)
+    assert len(first) == len(np.unique(h)) and (h[first][code] == h).all()
+    first, code = quality._distinct(h[:0])
+    assert len(first) == len(code) == 0
+
+
+def test_pooling_is_bounded_and_exact():
+    """Words are pooled without a row of numbers for each of them, and summed
+    as numpy sums each row's words: features of parts and of long rows alike."""
+    r = np.random.default_rng(5)
+    words = np.array([f"W{k}{'!' * (k % 4)}" if k % 3 else f"wo{k:x}" for k in range(60_000)])
+    texts = [" ".join(r.choice(words, k)) for k in (33_000, 1, 0, 7, 9, 300, 5000, 0)] + [None, " x ", "a A a", "\x01 \x7f"]
+    texts += [" ".join(r.choice(words, 90)) for _ in range(900)]
+    column, context = pa.array(texts, pa.string()), r.normal(size=(quality.CONTEXTS, quality.DIM)).astype(np.float32)
+    tracemalloc.start()
+    got = quality.features(column, context)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20, peak  # 256 rows' words alone had 512 bytes each, the different words twice that
+    assert (got == np.vstack([quality.features(column.slice(i, 1), context) for i in range(len(texts))])).all()
+    for i in (0, 3, 5, 6, 12):
+        assert np.allclose(got[i], brute.pooled(texts[i], context), atol=1e-4)
+
+
 # ------------------------------------------------------------- op4
 
 @pytest.mark.parametrize("sf", [SF, SF01])
