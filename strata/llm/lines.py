@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
+from functools import partial, reduce
 from operator import add
 
 import numpy as np
@@ -57,6 +57,11 @@ COLLAPSE = 1 << 19
 #: Rows (of 24 bytes or so) that may be broadcast.
 BROADCAST_ROWS = 100_000
 
+#: Lines whose buckets a task groups together.
+BANDED = 1 << 16
+#: Parts, of which a task groups one at a time, for each shuffle partition.
+PARTS = 4
+
 #: Longs of the parities of a line's words.
 PARITIES = ("p0", "p1", "p2", "p3")
 #: Longs of its SimHash, two blocks each, the lower half first.  Longs cost
@@ -289,6 +294,84 @@ def _global(batches):
         yield out.filter(pa.array(~repeat))
 
 
+def _bands(bits, batches):
+    """(cid, length, sketch) to the buckets of a task's lines, by the part
+    (the first ``bits`` bits of its hash) that a bucket is in: (bucket, cid)
+    of those with one line, (bucket, least cid, greatest cid, lines) of the
+    others, as longs."""
+    held, n = [], 0
+    blocks = np.arange(BLOCKS)
+
+    def packed(part, columns):
+        off = np.searchsorted(part, np.arange((1 << bits) + 1)) * 8 * len(columns)
+        data = np.ascontiguousarray(np.stack(columns, axis=1))
+        return pa.Array.from_buffers(pa.binary(), 1 << bits, [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(data)])
+
+    def flush():
+        bucket, cid = (np.concatenate(x) for x in zip(*held))
+        h = arrays.mix(bucket.view(_U))
+        o = np.argsort(h)
+        h, bucket, cid = h[o], bucket[o], cid[o]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        head = np.flatnonzero(new)
+        count, part = np.diff(np.append(head, len(h))), (h[head] >> _U(64 - bits)).astype(np.int64)
+        one, more = count == 1, count > 1
+        x = head[one]
+        alone = packed(part[one], [bucket[x], cid[x]])
+        several = packed(part[more], [bucket[head[more]], np.minimum.reduceat(cid, head)[more], np.maximum.reduceat(cid, head)[more], count[more]])
+        out = pa.RecordBatch.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), alone, several], names=["part", "alone", "several"])
+        yield out.filter(pa.array(np.bincount(part, minlength=1 << bits) > 0))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        cid, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+        sketch = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(2, batch.num_columns)], axis=1)
+        kind = np.floor(length[:, None] + blocks / float(BLOCKS)).astype(np.int64)
+        bucket = (blocks << 48) + (kind << 32) + np.ascontiguousarray(sketch).view(np.int32)
+        held.append((bucket.ravel(), np.repeat(cid, BLOCKS)))
+        n += len(batch)
+        if n >= BANDED:
+            yield from flush()
+            held.clear()
+            n = 0
+    if held:
+        yield from flush()
+
+
+def _heads(batches):
+    """The parts of all tasks, sorted, to (bucket, hub, far, n) of the buckets
+    with more than one line."""
+    part, alone, several = None, [], []
+
+    def flush():
+        one, more = (np.frombuffer(b"".join(x), np.int64).reshape(-1, k) for x, k in ((alone, 2), (several, 4)))
+        bucket = np.concatenate([one[:, 0], more[:, 0]])
+        o = np.argsort(bucket)
+        bucket = bucket[o]
+        new = np.ones(len(o), bool)
+        new[1:] = bucket[1:] != bucket[:-1]
+        head = np.flatnonzero(new)
+        n = np.add.reduceat(np.concatenate([np.ones(len(one), np.int64), more[:, 3]])[o], head)
+        hub = np.minimum.reduceat(np.concatenate([one[:, 1], more[:, 1]])[o], head)
+        far = np.maximum.reduceat(np.concatenate([one[:, 1], more[:, 2]])[o], head)
+        x = n > 1
+        return pa.RecordBatch.from_arrays([pa.array(c[x]) for c in (bucket[head], hub, far, n)], names=["bucket", "hub", "far", "n"])
+
+    for batch in batches:
+        for p, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            if p != part and part is not None:
+                yield flush()
+                alone.clear()
+                several.clear()
+            part = p
+            alone.append(a.as_py())
+            several.append(b.as_py())
+    if part is not None:
+        yield flush()
+
+
 def edit_distance(a: list, b: list, limit: int) -> int | None:
     """Edit distance of two sequences if at most ``limit``.  What they begin
     and end with in common is cut off; of the rest, a column of the table of
@@ -320,19 +403,35 @@ def edit_distance(a: list, b: list, limit: int) -> int | None:
     return d if d <= limit else None
 
 
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the edit distance of two lines' words is within the limit.
+    Most that are need only words replaced, and put in at one place; others
+    take :func:`edit_distance`."""
+    if len(a) > len(b):
+        a, b = b, a
+    gap, limit = len(b) - len(a), int(len(b) * (1 - SIMILAR))
+    if gap > limit:
+        return False
+    if len(a):
+        left, right = a != b[:len(a)], a != b[gap:]
+        least = np.cumsum(left.view(np.int8) - right.view(np.int8), dtype=np.int64).min()
+        if gap + np.count_nonzero(right) + min(least, 0) <= limit:
+            return True
+    return edit_distance(a.tolist(), b.tolist(), limit) is not None
+
+
 def _confirm(batches):
     hub_key, hub = None, None
     for batch in batches:
         links = []
         own, _, guest, key = (batch.column(c).to_pylist() for c in range(4))
-        for r, words in enumerate(batch.column(4)):
-            mine = words.values.to_pylist()
+        off, words = batch.column(4).offsets.to_numpy(), batch.column(4).values.to_numpy(zero_copy_only=False)
+        for r in range(len(own)):
+            mine = words[off[r]:off[r + 1]]
             if not guest[r]:
                 hub_key, hub = own[r], mine
-            elif own[r] == hub_key:
-                most = max(len(hub), len(mine))
-                if edit_distance(hub, mine, int(most * (1 - SIMILAR))) is not None:
-                    links.append((own[r], key[r]))
+            elif own[r] == hub_key and _alike(hub, mine):
+                links.append((own[r], key[r]))
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
                                          names=["a", "b"])
 
@@ -388,8 +487,11 @@ def _repeated(docs: DataFrame, packed: DataFrame) -> DataFrame:
     banded = forms.select("cid", "length", F.posexplode(F.array(*SKETCH)).alias("pair", "bits")).select("cid", F.explode(F.array(
         bucket(F.col("pair") * 2, F.shiftright(F.shiftleft("bits", 32), 32)),
         bucket(F.col("pair") * 2 + 1, F.shiftright("bits", 32)))).alias("bucket"))
-    heads = common.stage(banded.groupBy("bucket").agg(F.min("cid").alias("hub"), F.max("cid").alias("far"), F.count("*").alias("n"))
-                         .filter("n > 1"), "buckets")
+    # nearly all buckets have one line: a task's are shuffled as a row a part
+    bits = (PARTS * n - 1).bit_length()
+    heads = forms.select("cid", "length", *SKETCH).mapInArrow(partial(_bands, bits), "part int, alone binary, several binary")
+    heads = common.stage(heads.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_heads, "bucket long, hub long, far long, n long"),
+                         "buckets")
     two = heads.filter("n = 2").select("bucket", F.explode(F.array("hub", "far")).alias("_key"), "hub")
     more = heads.filter("n > 2").select("bucket", "hub")
     more = F.broadcast(more) if more.count() <= BROADCAST_ROWS else more

@@ -293,6 +293,49 @@ def test_simhash_is_cheap():
     assert min(cost(x.simhash) for _ in range(3)) < 0.75 * min(cost(lambda: _counted_by_bytes(x)) for _ in range(3))
 
 
+def test_buckets_of_lines(spark, monkeypatch):
+    """Buckets grouped in parts against one group of all, popular buckets and
+    negative bits among them; a part is a row, whatever it holds."""
+    r = np.random.default_rng(11)
+    size = 4000
+    sketch = r.integers(-1 << 63, (1 << 63) - 1, (size, lines.BLOCKS // 2))
+    sketch[:900, 0] = -5
+    sketch[r.integers(0, size, 700), 3] = r.integers(-1 << 63, (1 << 63) - 1, 40)[r.integers(0, 40, 700)]
+    cid, length = r.permutation(size) + (7 << 33), r.choice([0.0, 3.1, 3.97, 11.5], size)
+    want = {}
+    for c, at, row in zip(cid.tolist(), length.tolist(), sketch.view(np.int32).tolist()):
+        for b, bits in enumerate(row):
+            want.setdefault((b << 48) + (math.floor(at + b / lines.BLOCKS) << 32) + bits, []).append(c)
+    whole = pa.RecordBatch.from_arrays([pa.array(x) for x in (cid, length, *sketch.T)], names=["cid", "length", *lines.SKETCH])
+    monkeypatch.setattr(lines, "BANDED", 1000)
+    rows = [x for i in range(0, size, 500) for x in lines._bands(3, [whole.slice(i, 500), whole.slice(0, 0)])]
+    assert sum(len(x) for x in rows) == 8 * 8
+    parts = pa.Table.from_batches(rows).sort_by("part").to_batches(max_chunksize=5)
+    got = [tuple(x.values()) for b in lines._heads(parts) for x in b.to_pylist()]
+    assert sorted(got) == sorted((k, min(v), max(v), len(v)) for k, v in want.items() if len(v) > 1)
+    assert list(lines._heads([])) == list(lines._bands(3, [whole.slice(0, 0)])) == []
+
+
+def test_alike_is_the_edit_distance(monkeypatch):
+    """Lines that are alike by the edit distance, most without computing it."""
+    r, slow, exact = random.Random(8), [], lines.edit_distance
+    monkeypatch.setattr(lines, "edit_distance", lambda *x: slow.append(x) or exact(*x))
+    near = 0
+    for _ in range(3000):
+        a = [r.randint(0, 9 if r.random() < 0.3 else 5000) for _ in range(r.randint(1, 40))]
+        b = list(a)
+        for _ in range(r.randint(0, 8)):
+            at = r.randint(0, len(b))
+            b[at:at + r.randint(0, 1)] = [r.randint(0, 5000)] * r.randint(0, 1)
+        want = exact(a, b, int(max(len(a), len(b)) * (1 - lines.SIMILAR))) is not None
+        assert lines._alike(np.array(a, np.int64), np.array(b, np.int64)) == want
+        near += want
+    assert near > 1000 and len(slow) < 3000 - near // 2
+    slow.clear()
+    a = np.arange(80)
+    assert lines._alike(a, np.concatenate([a[:9], [-1, -2], a[9:]])) and lines._alike(a, np.where(a % 9, a, -1)) and not slow
+
+
 def test_lines_are_staged_as_longs(spark):
     """A row of a line has no array, which Spark copies item by item."""
     assert "array" not in lines._ROW
