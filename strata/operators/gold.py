@@ -18,11 +18,16 @@ Money is summed exactly (see functions.money).
 ``distinct`` is what counts distinct values of a column: exactly by default,
 or ``sketches.approx_distinct``, which needs no second shuffle and no row for
 each group and value.
+
+With ``gather`` (``sinks.gathered``) the columns that a mart reads are first
+brought together by its key, and a task counts a key's distinct values as sets:
+no pair and no partial sum is shuffled.  Keys with very many rows take the plan
+above.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 
 Distinct = Callable[[str], Column]
+Gather = Callable[[DataFrame, Sequence[str]], tuple[DataFrame, DataFrame | None]]
 
 NET = "__net_x100"
 DISC = "__disc_x100"
@@ -59,6 +65,24 @@ def _finish_money(df: DataFrame, revenue_name: str, avg_line_name: str | None) -
     return df.withColumns(cols).drop("__net_sum", "__disc_sum", "__net_n")
 
 
+def _size_of_set(column: str) -> Column:
+    return F.size(F.collect_set(column)).cast("long")
+
+
+def _stats(stats: Callable[[DataFrame, Distinct], DataFrame], tx: DataFrame, distinct: Distinct, gather: Gather | None,
+           keys: Sequence[str], reads: Sequence[str]) -> DataFrame:
+    """``stats`` of ``tx``, which groups by ``keys`` and reads ``reads`` besides.
+    Approximate counts are small states: gathering rows would not help them."""
+    if gather is None or distinct is not F.count_distinct:
+        return stats(tx, distinct)
+    near, spread = gather(tx.select(*keys, *reads), keys)
+    out = stats(near, _size_of_set)
+    return out if spread is None else out.unionByName(stats(spread, distinct))
+
+
+_LINE = ("quantity", "unit_price", "discount")
+
+
 def customer_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
     t = _with_line_measures(tx.filter(F.col("customer_id").isNotNull()))
     agg = t.groupBy("customer_id").agg(
@@ -75,9 +99,10 @@ def customer_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> Data
                .drop("__price_sum", "__price_n"))
 
 
-def customer_summary(customers: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
+def customer_summary(customers: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct, gather: Gather | None = None) -> DataFrame:
     """G1: one row per silver customer."""
-    s = customer_stats(tx, distinct)
+    s = _stats(customer_stats, tx.filter(F.col("customer_id").isNotNull()), distinct, gather, ["customer_id"],
+               ["transaction_id", *_LINE, "transaction_ts"])
     c = customers.select("customer_id", "name", "signup_date", "_record_ingestion_ts")
     j = c.join(s, "customer_id", "left")
     return j.select(
@@ -121,9 +146,10 @@ def product_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataF
                .drop("__price_sum", "__price_n"))
 
 
-def product_sales(products: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
+def product_sales(products: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct, gather: Gather | None = None) -> DataFrame:
     """G2: one row per silver product (the NULL-sku group never joins)."""
-    s = product_stats(tx, distinct)
+    s = _stats(product_stats, tx.filter(F.col("sku").isNotNull()), distinct, gather, ["sku"],
+               ["transaction_id", "customer_id", "store_id", *_LINE])
     p = products.select("sku", "product_key", "category", "list_price", "_record_ingestion_ts")
     j = p.join(s, "sku", "left")
     z, zd = F.lit(0).cast("long"), F.lit(0.0)
@@ -156,9 +182,10 @@ def store_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFra
     return _finish_money(agg, "total_revenue", "avg_transaction_value")
 
 
-def store_performance(stores: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
+def store_performance(stores: DataFrame, tx: DataFrame, distinct: Distinct = F.count_distinct, gather: Gather | None = None) -> DataFrame:
     """G3: one row per silver store."""
-    s = store_stats(tx, distinct)
+    s = _stats(store_stats, tx.filter(F.col("store_id").isNotNull()), distinct, gather, ["store_id"],
+               ["transaction_id", "customer_id", "sku", *_LINE, "transaction_ts"])
     st = stores.select("store_id", "name", "region", "_record_ingestion_ts")
     j = st.join(s, "store_id", "left")
     z, zd = F.lit(0).cast("long"), F.lit(0.0)
@@ -175,10 +202,8 @@ def store_performance(stores: DataFrame, tx: DataFrame, distinct: Distinct = F.c
         "last_transaction_date", "_record_ingestion_ts")
 
 
-def daily_sales(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
-    """G4: one row per (sale date, load batch); a day that arrived in two
-    loads has two rows, and NULL timestamps form their own group."""
-    t = _with_line_measures(tx.withColumn("sale_date", F.to_date("transaction_ts")))
+def daily_stats(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFrame:
+    t = _with_line_measures(tx)
     agg = t.groupBy("sale_date", "_record_ingestion_ts").agg(
         F.count("transaction_id").alias("total_transactions"),
         distinct("transaction_id").alias("unique_transactions"),
@@ -192,6 +217,13 @@ def daily_sales(tx: DataFrame, distinct: Distinct = F.count_distinct) -> DataFra
     return _finish_money(agg, "total_revenue", "avg_transaction_value")
 
 
+def daily_sales(tx: DataFrame, distinct: Distinct = F.count_distinct, gather: Gather | None = None) -> DataFrame:
+    """G4: one row per (sale date, load batch); a day that arrived in two
+    loads has two rows, and NULL timestamps form their own group."""
+    return _stats(daily_stats, tx.withColumn("sale_date", F.to_date("transaction_ts")), distinct, gather,
+                  ["sale_date", "_record_ingestion_ts"], ["transaction_id", "customer_id", "store_id", "sku", *_LINE, "transaction_ts"])
+
+
 def line_measures(tx: DataFrame) -> DataFrame:
     """P11: per-line net and discount amounts in cents."""
     return tx.select(

@@ -166,9 +166,10 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
                          target: str | None = None, ledger: str | None = None,
                          audit: str | None = None, keyword: str | None = None,
                          label: str | None = None, max_files: int = MAX_FILES,
-                         archive_dir: str | None = None) -> IngestResult | None:
+                         archive_dir: str | None = None, suffix: str = ".csv") -> IngestResult | None:
     """``label``: logical table name used in check results, ledger and audit
-    rows (defaults to ``target``).  ``archive_dir`` (outside ``landing``)
+    rows (defaults to ``target``).  ``suffix``: of the files' names, e.g.
+    ``.csv.gz``.  ``archive_dir`` (outside ``landing``)
     takes files that are committed, so that listing the landing folder stays
     as cheap as its new files are few.  None if no file is new."""
     target = target or TABLES["bronze"][entity]
@@ -178,7 +179,7 @@ def ingest_csv_to_bronze(spark: SparkSession, ctx: RunContext, entity: str, land
     finish_committed(spark, target, ledger, audit, label)
     led = tables.read(spark, ledger) if tables.exists(spark, ledger) else None
     def found():
-        return files.match_entity(files.list_files(spark, landing), keyword or entity)
+        return files.match_entity(files.list_files(spark, landing), keyword or entity, suffix)
     if archive_dir and led is not None:  # of runs that ended before they moved them
         for paths in _batches(files.committed_files(found(), led), max_files):
             files.archive(spark, paths, archive_dir)

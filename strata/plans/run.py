@@ -7,9 +7,10 @@ crosses steps only through tables in the shared storage.
 silver, per entity (dimensions first, then transactions, whose foreign-key
 checks read the silver dimensions):
   watermark read of new bronze rows (days from the watermark's on) -> clean
-  -> dedup -> stage once, observing the row-level checks -> QC gate (these,
-  one duplicate aggregate, FK anti joins) -> initial publish or MERGE (anti
-  join + union, new snapshot) -> audit row.
+  -> dedup -> stage once (the first batch as the table's snapshot), observing
+  the row-level checks -> QC gate (these, one duplicate aggregate, FK anti
+  joins) -> show the snapshot or MERGE (anti join + union, new snapshot)
+  -> audit row.
 An empty batch is a no-op: nothing is checked, written or logged.
 
 gold: four marts from the silver tables -> snapshot, observing the checks ->
@@ -30,10 +31,11 @@ from ..operators import incremental as inc
 from ..operators.audit import add_audit
 from ..schemas import LOAD_AUDIT, QC_RESULT_STORED
 from ..sinks import tables
+from ..sinks.gathered import Stages
 from ..specs import ENTITIES, GOLD_SUITE, TABLES
 from . import validation
 from .bronze import DATE_COL, ingest_csv_to_bronze
-from .silver import STREAM_PREFIX, to_silver, write_silver
+from .silver import STREAM_PREFIX, show_first, stamped, unstamped, write_first, write_silver
 
 #: Sort columns of marts that are read by ranges of them.
 CLUSTERED = {"daily_sales": ("sale_date",)}
@@ -80,7 +82,14 @@ def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool =
     wm = None if first else inc.watermark(_audit(spark, ns), label)
     batch = bronze if first else bronze.filter(inc.after(wm, date_col=DATE_COL))
     watch = qc.Watch(label, spec.qc)
-    staged = tables.materialize(to_silver(batch, spec, ctx), f"silver-batch-{entity}", watch)
+    path = None
+    with Stages(spark) as stages:
+        # Facts are worth a stage; a dimension's rows are few and narrow.
+        gather = stages.gather if spec.partition else None
+        if first:  # no rows to merge with: what is checked is the table's first snapshot
+            path, staged = write_first(batch, spec, target, ctx, gather, watch)
+        else:
+            staged = tables.materialize(stamped(unstamped(batch, spec, gather), batch, ctx), f"silver-batch-{entity}", watch)
     results = watch.results(staged)
     if spec.foreign_keys:
         fk = [qc.check_referential_integrity(
@@ -94,10 +103,13 @@ def silver_step(spark: SparkSession, ctx: RunContext, entity: str, gate: bool =
         return 0
     if gate:
         qc.raise_failures(res)
-    # Beyond the watermark the target holds what attempts that failed before
-    # their audit row have left, and what a stream has written.
-    replayed = None if first else inc.after(wm) & ~F.col("_batch_id").startswith(STREAM_PREFIX)
-    write_silver(staged, spec, target, ctx, replayed)
+    if first and not tables.exists(spark, target):
+        show_first(spark, target, spec, path, staged)
+    else:
+        # Beyond the watermark the target holds what attempts that failed before
+        # their audit row have left, and what a stream has written.
+        replayed = None if first else inc.after(wm) & ~F.col("_batch_id").startswith(STREAM_PREFIX)
+        write_silver(staged, spec, target, ctx, replayed)
     tables.append(inc.audit_row(staged, ctx, label), ns(TABLES["load_audit"]), tag=ctx.batch_id)
     return n
 
@@ -107,17 +119,18 @@ def gold_step(spark: SparkSession, ctx: RunContext, gate: bool = True,
     s = {e: tables.read(spark, ns(ENTITIES[e].silver_table)) for e in ORDER}
     tx = s["transactions"]
     marts = {
-        "customer_summary": gold.customer_summary(s["customers"], tx),
-        "product_sales": gold.product_sales(s["products"], tx),
-        "store_performance": gold.store_performance(s["stores"], tx),
-        "daily_sales": gold.daily_sales(tx),
+        "customer_summary": lambda g: gold.customer_summary(s["customers"], tx, gather=g),
+        "product_sales": lambda g: gold.product_sales(s["products"], tx, gather=g),
+        "store_performance": lambda g: gold.store_performance(s["stores"], tx, gather=g),
+        "daily_sales": lambda g: gold.daily_sales(tx, gather=g),
     }
-    for m, df in marts.items():
+    for m, mart in marts.items():
         watch = qc.Watch(TABLES["gold"][m], GOLD_SUITE[m], gate)
         # The customer summary's schema is replaced, the other marts' columns
         # are merged with those of earlier runs.
         write = tables.publish if m == "customer_summary" else tables.overwrite_merge_schema
-        write(add_audit(df, ctx), ns(TABLES["gold"][m]), tag=ctx.batch_id, cluster_by=CLUSTERED.get(m, ()), watch=watch)
+        with Stages(spark) as stages:
+            write(add_audit(mart(stages.gather), ctx), ns(TABLES["gold"][m]), tag=ctx.batch_id, cluster_by=CLUSTERED.get(m, ()), watch=watch)
 
 
 def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool = False,
@@ -138,17 +151,18 @@ def validation_step(spark: SparkSession, ctx: RunContext, raise_on_fail: bool =
 
 def run_layers(spark: SparkSession, ctx: RunContext, landing: str, gate: bool = True,
                validate: bool = True, ns: Namespace = Namespace(),
-               raise_on_validation_fail: bool | None = None) -> RunReport:
+               raise_on_validation_fail: bool | None = None, suffix: str = ".csv") -> RunReport:
     """bronze -> silver -> gold -> validation.  ``gate`` stops a layer's
     write on a failed check; the validation results are stored first and the
-    run then raises if any FAILed (default: same as ``gate``)."""
+    run then raises if any FAILed (default: same as ``gate``).  ``suffix``: of
+    the landed files' names."""
     if raise_on_validation_fail is None:
         raise_on_validation_fail = gate
     rep = RunReport(ctx)
     for e in ORDER:
         r = ingest_csv_to_bronze(spark, ctx, e, landing, target=ns(ENTITIES[e].bronze_table),
                                  ledger=ns(TABLES["processed_files"]), audit=ns(TABLES["load_audit"]),
-                                 label=ENTITIES[e].bronze_table)
+                                 label=ENTITIES[e].bronze_table, suffix=suffix)
         rep.bronze[e] = r.rows if r else 0
     for e in ORDER:
         if tables.exists(spark, ns(ENTITIES[e].bronze_table)):

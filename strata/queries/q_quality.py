@@ -272,16 +272,19 @@ def q_qc_results_latest(spark, d):
 
 # --------------------------------------------------- the scheduled job ----
 
+LANDED = ".csv.gz"
+
+
 def _stage_raw_landing(spark, d, folder):
-    """The raw inputs as landed CSV files: one logical file per dimension
-    and one per transaction load year."""
+    """The raw inputs as landed CSV files, compressed: one logical file per
+    dimension and one per transaction load year."""
     from ..sources import files
     from ..sources import fixtures as fx
     for e in ("customers", "products", "stores"):
-        files.stage_csv(fx.raw(spark, d, e, with_ts=False).withColumn("_file", F.lit(e)), folder, "_file")
+        files.stage_csv(fx.raw(spark, d, e, with_ts=False).withColumn("_file", F.lit(e)), folder, "_file", LANDED)
     t = fx.raw_transactions(spark, d)
     t = t.withColumn("_file", F.concat(F.lit("transactions_"), F.year("_record_ingestion_ts").cast("string")))
-    files.stage_csv(t.drop("_record_ingestion_ts"), folder, "_file")
+    files.stage_csv(t.drop("_record_ingestion_ts"), folder, "_file", LANDED)
 
 
 @register("run_layers_validation", Q.assemble(ALL_SQL))
@@ -300,7 +303,7 @@ def q_run_layers_validation(spark, d):
     landing = scratch_path(spark, "landing")
     _stage_raw_landing(spark, d, landing)
     ctx = RunContext(as_of=datetime(2002, 1, 2, 2, 0, 0), batch_id="batch_run")
-    run_layers(spark, ctx, landing, gate=False, validate=True, ns=ns)
+    run_layers(spark, ctx, landing, gate=False, validate=True, ns=ns, suffix=LANDED)
     stored = tables.read(spark, ns(TABLES["validation_results"])).filter(F.col("batch_id") == ctx.batch_id)
     return stored.select("seq", "table_name", "check_name", "status", "message", "row_count",
                          "failed_rows", "threshold", "actual_value")

@@ -82,14 +82,26 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
     never absent; one that loses columns, changes types or its partitioning
     is dropped and made again."""
     spark = df.sparkSession
-    _ensure_db(spark, name)
     present = exists(spark, name)
-    old_parts = _partition_columns(spark, name) if present else []
     if partition_by is None:
-        partition_by = old_parts
+        partition_by = _partition_columns(spark, name) if present else []
         missing = [c for c in partition_by if c not in df.columns]
         if missing:
             raise ValueError(f"{name} is partitioned by {missing}, which the new rows lack")
+    path, _ = write_snapshot(df, name, tag, partition_by, cluster_by, watch)
+    if watch:
+        watch.check(spark.read.schema(df.schema).parquet(path))
+    show_snapshot(spark, name, path, df.schema, partition_by)
+    return path
+
+
+def write_snapshot(df: DataFrame, name: str, tag: str = "", partition_by: Sequence[str] = (),
+                   cluster_by: Sequence[str] = (), watch=None, stamp: Callable[[DataFrame], DataFrame] | None = None) -> tuple[str, StructType]:
+    """Write ``df`` to a new snapshot folder of ``name`` that no reader sees
+    before :func:`show_snapshot`.  ``stamp`` gives the rows their last columns
+    once they are dealt to partitions, so that these are not shuffled.  Returns
+    the folder and the rows' schema."""
+    spark = df.sparkSession
     path = new_snapshot_path(spark, name, tag)
     rows = df
     if cluster_by:
@@ -99,36 +111,41 @@ def publish(df: DataFrame, name: str, tag: str = "", partition_by: list[str] | N
         # together (few files per partition) and splits a hot partition
         # over several tasks instead of giving it to one.
         rows = rows.hint("rebalance", *partition_by)
+    rows = stamp(rows) if stamp else rows
     w = (watch.on(rows) if watch else rows).write.mode("errorifexists").format("parquet").option("compression", COMPRESSION)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    if watch:
-        watch.check(spark.read.schema(df.schema).parquet(path))
+    return path, rows.schema
+
+
+def show_snapshot(spark: SparkSession, name: str, path: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
+    """Make the snapshot in ``path`` the table's (create it if absent)."""
+    _ensure_db(spark, name)
+    partition_by = list(partition_by)
     marks = {}
-    if present:
+    if exists(spark, name):
         old = dict(_shape(spark.table(name).schema))
-        new = dict(_shape(df.schema))
-        if partition_by == old_parts and all(new.get(c) == t for c, t in old.items()):
-            added = [f for f in df.schema.fields if f.name not in old]
+        new = dict(_shape(schema))
+        if partition_by == _partition_columns(spark, name) and all(new.get(c) == t for c, t in old.items()):
+            added = [f for f in schema.fields if f.name not in old]
             if added:
                 spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_sql(added)})")
             # One metadata update repoints readers to the new snapshot (no
             # moment without a table); partitions are repointed one by one.
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             if partition_by:
-                _repoint(spark, name, spark.read.schema(df.schema).parquet(path), partition_by)
+                _repoint(spark, name, spark.read.schema(schema).parquet(path), partition_by)
             spark.sql(f"REFRESH TABLE {name}")
-            return path
+            return
         marks = _marks(spark, name)
         spark.sql(f"DROP TABLE {name}")
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({_columns_sql(df.schema.fields)}) USING parquet{part} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({_columns_sql(schema.fields)}) USING parquet{part} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     for writer, mark in marks.items():
         record_commit(spark, name, writer, mark)
-    return path
 
 
 def _quoted(value) -> str:

@@ -126,10 +126,13 @@ def stage_csv(df: DataFrame, folder: str, name_col: str, suffix: str = ".csv") -
     """Write ``df`` as CSV files named ``<name>-<n><suffix>`` in a flat
     ``folder`` (one logical file per value of ``name_col``, possibly split in
     parts).  Spark writes the parts in parallel; the driver only renames
-    them, one metadata call per file."""
+    them, one metadata call per file.  A suffix that ends in ``.gz`` asks for
+    compressed files; each is read by one task, and as large as what one task
+    wrote."""
     spark = df.sparkSession
     tmp = f"{folder.rstrip('/')}/_tmp-{uuid.uuid4().hex[:8]}"
-    df.write.options(**CSV_WRITE).partitionBy(name_col).csv(tmp)
+    packed = {"compression": "gzip"} if suffix.endswith(".gz") else {}
+    df.write.options(**CSV_WRITE, **packed).partitionBy(name_col).csv(tmp)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
